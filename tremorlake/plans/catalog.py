@@ -195,3 +195,107 @@ SELECT {O.avg_exact('latitude', 6, 6)} AS centre_lat, {O.avg_exact('longitude',
 def q_mean_centre(spark, sf_dir):
     q = _quakes(spark, sf_dir)
     return A.mean_centre(Q.filtered_events(q, days_back=7, as_of=T.AS_OF))
+
+
+# --- Radius search ---------------------------------------------------------------------
+
+RADIUS = {"lat": 31.0, "lon": -21.0, "dist_km": 300.0}
+
+
+def _radius_sql(method: str) -> str:
+    src = f"SELECT * FROM quakes WHERE {O.mag_range()} AND {O.window(30)}"
+    rows = O.radius_rows(src, RADIUS["lat"], RADIUS["lon"], RADIUS["dist_km"], method)
+    return O.with_ctes(f"r AS (SELECT *, CAST(round(CAST(distance_m / 1000.0 AS DECIMAL(38,10)), 2) AS DOUBLE) "
+                       f"AS distance_km FROM ({rows}) _x)") + f"""
+SELECT {O.LIST_SELECT}, distance_km, CAST((SELECT count(*) FROM r) AS INTEGER) AS total_count
+FROM r ORDER BY {O.SORTS['distance']} LIMIT 100"""
+
+
+for _method, _name in (("spheroid", "radius_search"), ("sphere", "radius_search_sphere")):
+    def _make_radius(method):
+        def fn(spark, sf_dir):
+            from ..operators.radius import radius_search
+
+            return radius_search(_quakes(spark, sf_dir), method=method, as_of=T.AS_OF, **RADIUS)
+        return fn
+    register(_name, _radius_sql(_method))(_make_radius(_method))
+
+
+# --- Raw upsert, curation, tsunami table ---------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from ..operators import upsert as U  # noqa: E402
+from ..operators.clean import clean  # noqa: E402
+from ..schema import CURATE_INPUT_COLUMNS, RAW_UPDATE_COLUMNS  # noqa: E402
+
+STAMP_1 = T.AS_OF + _dt.timedelta(days=1)
+STAMP_2 = T.AS_OF + _dt.timedelta(days=2)
+STAMP_1_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
+STAMP_2_SQL = "TIMESTAMP '2024-02-02 00:00:00'"
+
+
+def _halves(spark, sf_dir):
+    raw = T.derived_raw(spark, sf_dir, T.AS_OF)
+    cur = raw.filter(F.col("seq") % 3 < 2).drop("seq")
+    bat = (raw.filter(F.col("seq") % 3 > 0).drop("seq")
+           .withColumn("mag", (F.col("mag") + F.lit(0.1).cast("decimal(2,1)")).cast("decimal(6,2)"))
+           .withColumn("updated", F.col("updated") + F.expr("INTERVAL 1 HOUR")))
+    return cur, bat
+
+
+def _doubles(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) if c in O.DECIMAL_OUT else F.col(c) for c in df.columns])
+
+
+@register("raw_upsert", O.with_ctes(O.RAW_CTE, *O.HALVES, O.raw_upsert_cte(RAW_UPDATE_COLUMNS, STAMP_1_SQL)) + """
+SELECT """ + ", ".join(O.out_col(n) for n in O.RAW_NAMES) + """, ingested_at FROM up""")
+def q_raw_upsert(spark, sf_dir):
+    cur, bat = _halves(spark, sf_dir)
+    return _doubles(U.raw_upsert(cur, bat, stamp=T.ts_literal(STAMP_1)))
+
+
+def _final_cols_sql(prefix: str = "") -> str:
+    return ", ".join(O.out_col(n) for n in ["id", "usgs_id", *O.FINAL_DATA]) + ", processed_at"
+
+
+_INCR_SQL = O.with_ctes(
+    O.RAW_CTE, *O.HALVES, O.raw_upsert_cte(RAW_UPDATE_COLUMNS, STAMP_1_SQL),
+    O.first_load_cte("f0", "cur", O.AS_OF_SQL),
+    "ch AS (SELECT r.* FROM up r LEFT JOIN f0 e ON e.usgs_id = r.usgs_id WHERE r.longitude IS NOT NULL "
+    "AND r.latitude IS NOT NULL AND (e.usgs_id IS NULL OR coalesce(r.updated, r.time, TIMESTAMP '1970-01-01') "
+    "> coalesce(e.updated, e.time, TIMESTAMP '1970-01-01')))",
+    f"cl AS (SELECT {O.CLEAN_SELECT} FROM ch WHERE {O.VALID})",
+    "f1 AS (SELECT e.id, e.usgs_id, " + ", ".join(
+        f'CASE WHEN c.usgs_id IS NOT NULL THEN c."{n}" ELSE e."{n}" END AS "{n}"' for n in O.FINAL_DATA)
+    + f", CASE WHEN c.usgs_id IS NOT NULL THEN {STAMP_2_SQL} ELSE e.processed_at END AS processed_at "
+    "FROM f0 e LEFT JOIN cl c ON c.usgs_id = e.usgs_id "
+    "UNION ALL SELECT (SELECT max(id) FROM f0) + row_number() OVER (ORDER BY time, usgs_id) AS id, usgs_id, "
+    + ", ".join(f'"{n}"' for n in O.FINAL_DATA) + f", {STAMP_2_SQL} AS processed_at "
+    "FROM cl WHERE usgs_id NOT IN (SELECT usgs_id FROM f0))") + f"SELECT {_final_cols_sql()} FROM f1"
+
+
+@register("curate_incremental", _INCR_SQL)
+def q_curate_incremental(spark, sf_dir):
+    cur, bat = _halves(spark, sf_dir)
+    f0 = U.first_load(clean(T.read_raw(cur)), stamp=T.ts_literal(T.AS_OF))
+    raw1 = U.raw_upsert(cur, bat, stamp=T.ts_literal(STAMP_1))
+    ch = U.changed(raw1, f0)
+    f1 = U.curated_upsert(f0, clean(ch.select(*CURATE_INPUT_COLUMNS)), stamp=T.ts_literal(STAMP_2))
+    return _doubles(f1)
+
+
+@register("curate_full", O.with_ctes(O.RAW_CTE, *O.HALVES, O.raw_upsert_cte(RAW_UPDATE_COLUMNS, STAMP_1_SQL),
+                                     O.first_load_cte("f", "up", STAMP_2_SQL)) + f"SELECT {_final_cols_sql()} FROM f")
+def q_curate_full(spark, sf_dir):
+    cur, bat = _halves(spark, sf_dir)
+    raw1 = U.raw_upsert(cur, bat, stamp=T.ts_literal(STAMP_1))
+    return _doubles(U.first_load(clean(T.read_raw(raw1)), stamp=T.ts_literal(STAMP_2)))
+
+
+@register("tsunami_events", O.with_ctes() + """
+SELECT id, usgs_id, CAST(mag AS DOUBLE) AS mag, place, time, CAST(depth AS DOUBLE) AS depth,
+ CAST(longitude AS DOUBLE) AS longitude, CAST(latitude AS DOUBLE) AS latitude
+FROM quakes WHERE tsunami = 1""")
+def q_tsunami_events(spark, sf_dir):
+    return _doubles(U.refresh_tsunami(_quakes(spark, sf_dir)))
