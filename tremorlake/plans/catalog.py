@@ -299,3 +299,71 @@ SELECT id, usgs_id, CAST(mag AS DOUBLE) AS mag, place, time, CAST(depth AS DOUBL
 FROM quakes WHERE tsunami = 1""")
 def q_tsunami_events(spark, sf_dir):
     return _doubles(U.refresh_tsunami(_quakes(spark, sf_dir)))
+
+
+# --- Feed scan --------------------------------------------------------------------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import feed as FEED  # noqa: E402
+from ..sources import sinks as SINK  # noqa: E402
+
+_MS = "make_timestamp(epoch_us(\"{c}\") // 1000 * 1000)"
+
+
+def _feed_sql() -> str:
+    sel = []
+    for n in O.RAW_NAMES:
+        if n == "time":
+            sel.append(f'{_MS.format(c="time")} AS "time"')
+        elif n == "updated":
+            sel.append(f'coalesce({_MS.format(c="updated")}, {_MS.format(c="time")}) AS "updated"')
+        else:
+            sel.append(O.out_col(n))
+    return O.with_ctes(O.RAW_CTE) + f"SELECT {', '.join(sel)} FROM raw WHERE depth IS NOT NULL"
+
+
+def landed_feed(spark, sf_dir) -> str:
+    """Write the derived events as feed documents to a fresh scratch folder."""
+    path = scratch_path(spark, "feed")
+    SINK.write_feed_documents(SINK.feed_documents(T.derived_raw(spark, sf_dir, T.AS_OF)), path)
+    return path
+
+
+@register("feed_scan", _feed_sql())
+def q_feed_scan(spark, sf_dir):
+    return _doubles(FEED.read_feed(spark, landed_feed(spark, sf_dir), strict=True, multi_line=False))
+
+
+# --- Clusters -----------------------------------------------------------------------------------
+
+from ..operators import cluster as CL  # noqa: E402
+
+CLUSTER_KM = 50.0
+
+
+def _cluster_ctes(radius_km: float = CLUSTER_KM) -> list[str]:
+    eps = CL.eps_from_km(radius_km)
+    return [
+        f"pts AS (SELECT id, usgs_id, mag, longitude, latitude, CAST(longitude AS DOUBLE) AS x, "
+        f"CAST(latitude AS DOUBLE) AS y FROM quakes WHERE {O.window(7)})",
+        f"e AS (SELECT a.id AS s, b.id AS d FROM pts a JOIN pts b "
+        f"ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {eps * eps!r})",
+        "reach(node, lbl) AS (SELECT id, id FROM pts UNION SELECT e.d, r.lbl FROM reach r JOIN e ON e.s = r.node)",
+        "comp AS (SELECT node, min(lbl) AS cid FROM reach GROUP BY node)",
+    ]
+
+
+@register("clusters", O.with_ctes(*_cluster_ctes(), recursive=True) + f"""
+SELECT cid AS cluster_id, {O.avg_exact('latitude', 6, 4)} AS centroid_lat, {O.avg_exact('longitude', 6, 4)} AS centroid_lng,
+ count(*) AS earthquake_count, {O.avg_exact('mag')} AS avg_mag, CAST(max(mag) AS DOUBLE) AS max_mag
+FROM pts JOIN comp ON comp.node = pts.id GROUP BY cid ORDER BY earthquake_count DESC, cluster_id""")
+def q_clusters(spark, sf_dir):
+    return CL.clusters(_quakes(spark, sf_dir), CLUSTER_KM, as_of=T.AS_OF)
+
+
+@register("cluster_members", O.with_ctes(*_cluster_ctes(), recursive=True) + """
+SELECT id, usgs_id, cid AS cluster_id FROM pts JOIN comp ON comp.node = pts.id""")
+def q_cluster_members(spark, sf_dir):
+    recent = Q.since(_quakes(spark, sf_dir), T.AS_OF, 7)
+    labelled = CL.cluster_dbscan(recent.select("id", "usgs_id", "longitude", "latitude"), CL.eps_from_km(CLUSTER_KM))
+    return labelled.select("id", "usgs_id", "cluster_id")

@@ -48,8 +48,8 @@ quakes AS (
 )"""
 
 
-def with_ctes(*ctes: str) -> str:
-    return "WITH " + ",\n".join([DERIVED_EVENTS.strip(), QUAKES.strip(), *[c.strip() for c in ctes]]) + "\n"
+def with_ctes(*ctes: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join([DERIVED_EVENTS.strip(), QUAKES.strip(), *[c.strip() for c in ctes]]) + "\n"
 
 
 def window(days: int | None, col: str = "time") -> str:
