@@ -187,6 +187,13 @@ def avg_rounded(c: Column | str, in_scale: int = 2, out_scale: int = 2) -> Colum
     return r.cast("double") / F.lit(float(10 ** out_scale))
 
 
+def round_float(c: Column | str, scale: int = 2) -> Column:
+    """Float rounding as a data-frame library does it: scale, round half to
+    even on the binary value, unscale (used for display tables)."""
+    k = float(10 ** scale)
+    return F.rint(_c(c).cast("double") * F.lit(k)) / F.lit(k)
+
+
 def round_to(c: Column | str, scale: int = 2) -> Column:
     """Half-away-from-zero rounding of a decimal to ``scale`` places, as double."""
     return F.round(_c(c).cast("decimal(38,10)"), scale).cast("double")
@@ -194,8 +201,13 @@ def round_to(c: Column | str, scale: int = 2) -> Column:
 
 # --- Text cleaning and labels (P24-P28) ----------------------------------------------
 
+def strip(c: Column | str) -> Column:
+    """Remove leading and trailing whitespace of any kind (not only blanks)."""
+    return F.regexp_replace(_c(c).cast("string"), r"^\s+|\s+$", "")
+
+
 def clean_text(c: Column | str, fallback: str = NO_VALUE) -> Column:
-    t = F.trim(_c(c).cast("string"))
+    t = strip(c)
     bad = t.isNull() | (t == "") | F.lower(t).isin(NULL_WORDS)
     return F.when(bad, F.lit(fallback)).otherwise(t)
 

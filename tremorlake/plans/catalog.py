@@ -367,3 +367,177 @@ def q_cluster_members(spark, sf_dir):
     recent = Q.since(_quakes(spark, sf_dir), T.AS_OF, 7)
     labelled = CL.cluster_dbscan(recent.select("id", "usgs_id", "longitude", "latitude"), CL.eps_from_km(CLUSTER_KM))
     return labelled.select("id", "usgs_id", "cluster_id")
+
+
+# --- Zones and the zone distance join ---------------------------------------------------------
+
+from ..operators import zones as Z  # noqa: E402
+
+
+def nation_zones(spark, sf_dir) -> DataFrame:
+    """One zone per nation (FIXTURES.md): lon = k*53 % 360 - 180, lat = k*37 % 160 - 80, radius 200 + 40k km."""
+    k = F.col("n_nationkey")
+    return T.table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("name"), (k * 37 % 160 - 80).cast("double").alias("lat"),
+        (k * 53 % 360 - 180).cast("double").alias("lon"), (k * 40 + 200).cast("int").alias("radius_km"))
+
+
+def derived_countries(spark, sf_dir) -> DataFrame:
+    """Country rows derived from nation (same names, other spelling -> must be
+    skipped) and region (codes repeat -> later rows skipped)."""
+    k = F.col("n_nationkey")
+    nat = T.table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("  "), F.lower(F.col("n_name"))).alias("name"), F.lit(None).cast("string").alias("native_name"),
+        F.lit(None).cast("string").alias("name_es"), F.concat(F.lit("N"), k.cast("string")).alias("iso_code"),
+        (k * 37 % 160 - 80).cast("double").alias("lat"), (k * 53 % 360 - 180).cast("double").alias("lon"),
+        (k * 250000).cast("double").alias("area"), k.cast("long").alias("ord"))
+    r = F.col("r_regionkey")
+    reg = T.table(spark, sf_dir, "region").select(
+        F.col("r_name").alias("name"), F.lit(None).cast("string").alias("native_name"),
+        F.concat(F.lit("Región  "), F.initcap(F.col("r_name"))).alias("name_es"),
+        F.concat(F.lit("R"), (r % 3).cast("string")).alias("iso_code"),
+        (r * 17 - 40).cast("double").alias("lat"), (r * 61 - 150).cast("double").alias("lon"),
+        (r * 600000).cast("double").alias("area"), (r + 100).cast("long").alias("ord"))
+    return nat.unionByName(reg)
+
+
+_ZONE_KEY = "strip_accents(lower(regexp_replace(trim({c}), '\\s+', ' ', 'g')))"
+_ZONES_SQL = f"""
+WITH st AS (SELECT n_name AS name, CAST(n_nationkey * 37 % 160 - 80 AS DOUBLE) AS lat,
+  CAST(n_nationkey * 53 % 360 - 180 AS DOUBLE) AS lon, CAST(200 + n_nationkey * 40 AS INTEGER) AS radius_km FROM nation),
+co AS (
+  SELECT '  ' || lower(n_name) AS name, NULL AS name_es, 'N' || CAST(n_nationkey AS VARCHAR) AS code,
+   CAST(n_nationkey * 37 % 160 - 80 AS DOUBLE) AS lat, CAST(n_nationkey * 53 % 360 - 180 AS DOUBLE) AS lon,
+   CAST(n_nationkey * 250000 AS DOUBLE) AS area, n_nationkey AS ord FROM nation
+  UNION ALL
+  SELECT r_name, 'Región  ' || upper(r_name[1]) || lower(r_name[2:]), 'R' || CAST(r_regionkey % 3 AS VARCHAR),
+   CAST(r_regionkey * 17 - 40 AS DOUBLE), CAST(r_regionkey * 61 - 150 AS DOUBLE),
+   CAST(r_regionkey * 600000 AS DOUBLE), r_regionkey + 100 FROM region),
+disp AS (SELECT regexp_replace(trim(coalesce(nullif(name_es, ''), name)), '\\s+', ' ', 'g') AS d, * FROM co),
+cz AS (SELECT upper(d[1]) || d[2:] AS name, lat, lon,
+   CASE WHEN area IS NULL OR area <= 0 THEN 700
+        ELSE CAST(trunc(greatest(250, least(2500, sqrt(area / pi()) * 1.35))) AS INTEGER) END AS radius_km,
+   code, ord, row_number() OVER (PARTITION BY code ORDER BY ord) AS code_rank FROM disp),
+cand AS (SELECT * FROM cz WHERE code_rank = 1 AND lat IS NOT NULL AND lon IS NOT NULL AND length(name) > 0
+   AND {_ZONE_KEY.format(c='name')} NOT IN (SELECT {_ZONE_KEY.format(c='name')} FROM st)),
+added AS (SELECT name, lat, lon, radius_km FROM (SELECT *, row_number() OVER
+   (PARTITION BY {_ZONE_KEY.format(c='name')} ORDER BY ord) AS k FROM cand) WHERE k = 1)
+SELECT name, lat, lon, radius_km FROM st UNION ALL SELECT * FROM added"""
+
+
+@register("zones", _ZONES_SQL)
+def q_zones(spark, sf_dir):
+    return Z.build_zones(nation_zones(spark, sf_dir), derived_countries(spark, sf_dir)).select(
+        "name", "lat", "lon", "radius_km")
+
+
+def _near_sql() -> str:
+    src = (f"SELECT q.usgs_id, q.longitude, q.latitude, z.* FROM quakes q JOIN z ON TRUE "
+           f"WHERE {O.mag_range()} AND {O.window(30)}")
+    d = O.vincenty_sql(src, "CAST(longitude AS DOUBLE)", "CAST(latitude AS DOUBLE)", "zlon", "zlat")
+    return O.with_ctes(
+        "z AS (SELECT n_name AS zone, CAST(n_nationkey * 53 % 360 - 180 AS DOUBLE) AS zlon, "
+        "CAST(n_nationkey * 37 % 160 - 80 AS DOUBLE) AS zlat, CAST(200 + n_nationkey * 40 AS DOUBLE) AS zr FROM nation)"
+    ) + (f"SELECT zone, usgs_id, CAST(round(CAST(distance_m / 1000.0 AS DECIMAL(38,10)), 2) AS DOUBLE) AS distance_km "
+         f"FROM ({d}) _n WHERE distance_m <= zr * 1000.0")
+
+
+@register("near_zones", _near_sql())
+def q_near_zones(spark, sf_dir):
+    ev = Q.filtered_events(_quakes(spark, sf_dir), days_back=30, as_of=T.AS_OF).select(
+        "usgs_id", "mag", "longitude", "latitude")
+    return Z.near_zones(ev, nation_zones(spark, sf_dir)).select("zone", "usgs_id", "distance_km")
+
+
+# --- Report projections, normalised points, constraints ------------------------------------------
+
+from ..operators import report as R  # noqa: E402
+from ..operators.constraints import check_schema  # noqa: E402
+from ..schema import RAW_TEXT_LIMITS  # noqa: E402
+
+
+def _clean_sql(c: str, fallback: str) -> str:
+    t = f"regexp_replace(CAST({c} AS VARCHAR), '^\\s+|\\s+$', '', 'g')"
+    return f"(CASE WHEN {t} IS NULL OR {t} = '' OR lower({t}) IN ('nan', 'none', 'null') THEN '{fallback}' ELSE {t} END)"
+
+
+def _label_sql(c: str, fallback: str, mapping: dict[str, str]) -> str:
+    t = _clean_sql(c, fallback)
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"(CASE lower({t}) {cases} ELSE {t} END)"
+
+
+def _rint_sql(c: str, k: int = 100) -> str:
+    y = f"(CAST({c} AS DOUBLE) * {float(k)})"
+    return (f"((CASE WHEN {y} - floor({y}) = 0.5 THEN floor({y}) + (abs(floor({y})) % 2) ELSE round({y}) END) "
+            f"/ {float(k)})")
+
+
+_MAG0 = "coalesce(mag, 0)"
+_DISPLAY_CLASS = (f"CASE WHEN {_MAG0} < 2 THEN 'Micro' WHEN {_MAG0} < 4 THEN 'Leve' "
+                  f"WHEN {_MAG0} < 6 THEN 'Fuerte' ELSE 'Severo' END")
+
+
+@register("event_report", O.with_ctes(O.filtered(days=7)) + f"""
+SELECT usgs_id, {_rint_sql('mag')} AS magnitude, {_DISPLAY_CLASS} AS category,
+ {_clean_sql('place', S.NO_PLACE)} AS place, strftime(time, '%Y-%m-%d') AS date_utc, strftime(time, '%H:%M') AS hour_utc,
+ strftime(time, '%Y-%m') AS month_utc, strftime(time, '%Y') AS year_utc, {_rint_sql('depth')} AS depth_km,
+ {_rint_sql('latitude')} AS latitude, {_rint_sql('longitude')} AS longitude,
+ {_clean_sql('"magType"', S.NO_VALUE)} AS mag_type, {_label_sql('alert', S.NO_ALERT, S.ALERT_LABELS)} AS alert,
+ {_label_sql('status', S.NO_VALUE, S.STATUS_LABELS)} AS status
+FROM filtered""")
+def q_event_report(spark, sf_dir):
+    return R.event_report(Q.filtered_events(_quakes(spark, sf_dir), days_back=7, as_of=T.AS_OF))
+
+
+_COLOUR = (f"CASE WHEN {_MAG0} < 2 THEN '{S.MAG_COLOURS['low']}' WHEN {_MAG0} < 4 THEN '{S.MAG_COLOURS['mid']}' "
+           f"WHEN {_MAG0} < 6 THEN '{S.MAG_COLOURS['high']}' ELSE '{S.MAG_COLOURS['severe']}' END")
+
+
+@register("map_points", O.with_ctes(O.filtered(days=7)) + f"""
+SELECT usgs_id, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+ coalesce(CAST(mag AS DOUBLE), 0.0) AS mag, {_COLOUR} AS colour,
+ greatest(CAST(4.0 AS DOUBLE), least(CAST(6.0 AS DOUBLE) + coalesce(CAST(mag AS DOUBLE), 0.0) * CAST(2.2 AS DOUBLE), CAST(24.0 AS DOUBLE))) AS size,
+ coalesce(place, '{S.NO_PLACE}') AS place_label,
+ CASE WHEN depth IS NULL THEN '--' WHEN depth = floor(depth) THEN format('{{:,}}', CAST(depth AS BIGINT))
+      ELSE format('{{:,.2f}}', CAST(depth AS DOUBLE)) END AS depth_label,
+ strftime(time, '%Y-%m-%d') AS date_label, strftime(time, '%H:%M') || ' UTC' AS hour_label,
+ strftime(time, '%Y-%m') AS month_label, strftime(time, '%Y') AS year_label
+FROM filtered""")
+def q_map_points(spark, sf_dir):
+    return R.map_points(Q.filtered_events(_quakes(spark, sf_dir), days_back=7, as_of=T.AS_OF))
+
+
+@register("normalize_points", O.with_ctes(
+    "p AS (SELECT usgs_id, CAST(latitude AS DOUBLE) AS lat, "
+    "CAST(longitude + 360 * (seq % 3 - 1) AS DOUBLE) AS lon_in FROM ev WHERE longitude IS NOT NULL)") + """
+SELECT usgs_id, lat, (CASE WHEN fmod(lon_in + 180.0, 360.0) < 0 THEN fmod(fmod(lon_in + 180.0, 360.0) + 360.0, 360.0)
+  ELSE fmod(lon_in + 180.0, 360.0) END) - 180.0 AS lon FROM p WHERE lat BETWEEN -90 AND 90""")
+def q_normalize_points(spark, sf_dir):
+    d = T.derived_events(spark, sf_dir).filter(F.col("longitude").isNotNull())
+    shifted = d.select("usgs_id", F.col("latitude"),
+                       (F.col("longitude") + F.lit(360) * (F.col("seq") % 3 - 1)).cast("double").alias("lon_in"))
+    p = shifted.select("usgs_id", S.normalize_point("latitude", "lon_in").alias("pt"))
+    return p.filter(F.col("pt").isNotNull()).select("usgs_id", F.col("pt.lat").alias("lat"), F.col("pt.lon").alias("lon"))
+
+
+def _constraint_sql() -> str:
+    parts = ["SELECT 'not_null' AS check_name, 'usgs_id' AS column_name, "
+             "CAST(count(*) FILTER (WHERE usgs_id IS NULL) AS BIGINT) AS violations FROM u"]
+    for c, n in sorted(RAW_TEXT_LIMITS.items()):
+        parts.append(f"SELECT 'max_length_{n}', '{c}', CAST(count(*) FILTER (WHERE length(\"{c}\") > {n}) AS BIGINT) FROM u")
+    for c, t in sorted({"mag": "decimal(6,2)", "cdi": "decimal(4,2)", "mmi": "decimal(4,2)", "dmin": "decimal(10,4)",
+                        "rms": "decimal(10,4)", "gap": "decimal(8,2)", "longitude": "decimal(10,6)",
+                        "latitude": "decimal(10,6)", "depth": "decimal(10,2)"}.items()):
+        parts.append(f"SELECT 'fits_{t}', '{c}', CAST(count(*) FILTER (WHERE \"{c}\" IS NOT NULL "
+                     f"AND TRY_CAST(\"{c}\" AS {t.upper()}) IS NULL) AS BIGINT) FROM u")
+    parts.append("SELECT 'unique', 'usgs_id', CAST(count(*) AS BIGINT) FROM "
+                 "(SELECT usgs_id FROM u WHERE usgs_id IS NOT NULL GROUP BY usgs_id HAVING count(*) > 1)")
+    return O.with_ctes(O.RAW_CTE, *O.HALVES, "u AS (SELECT * FROM cur UNION ALL SELECT * FROM bat)") + \
+        "\nUNION ALL ".join(parts)
+
+
+@register("constraint_report", _constraint_sql())
+def q_constraint_report(spark, sf_dir):
+    cur, bat = _halves(spark, sf_dir)
+    return check_schema(cur.unionByName(bat), "usgs_id", RAW_TEXT_LIMITS)
