@@ -310,7 +310,7 @@ from ..sources import sinks as SINK  # noqa: E402
 _MS = "make_timestamp(epoch_us(\"{c}\") // 1000 * 1000)"
 
 
-def _feed_sql() -> str:
+def _feed_select() -> str:
     sel = []
     for n in O.RAW_NAMES:
         if n == "time":
@@ -319,7 +319,11 @@ def _feed_sql() -> str:
             sel.append(f'coalesce({_MS.format(c="updated")}, {_MS.format(c="time")}) AS "updated"')
         else:
             sel.append(O.out_col(n))
-    return O.with_ctes(O.RAW_CTE) + f"SELECT {', '.join(sel)} FROM raw WHERE depth IS NOT NULL"
+    return f"SELECT {', '.join(sel)} FROM raw WHERE depth IS NOT NULL"
+
+
+def _feed_sql() -> str:
+    return O.with_ctes(O.RAW_CTE) + _feed_select()
 
 
 def landed_feed(spark, sf_dir) -> str:
@@ -541,3 +545,27 @@ def _constraint_sql() -> str:
 def q_constraint_report(spark, sf_dir):
     cur, bat = _halves(spark, sf_dir)
     return check_schema(cur.unionByName(bat), "usgs_id", RAW_TEXT_LIMITS)
+
+
+# --- Stream intake ----------------------------------------------------------------------------------
+
+def _stream_sql() -> str:
+    clean_cols = ("usgs_id, CAST(mag AS DOUBLE) AS mag, coalesce(place, 'Unknown') AS place, time, updated, "
+                  "coalesce(\"magType\", 'unknown') AS \"magType\", coalesce(tsunami, 0) AS tsunami, "
+                  "coalesce(alert, '') AS alert, coalesce(status, 'unknown') AS status, coalesce(sig, 0) AS sig, "
+                  "depth, longitude, latitude")
+    return O.with_ctes(O.RAW_CTE, f"fs AS ({_feed_select()})") + f"SELECT {clean_cols} FROM fs WHERE {O.VALID}"
+
+
+@register("stream_intake", _stream_sql())
+def q_stream_intake(spark, sf_dir):
+    from ..streaming.intake import stream_feed
+
+    src = scratch_path(spark, "landed")
+    docs = SINK.feed_documents(T.derived_raw(spark, sf_dir, T.AS_OF))
+    docs.repartition(3, "_doc").select("value").write.mode("overwrite").text(src)
+    root = scratch_path(spark, "tables")
+    q = stream_feed(spark, src, root, multi_line=False, max_files_per_trigger=1, stamp=T.AS_OF)
+    q.awaitTermination()
+    final = SINK.read_latest(spark, f"{root}/final")
+    return _doubles(final.select("usgs_id", *O.FINAL_DATA))
