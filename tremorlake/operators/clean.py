@@ -16,13 +16,21 @@ NUMERIC_TYPES = {"mag": "decimal(6,2)", "depth": "decimal(10,2)",
 LON_RANGE, LAT_RANGE = (-180, 180), (-90, 90)
 
 
-def _numeric(df: DataFrame, name: str, target: str):
+def _numeric(dtype: T.DataType, name: str, target: str):
     c = F.col(name)
-    if isinstance(df.schema[name].dataType, (T.StringType, T.DoubleType, T.FloatType)):
+    if isinstance(dtype, (T.StringType, T.DoubleType, T.FloatType)):
         return S.to_number(c).try_cast(target)
     return c.cast(target)
 
 
+def _time(dtype: T.DataType, name: str):
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.col(name)
+    if isinstance(dtype, T.TimestampType):
+        return F.col(name).cast("timestamp_ntz")
+    return S.to_time(F.col(name))
+
+
 def valid_coords(df: DataFrame) -> DataFrame:
     """Both coordinates present and inside [-180,180] x [-90,90], inclusive."""
     lon, lat = F.col("longitude"), F.col("latitude")
@@ -35,15 +43,17 @@ def clean(df: DataFrame) -> DataFrame:
     int defaults, timestamps coerced, invalid coordinates dropped.  Extra
     columns pass through untouched."""
     out = []
+    types = {f.name: f.dataType for f in df.schema.fields}
     for name in df.columns:
         if name in NUMERIC_TYPES:
-            out.append(_numeric(df, name, NUMERIC_TYPES[name]).alias(name))
+            out.append(_numeric(types[name], name, NUMERIC_TYPES[name]).alias(name))
         elif name in DEFAULTS:
             out.append(F.coalesce(F.col(name).cast("string"), F.lit(DEFAULTS[name])).alias(name))
         elif name in INT_DEFAULTS:
-            out.append(F.coalesce(S.to_number(F.col(name)).try_cast("int"), F.lit(INT_DEFAULTS[name])).alias(name))
+            v = F.col(name) if isinstance(types[name], T.IntegerType) else S.to_number(F.col(name)).try_cast("int")
+            out.append(F.coalesce(v, F.lit(INT_DEFAULTS[name])).alias(name))
         elif name in ("time", "updated"):
-            out.append(S.to_time(F.col(name)).alias(name))
+            out.append(_time(types[name], name).alias(name))
         else:
             out.append(F.col(name))
     return valid_coords(df.select(*out))
