@@ -32,8 +32,15 @@ def fold_batch(batch: DataFrame, key: str, update_cols: list[str], order: Column
     elif isinstance(order, str):
         order = F.col(order)
     cols = [c for c in batch.columns if c not in (key, ARRIVAL)]
-    aggs = [(F.max_by(c, order) if c in update_cols else F.min_by(c, order)).alias(c) for c in cols]
-    return batch.groupBy(key).agg(*aggs)
+    last = [c for c in cols if c in update_cols]
+    first = [c for c in cols if c not in update_cols]
+    aggs = []
+    if last:
+        aggs.append(F.max_by(F.struct(*last), order).alias("_last"))
+    if first:
+        aggs.append(F.min_by(F.struct(*first), order).alias("_first"))
+    g = batch.groupBy(key).agg(*aggs)
+    return g.select(key, *[F.col(f"_last.{c}" if c in update_cols else f"_first.{c}").alias(c) for c in cols])
 
 
 def _proven_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
@@ -51,7 +58,12 @@ def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str
     ``_inserted`` (true for new keys).
     """
     keep_cols = keep_cols or []
-    folded = fold_batch(batch, key, update_cols, order)
+    # The folded batch feeds the size proof and two or three joins: materialise
+    # it once (it is the small side; this also cuts its lineage).
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(current.sparkSession)
+    folded = fold_batch(batch, key, update_cols, order).checkpoint(eager=True)
     b_cols = [c for c in folded.columns if c != key]
     b = folded.select(F.col(key), F.lit(True).alias("_b"), *[F.col(c).alias(f"_b_{c}") for c in b_cols])
     stamp = stamp if stamp is not None else F.current_timestamp().cast("timestamp_ntz")
