@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..session import ensure_checkpoint_dir
+from ..session import broadcast_checked, ensure_checkpoint_dir
 
 KM_PER_DEGREE = 111.32          # fixed value: eps = radius_km / 111.32
 SUB_PER_CELL_BITS = 3           # 8 x 8 sub-cells per cell at the first level
@@ -49,15 +49,19 @@ def _quantum(eps: float) -> float:
     return eps / math.sqrt(2) * (1 - MARGIN) / (1 << (SUB_PER_CELL_BITS + MAX_LEVELS))
 
 
-def _points(df: DataFrame, eps: float, id_col: str, x_col: str, y_col: str) -> DataFrame:
+def _cell_cols(eps: float, x_col: str, y_col: str) -> list:
+    """qx, qy (finest lattice) and cx, cy (cell) of a point, as columns."""
     u = _quantum(eps)
-    x, y = F.col(x_col).cast("double"), F.col(y_col).cast("double")
     shift = SUB_PER_CELL_BITS + MAX_LEVELS
-    p = df.select(F.col(id_col).alias("pid"), x.alias("x"), y.alias("y")).filter(
-        F.col("x").isNotNull() & F.col("y").isNotNull())
-    p = p.withColumn("qx", F.floor(F.col("x") / F.lit(u)).cast("long")).withColumn(
-        "qy", F.floor(F.col("y") / F.lit(u)).cast("long"))
-    return p.withColumn("cx", F.shiftright("qx", shift)).withColumn("cy", F.shiftright("qy", shift))
+    qx = F.floor(F.col(x_col).cast("double") / F.lit(u)).cast("long")
+    qy = F.floor(F.col(y_col).cast("double") / F.lit(u)).cast("long")
+    return [qx.alias("qx"), qy.alias("qy"), F.shiftright(qx, shift).alias("cx"), F.shiftright(qy, shift).alias("cy")]
+
+
+def _points(df: DataFrame, eps: float, id_col: str, x_col: str, y_col: str) -> DataFrame:
+    p = df.filter(F.col(x_col).isNotNull() & F.col(y_col).isNotNull())
+    return p.select(F.col(id_col).alias("pid"), F.col(x_col).cast("double").alias("x"),
+                    F.col(y_col).cast("double").alias("y"), *_cell_cols(eps, x_col, y_col))
 
 
 def _sub_key(level: int):
@@ -98,7 +102,9 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
         F.col("node").alias("na"), (F.col("cx") + F.col("o.dx")).alias("bcx"), (F.col("cy") + F.col("o.dy")).alias("bcy"))
     cand = nb.join(cells.select(F.col("cx").alias("bcx"), F.col("cy").alias("bcy"), F.col("node").alias("nb")),
                    ["bcx", "bcy"]).select("na", "nb")
-    keyed = pts.join(cells, ["cx", "cy"]).select("node", "qx", "qy", "x", "y")
+    # cells are bounded by the grid, not the data: broadcast once the count is
+    # proven, so a cell holding a third of all points is not one hot shuffle key.
+    keyed = pts.join(broadcast_checked(cells), ["cx", "cy"]).select("node", "qx", "qy", "x", "y")
 
     def occupied(level: int) -> DataFrame:
         return keyed.groupBy("node", *_sub_key(level)).agg(F.count(F.lit(1)).alias("n"))
@@ -145,7 +151,8 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
                             F.col("x").alias("x1"), F.col("y").alias("y1"))
         pb = p_level.select(F.col("node").alias("nb"), F.col("sx").alias("bx"), F.col("sy").alias("by"),
                             F.col("x").alias("x2"), F.col("y").alias("y2"))
-        r = res.select("na", "nb", "ax", "ay", "bx", "by").join(pa, ["na", "ax", "ay"]).join(pb, ["nb", "bx", "by"])
+        res = broadcast_checked(res.select("na", "nb", "ax", "ay", "bx", "by"))
+        r = pa.join(res, ["na", "ax", "ay"]).join(pb, ["nb", "bx", "by"])
         d2 = (F.col("x1") - F.col("x2")) * (F.col("x1") - F.col("x2")) + (F.col("y1") - F.col("y2")) * (F.col("y1") - F.col("y2"))
         decided.append(r.filter(d2 <= F.lit(e2)).select("na", "nb"))
     edges = decided[0]
@@ -154,10 +161,13 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
     return cells, edges.distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200, jumps: int = 1) -> DataFrame:
     """(node, label): label = smallest node id of the node's component.
 
-    Min-label propagation with pointer jumping; stops when no label changes.
+    Each round: every node takes the smallest label among itself and its
+    neighbours, then follows label -> label-of-label ``jumps`` times (pointer
+    jumping).  The round's result is checkpointed together with a changed
+    flag, so the stop test reads the checkpoint instead of recomputing.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
@@ -165,17 +175,19 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
         edges.select(F.col("nb").alias("src"), F.col("na").alias("dst")))
     und = und.checkpoint(eager=True)
     labels = nodes.select("node", F.col("node").alias("label")).checkpoint(eager=True)
-    for rnd in range(max_rounds):
+    for _ in range(max_rounds):
         nbr = und.join(labels.withColumnRenamed("node", "src"), "src").groupBy("dst").agg(
             F.min("label").alias("m"))
         step = labels.join(nbr.withColumnRenamed("dst", "node"), "node", "left").select(
-            "node", F.least(F.col("label"), F.coalesce(F.col("m"), F.col("label"))).alias("label"))
-        jump = step.alias("a").join(step.alias("b"), F.col("a.label") == F.col("b.node")).select(
-            F.col("a.node").alias("node"), F.least(F.col("a.label"), F.col("b.label")).alias("label"))
-        jump = jump.checkpoint(eager=True)
-        moved = jump.join(labels.withColumnRenamed("label", "old"), "node").filter(
-            F.col("label") != F.col("old")).limit(1).count()
-        labels = jump
+            "node", F.col("label").alias("old"),
+            F.least(F.col("label"), F.coalesce(F.col("m"), F.col("label"))).alias("label"))
+        for _j in range(jumps):
+            step = step.alias("a").join(step.alias("b"), F.col("a.label") == F.col("b.node"), "left").select(
+                F.col("a.node").alias("node"), F.col("a.old").alias("old"),
+                F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label"))).alias("label"))
+        step = step.withColumn("changed", F.col("label") != F.col("old")).drop("old").checkpoint(eager=True)
+        moved = step.filter(F.col("changed")).limit(1).count()
+        labels = step.drop("changed")
         if moved == 0:
             break
     return labels
@@ -189,13 +201,15 @@ def cluster_dbscan(df: DataFrame, eps: float, min_points: int = 1, id_col: str =
     if min_points != 1:
         raise ValueError("only min_points = 1 (connected components) is supported")
     ensure_checkpoint_dir(df.sparkSession)
-    pts = _points(df, eps, id_col, x_col, y_col).checkpoint(eager=True)
+    pts = _points(df, eps, id_col, x_col, y_col)
     dedup = pts.groupBy("qx", "qy", "x", "y", "cx", "cy").agg(F.min("pid").alias("pid")).checkpoint(eager=True)
     cells, edges = cell_edges(dedup, eps)
     labels = connected_components(cells.select("node"), edges)
     cell_label = cells.join(labels, "node").select("cx", "cy", F.col("label").alias("cluster_id"))
-    keyed = pts.select(F.col("pid").alias(id_col), "cx", "cy")
-    return df.join(keyed.join(cell_label, ["cx", "cy"]).select(id_col, "cluster_id"), id_col, "left")
+    # Label the input by recomputing its cell key: one join with the (grid-
+    # bounded) cell table instead of a shuffle of two large sides on the id.
+    keyed = df.select("*", *_cell_cols(eps, x_col, y_col)[2:])
+    return keyed.join(broadcast_checked(cell_label), ["cx", "cy"], "left").drop("cx", "cy")
 
 
 def clusters(df: DataFrame, radius_km: float = 50, days: int = 7, as_of=None) -> DataFrame:
