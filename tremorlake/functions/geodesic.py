@@ -88,7 +88,10 @@ def _geodesic_udf():
                                     lon2.to_numpy("float64", na_value=float("nan")),
                                     lat2.to_numpy("float64", na_value=float("nan"))))
 
-    return geodesic_m
+    # Marked non-deterministic on purpose: otherwise Catalyst pushes a filter on
+    # the distance below the projection that computes it and the UDF runs twice
+    # (once for the filter, once for the output).  Filters below it still apply.
+    return geodesic_m.asNondeterministic()
 
 
 _UDF = None
