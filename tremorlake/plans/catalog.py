@@ -202,13 +202,13 @@ def q_mean_centre(spark, sf_dir):
 RADIUS = {"lat": 31.0, "lon": -21.0, "dist_km": 300.0}
 
 
-def _radius_sql(method: str) -> str:
+def _radius_sql(method: str, sort: str = "distance") -> str:
     src = f"SELECT * FROM quakes WHERE {O.mag_range()} AND {O.window(30)}"
     rows = O.radius_rows(src, RADIUS["lat"], RADIUS["lon"], RADIUS["dist_km"], method)
     return O.with_ctes(f"r AS (SELECT *, CAST(round(CAST(distance_m / 1000.0 AS DECIMAL(38,10)), 2) AS DOUBLE) "
                        f"AS distance_km FROM ({rows}) _x)") + f"""
 SELECT {O.LIST_SELECT}, distance_km, CAST((SELECT count(*) FROM r) AS INTEGER) AS total_count
-FROM r ORDER BY {O.SORTS['distance']} LIMIT 100"""
+FROM r ORDER BY {O.SORTS[sort]} LIMIT 100"""
 
 
 for _method, _name in (("spheroid", "radius_search"), ("sphere", "radius_search_sphere")):
@@ -569,3 +569,48 @@ def q_stream_intake(spark, sf_dir):
     q.awaitTermination()
     final = SINK.read_latest(spark, f"{root}/final")
     return _doubles(final.select("usgs_id", *O.FINAL_DATA))
+
+
+@register("radius_search_recent", _radius_sql("spheroid", "recent"))
+def q_radius_search_recent(spark, sf_dir):
+    from ..operators.radius import radius_search
+
+    return radius_search(_quakes(spark, sf_dir), sort="recent", as_of=T.AS_OF, **RADIUS)
+
+
+RADIUS_ANALYSIS = {"lat": -55.0, "lon": 85.0, "dist_km": 350.0}
+
+
+def _radius_analysis_sql() -> str:
+    src = f"SELECT * FROM quakes WHERE {O.mag_range()} AND {O.window(30)}"
+    rows = O.radius_rows(src, RADIUS_ANALYSIS["lat"], RADIUS_ANALYSIS["lon"], RADIUS_ANALYSIS["dist_km"])
+    return O.with_ctes(f"filtered AS (SELECT * FROM ({rows}) _r)") + f"""
+SELECT CAST(count(*) AS INTEGER) AS total_events, {O.avg_exact('mag')} AS avg_magnitude,
+ {O.avg_exact('depth')} AS avg_depth, CAST(max(mag) AS DOUBLE) AS max_magnitude,
+ CAST(min(mag) AS DOUBLE) AS min_magnitude, max(time) AS last_update
+FROM filtered"""
+
+
+@register("analysis_radius_summary", _radius_analysis_sql())
+def q_analysis_radius_summary(spark, sf_dir):
+    f = A.analysis_filter(_quakes(spark, sf_dir), days_back=30, as_of=T.AS_OF, **RADIUS_ANALYSIS)
+    return A.summary(f)
+
+
+def _lenient_sql() -> str:
+    sel = []
+    for n in O.RAW_NAMES:
+        if n == "id":
+            continue
+        if n == "time":
+            sel.append(f'{_MS.format(c="time")} AS "time"')
+        elif n == "updated":
+            sel.append(f"coalesce({_MS.format(c='updated')}, TIMESTAMP '1970-01-01 00:00:00') AS \"updated\"")
+        else:
+            sel.append(O.out_col(n))
+    return O.with_ctes(O.RAW_CTE) + f"SELECT {', '.join(sel)} FROM raw"
+
+
+@register("feed_scan_lenient", _lenient_sql())
+def q_feed_scan_lenient(spark, sf_dir):
+    return _doubles(FEED.read_feed(spark, landed_feed(spark, sf_dir), strict=False, multi_line=False))
