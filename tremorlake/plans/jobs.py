@@ -3,12 +3,13 @@
 Each run reads the newest complete version, computes the next one as a pure
 DataFrame plan and writes it to a new version folder; rerunning a version
 rewrites the same folder from the same inputs, so a lost executor or a replay
-does not duplicate anything.  Returned dicts are the run summaries (K9).
+does not duplicate anything.  Returned dicts are the run summaries (K9); the
+row counts ride on the jobs that run anyway (Observation metrics).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import upsert as U
@@ -28,10 +29,11 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, raw_dir: str, version: i
     current = SINK.read_latest(spark, raw_dir, before=version)
     if current is None:
         current = _empty(spark, RAW_SCHEMA)
-    batch = batch.withColumn("ingested_at", stamp_col).checkpoint(eager=True)
-    read = batch.count()
-    new_raw = U.raw_upsert(current, batch, stamp=stamp_col)
+    seen = Observation("ingest")
+    batch = batch.withColumn("ingested_at", stamp_col).observe(seen, F.count(F.lit(1)).alias("rows"))
+    new_raw = U.raw_upsert(current, batch, stamp=stamp_col)  # folds (and so counts) the batch once
     SINK.write_version(new_raw, raw_dir, version)
+    read = seen.get["rows"]
     return {"events": read, "inserted": read, "version": version}
 
 
@@ -47,10 +49,11 @@ def curate(spark: SparkSession, raw_dir: str, final_dir: str, tsunami_dir: str,
         todo = read_raw(raw)
     else:
         todo = U.changed(raw, final).select(*CURATE_INPUT_COLUMNS)
-    todo = todo.checkpoint(eager=True)
-    read = todo.count()
-    cleaned = clean(todo).checkpoint(eager=True)
-    transformed = cleaned.count()
+    seen = Observation("curate")
+    todo = todo.observe(seen, F.count(F.lit(1)).alias("rows"))
+    cleaned = clean(todo).checkpoint(eager=True)   # one job reads, cleans and counts
+    read = seen.get["rows"]
+    transformed = cleaned.count()                  # a count over the checkpoint
     if transformed == 0:
         return {"mode": "full" if full else "incremental", "read": read, "transformed": 0, "loaded": 0}
     if final is None:
