@@ -86,3 +86,33 @@ def test_to_number(spark):
 
 def test_round_float_half_even(spark):
     assert one_col(spark, [31.125, -2.5], lambda c: S.round_float(c, 2)) == [31.12, -2.5]
+
+
+def test_finite_and_time_text(spark):
+    assert one_col(spark, ["2.5", "x", "-inf"], lambda c: S.finite(c, 0.0), "string") == [2.5, 0.0, 0.0]
+    assert one_col(spark, ["2024-01-02 03:04:05", "junk", None], S.time_text, "string") == \
+        ["2024-01-02 03:04 UTC", "--", "--"]
+
+
+def test_analysis_frame(spark):
+    from tremorlake.operators.clean import analysis_frame
+
+    df = spark.createDataFrame([("2.0", "1", "2024-01-02 00:00:00", "a, Chile"), (None, "2", "2024-01-02", "x"),
+                                ("6.5", None, "2024-01-03 10:00:00", None)],
+                               "mag string, depth string, time string, place string")
+    rows = analysis_frame(df).orderBy("mag").collect()
+    assert [(r.category, r.region, r.day) for r in rows] == [("Micro", "Chile", "2024-01-02"),
+                                                             ("Severo", "Sin ubicación", "2024-01-03")]
+
+
+def test_insight(spark):
+    from tremorlake.operators.analysis import dominant_category
+
+    def run(counts):
+        df = spark.createDataFrame(list(counts.items()), "category string, events int")
+        return dominant_category(df).first()
+
+    r = run({"Micro": 3, "Leve": 3, "Fuerte": 1, "Severo": 0})
+    assert r.dominant_category == "Micro" and r.insight == S.INSIGHT_TEXT["strong"]
+    r = run({"Micro": 0, "Leve": 0, "Fuerte": 0, "Severo": 0})
+    assert r.dominant_category == "--" and r.insight == S.INSIGHT_TEXT["none"]
