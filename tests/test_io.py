@@ -82,3 +82,19 @@ def test_jobs_versions_and_replay(spark):
     assert len(ids) == len(set(ids))
     tsu = SINK.read_latest(spark, tsu_dir)
     assert tsu.filter(F.col("id").isNull()).count() == 0
+
+
+def test_time_window_prunes_date_partitions(spark):
+    from tremorlake.operators import query as Q
+    from tremorlake.sources.tables import AS_OF, quakes, read_quakes
+
+    path = fresh("curated")
+    q = quakes(spark, SF).withColumn("event_date", F.to_date("time"))
+    q.write.partitionBy("event_date").parquet(path)
+    stored = read_quakes(spark, path)
+    f = Q.since(stored, AS_OF, 7)
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date" in plan.split("PartitionFilters")[1]
+    assert f.count() == Q.since(quakes(spark, SF), AS_OF, 7).count()
+    top = Q.list_events(stored, as_of=AS_OF).collect()
+    assert len(top) == 100

@@ -81,7 +81,11 @@ def since(df: DataFrame, as_of=None, days: int | None = 7, all_time: bool = Fals
     if all_time or days is None:
         return df
     cutoff = ts_literal(as_of) - F.make_dt_interval(F.lit(int(days)))
-    return df.filter(F.col("time") > cutoff)
+    cond = F.col("time") > cutoff
+    if "event_date" in df.columns:
+        # implied by the time test; lets a table partitioned by event date skip folders
+        cond = cond & (F.col("event_date") >= F.to_date(cutoff))
+    return df.filter(cond)
 
 
 def detail(df: DataFrame, usgs_id: str) -> DataFrame:

@@ -161,6 +161,8 @@ def _quakes(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> DataFrame:
 
 
 def read_quakes(spark: SparkSession, path: str) -> DataFrame:
-    """S6 over a stored curated table (parquet, partitioned by event date)."""
-    df = spark.read.parquet(path)
-    return df.drop("event_date") if "event_date" in df.columns else df
+    """S6 over a stored curated table (parquet, partitioned by event date).
+
+    ``event_date`` stays in the frame so that the time window also becomes a
+    partition filter (see ``query.since``)."""
+    return spark.read.parquet(path)
