@@ -162,7 +162,10 @@ def curated_upsert(final: DataFrame, cleaned: DataFrame, stamp: Column | None =
     (K3) in ``id_order``."""
     id_order = id_order or ["time", "usgs_id"]
     merged = upsert(final, cleaned, "usgs_id", FINAL_DATA_COLUMNS, "processed_at", stamp, keep_cols=["id"])
-    merged = merged.checkpoint(eager=True)
+    # No checkpoint of ``merged``: that would copy the whole curated table per
+    # batch.  Its inputs are a table version and a checkpointed batch, so it is
+    # deterministic; kept rows stream into the write and only the inserted rows
+    # are materialised (inside assign_ids).
     old = merged.filter(~F.col("_inserted")).drop("_inserted")
     new = merged.filter(F.col("_inserted")).drop("_inserted", "id")
     start = final.agg(F.max("id")).first()[0] or 0
