@@ -25,6 +25,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TREMOR_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
