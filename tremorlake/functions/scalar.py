@@ -46,7 +46,7 @@ def epoch_ms(c: Column | str) -> Column:
 
 def to_number(c: Column | str, dtype: str = "double") -> Column:
     """Non-numeric text, NaN and +-inf become null; never 0."""
-    d = _c(c).cast("string").try_cast("double")
+    d = _c(c).try_cast("double")  # text is parsed, numbers are converted directly
     ok = d.isNotNull() & ~F.isnan(d) & (F.abs(d) != F.lit(float("inf")))
     out = F.when(ok, d)
     return out if dtype == "double" else out.try_cast(dtype)
