@@ -98,3 +98,18 @@ def test_analysis_bundle_and_grouping_sets_agree(spark):
     for r in parts["daily_counts"].collect():
         assert gs[("day", r.period)] == (r.events, r.avg_magnitude)
     assert parts["dominant"].first().dominant_category in {"Micro", "Leve", "Fuerte", "Severo"}
+
+
+def test_average_depth_and_picks(spark):
+    df = quakes(spark, 40)
+    avg = A.average_depth(df).first()[0]
+    want = sum(float(r.depth) for r in df.collect()) / 40
+    assert abs(avg - want) < 1e-9
+    f = A.analysis_filter(df, all_time=True)
+    assert A.most_active_region(f).first()[0] == A.top_regions(f).first().region
+    assert A.most_active_region(f.limit(0)).first()[0] == "--"
+    top = A.strongest_event(df).first()
+    rows = df.collect()
+    best = max(float(r.mag or 0) for r in rows)
+    newest = max(r.time for r in rows if float(r.mag or 0) == best)
+    assert float(top.mag or 0) == best and top.time == newest   # a null magnitude counts as 0

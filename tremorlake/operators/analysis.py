@@ -187,6 +187,27 @@ def analysis_grouping_sets(f: DataFrame) -> DataFrame:
     return g.select(part.alias("part"), key.alias("key"), "events", "avg_magnitude")
 
 
+# --- A12, A13 ----------------------------------------------------------------------------
+
+def average_depth(df: DataFrame) -> DataFrame:
+    """Mean depth over rows that have one (unrounded; null with none)."""
+    return df.agg(F.avg(F.col("depth").cast("decimal(38,2)")).cast("double").alias("average_depth"))
+
+
+def most_active_region(f: DataFrame) -> DataFrame:
+    """The first row of the top-regions ranking ('--' when there is none)."""
+    top = top_regions(f, 1)
+    return top.agg(F.coalesce(F.first("region"), F.lit("--")).alias("most_active_region"))
+
+
+def strongest_event(df: DataFrame) -> DataFrame:
+    """The strongest event, a null magnitude counting as 0; ties go to the
+    newer event, then the smaller key.  One max_by, no sort."""
+    key = F.struct(F.coalesce(F.col("mag").cast("double"), F.lit(0.0)).alias("m"), F.col("time").alias("t"),
+                   (-F.hash("usgs_id")).alias("h"))
+    return df.agg(F.max_by(F.struct("usgs_id", "mag", "place", "depth", "time"), key).alias("e")).select("e.*")
+
+
 # --- G10 ------------------------------------------------------------------------------
 
 def mean_centre(df: DataFrame) -> DataFrame:
