@@ -7,6 +7,7 @@ are fixed per query so both sides answer the same question.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,17 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import analysis as A
+from ..operators import cluster as CL
 from ..operators import query as Q
+from ..operators import report as R
+from ..operators import upsert as U
+from ..operators import zones as Z
+from ..operators.clean import clean
+from ..operators.constraints import check_schema
+from ..schema import CURATE_INPUT_COLUMNS, RAW_TEXT_LIMITS, RAW_UPDATE_COLUMNS
+from ..session import scratch_path
+from ..sources import feed as FEED
+from ..sources import sinks as SINK
 from ..sources import tables as T
 from . import oracle as O
 
@@ -223,11 +234,7 @@ for _method, _name in (("spheroid", "radius_search"), ("sphere", "radius_search_
 
 # --- Raw upsert, curation, tsunami table ---------------------------------------------------
 
-import datetime as _dt  # noqa: E402
 
-from ..operators import upsert as U  # noqa: E402
-from ..operators.clean import clean  # noqa: E402
-from ..schema import CURATE_INPUT_COLUMNS, RAW_UPDATE_COLUMNS  # noqa: E402
 
 STAMP_1 = T.AS_OF + _dt.timedelta(days=1)
 STAMP_2 = T.AS_OF + _dt.timedelta(days=2)
@@ -303,9 +310,6 @@ def q_tsunami_events(spark, sf_dir):
 
 # --- Feed scan --------------------------------------------------------------------------------
 
-from ..session import scratch_path  # noqa: E402
-from ..sources import feed as FEED  # noqa: E402
-from ..sources import sinks as SINK  # noqa: E402
 
 _MS = "make_timestamp(epoch_us(\"{c}\") // 1000 * 1000)"
 
@@ -340,7 +344,6 @@ def q_feed_scan(spark, sf_dir):
 
 # --- Clusters -----------------------------------------------------------------------------------
 
-from ..operators import cluster as CL  # noqa: E402
 
 CLUSTER_KM = 50.0
 
@@ -375,7 +378,6 @@ def q_cluster_members(spark, sf_dir):
 
 # --- Zones and the zone distance join ---------------------------------------------------------
 
-from ..operators import zones as Z  # noqa: E402
 
 
 def nation_zones(spark, sf_dir) -> DataFrame:
@@ -455,9 +457,6 @@ def q_near_zones(spark, sf_dir):
 
 # --- Report projections, normalised points, constraints ------------------------------------------
 
-from ..operators import report as R  # noqa: E402
-from ..operators.constraints import check_schema  # noqa: E402
-from ..schema import RAW_TEXT_LIMITS  # noqa: E402
 
 
 def _clean_sql(c: str, fallback: str) -> str:
