@@ -36,12 +36,35 @@ def haversine_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colum
     return F.lit(2 * MEAN_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
 
 
+def _lambda_parts(lam, s1, c1, s2, c2):
+    import numpy as np
+
+    sl, cl = np.sin(lam), np.cos(lam)
+    ss = np.sqrt((c2 * sl) ** 2 + (c1 * s2 - s1 * c2 * cl) ** 2)
+    cs = s1 * s2 + c1 * c2 * cl
+    sig = np.arctan2(ss, cs)
+    sa = np.where(ss == 0, 0.0, c1 * c2 * sl / np.where(ss == 0, 1.0, ss))
+    csa = 1 - sa * sa
+    c2m = np.where(csa == 0, 0.0, cs - 2 * s1 * s2 / np.where(csa == 0, 1.0, csa))
+    return ss, cs, sig, sa, csa, c2m
+
+
+def _lambda_step(lam, L, s1, c1, s2, c2):
+    """One step of Vincenty's fixed-point iteration on the auxiliary longitude."""
+    f = WGS84_F
+    ss, cs, sig, sa, csa, c2m = _lambda_parts(lam, s1, c1, s2, c2)
+    C = f / 16 * csa * (4 + f * (4 - 3 * csa))
+    return L + (1 - C) * f * sa * (sig + C * ss * (c2m + C * cs * (-1 + 2 * c2m * c2m)))
+
+
 def vincenty_m(lon1, lat1, lon2, lat2, max_steps: int = 200, tol: float = 1e-12):
     """Vincenty's inverse method on numpy arrays (degrees in, metres out).
 
-    Iterates until every pair has converged (or ``max_steps``); nearly
-    antipodal pairs that do not converge keep their last iterate.  NaN in ->
-    NaN out.
+    The fixed-point iteration runs until every pair has converged (or
+    ``max_steps``).  Pairs where it oscillates (nearly antipodal points) get
+    Steffensen's acceleration of the same iteration, whose solutions are
+    checked in the tests by the direct problem; the few that still do not
+    converge keep the last plain iterate.  NaN in -> NaN out.
     """
     import numpy as np
 
@@ -52,27 +75,27 @@ def vincenty_m(lon1, lat1, lon2, lat2, max_steps: int = 200, tol: float = 1e-12)
     u2 = np.arctan((1 - f) * np.tan(np.radians(lat2)))
     s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
     lam = L.copy()
+    prev = lam
     with np.errstate(invalid="ignore", divide="ignore"):
         for _ in range(max_steps):
-            sl, cl = np.sin(lam), np.cos(lam)
-            ss = np.sqrt((c2 * sl) ** 2 + (c1 * s2 - s1 * c2 * cl) ** 2)
-            cs = s1 * s2 + c1 * c2 * cl
-            sig = np.arctan2(ss, cs)
-            sa = np.where(ss == 0, 0.0, c1 * c2 * sl / ss)
-            csa = 1 - sa * sa
-            c2m = np.where(csa == 0, 0.0, cs - 2 * s1 * s2 / csa)
-            C = f / 16 * csa * (4 + f * (4 - 3 * csa))
-            prev = lam
-            lam = L + (1 - C) * f * sa * (sig + C * ss * (c2m + C * cs * (-1 + 2 * c2m * c2m)))
+            prev, lam = lam, _lambda_step(lam, L, s1, c1, s2, c2)
             if not np.any(np.abs(lam - prev) > tol):
                 break
-        sl, cl = np.sin(lam), np.cos(lam)
-        ss = np.sqrt((c2 * sl) ** 2 + (c1 * s2 - s1 * c2 * cl) ** 2)
-        cs = s1 * s2 + c1 * c2 * cl
-        sig = np.arctan2(ss, cs)
-        sa = np.where(ss == 0, 0.0, c1 * c2 * sl / ss)
-        csa = 1 - sa * sa
-        c2m = np.where(csa == 0, 0.0, cs - 2 * s1 * s2 / csa)
+        stuck = np.abs(lam - prev) > tol
+        if stuck.any():
+            x, args = lam[stuck], (L[stuck], s1[stuck], c1[stuck], s2[stuck], c2[stuck])
+            for _ in range(max_steps):
+                f1 = _lambda_step(x, *args)
+                f2 = _lambda_step(f1, *args)
+                den = f2 - 2 * f1 + x
+                nxt = np.where(den != 0, x - (f1 - x) ** 2 / np.where(den == 0, 1.0, den), f2)
+                moved = np.abs(nxt - x)
+                x = nxt
+                if not np.any(moved > tol):
+                    break
+            fixed = np.abs(_lambda_step(x, *args) - x) <= 1e-10
+            lam[np.flatnonzero(stuck)[fixed]] = x[fixed]
+        ss, cs, sig, sa, csa, c2m = _lambda_parts(lam, s1, c1, s2, c2)
         usq = csa * (a * a - b * b) / (b * b)
         A = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
         B = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
@@ -80,6 +103,74 @@ def vincenty_m(lon1, lat1, lon2, lat2, max_steps: int = 200, tol: float = 1e-12)
         return np.where(ss == 0, 0.0, b * A * (sig - dsig))
 
 
+def vincenty_azimuth(lon1, lat1, lon2, lat2):
+    """Forward azimuth (radians) at the first point, for the same solution as ``vincenty_m``."""
+    import numpy as np
+
+    f = WGS84_F
+    lon1, lat1, lon2, lat2 = (np.asarray(x, dtype="float64") for x in (lon1, lat1, lon2, lat2))
+    L = np.radians(lon2 - lon1)
+    u1 = np.arctan((1 - f) * np.tan(np.radians(lat1)))
+    u2 = np.arctan((1 - f) * np.tan(np.radians(lat2)))
+    s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
+    lam = L.copy()
+    prev = lam
+    with np.errstate(invalid="ignore", divide="ignore"):
+        for _ in range(200):
+            prev, lam = lam, _lambda_step(lam, L, s1, c1, s2, c2)
+            if not np.any(np.abs(lam - prev) > 1e-12):
+                break
+        stuck = np.abs(lam - prev) > 1e-12
+        if stuck.any():
+            x, args = lam[stuck], (L[stuck], s1[stuck], c1[stuck], s2[stuck], c2[stuck])
+            for _ in range(200):
+                f1 = _lambda_step(x, *args)
+                f2 = _lambda_step(f1, *args)
+                den = f2 - 2 * f1 + x
+                nxt = np.where(den != 0, x - (f1 - x) ** 2 / np.where(den == 0, 1.0, den), f2)
+                done = not np.any(np.abs(nxt - x) > 1e-12)
+                x = nxt
+                if done:
+                    break
+            lam[stuck] = x
+    return np.arctan2(c2 * np.sin(lam), c1 * s2 - s1 * c2 * np.cos(lam))
+
+
+def destination(lon1, lat1, azimuth, dist_m):
+    """Vincenty's direct problem (always converges): the point reached from
+    (lon1, lat1) along ``azimuth`` (radians) after ``dist_m`` metres."""
+    import numpy as np
+
+    a, b, f = WGS84_A, WGS84_B, WGS84_F
+    tu1 = (1 - f) * np.tan(np.radians(lat1))
+    cu1 = 1 / np.sqrt(1 + tu1 * tu1)
+    su1 = tu1 * cu1
+    sig1 = np.arctan2(tu1, np.cos(azimuth))
+    sa = cu1 * np.sin(azimuth)
+    csa = 1 - sa * sa
+    usq = csa * (a * a - b * b) / (b * b)
+    A = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
+    B = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
+    sig = dist_m / (b * A)
+    for _ in range(200):
+        c2m = np.cos(2 * sig1 + sig)
+        sn, cn = np.sin(sig), np.cos(sig)
+        ds = B * sn * (c2m + B / 4 * (cn * (-1 + 2 * c2m * c2m) - B / 6 * c2m * (-3 + 4 * sn * sn) * (-3 + 4 * c2m * c2m)))
+        nxt = dist_m / (b * A) + ds
+        done = not np.any(np.abs(nxt - sig) > 1e-13)
+        sig = nxt
+        if done:
+            break
+    c2m = np.cos(2 * sig1 + sig)
+    sn, cn = np.sin(sig), np.cos(sig)
+    tmp = su1 * sn - cu1 * cn * np.cos(azimuth)
+    lat2 = np.arctan2(su1 * cn + cu1 * sn * np.cos(azimuth), (1 - f) * np.sqrt(sa * sa + tmp * tmp))
+    lam = np.arctan2(sn * np.sin(azimuth), cu1 * cn - su1 * sn * np.cos(azimuth))
+    C = f / 16 * csa * (4 + f * (4 - 3 * csa))
+    dl = lam - (1 - C) * f * sa * (sig + C * sn * (c2m + C * cn * (-1 + 2 * c2m * c2m)))
+    return np.asarray(lon1) + np.degrees(dl), np.degrees(lat2)
+
+
 def _geodesic_udf():
     @F.pandas_udf("double")
     def geodesic_m(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
