@@ -12,9 +12,11 @@ of a group:
 3. Whether two neighbouring cells touch is decided on occupied sub-cells: a
    sub-cell pair whose farthest corners are within eps decides "yes", one
    whose nearest sides are beyond eps decides "no".  Undecided sub-cell pairs
-   are split in four and tested again (level by level); only a small residue
-   (few points on each side, or the finest level) compares points.  Dense
-   regions are decided on sub-cells, so point pairs are never emitted for them.
+   are split in four and tested again (level by level, down to sub-cells of
+   1e-5 degrees); only a small residue (few points on each side, or the
+   finest level, which holds at most ~10 x 10 distinct six-decimal points)
+   compares points.  Dense regions are decided on sub-cells, so point pairs
+   are never emitted for them.
 4. Connected components over cells: a grouped union-find inside fixed tiles
    of 32 x 32 cells (applyInPandas; group size bounded by the grid), then
    min-label propagation with pointer jumping over the contracted graph of
@@ -37,7 +39,7 @@ from ..session import broadcast_checked, ensure_checkpoint_dir
 
 KM_PER_DEGREE = 111.32          # fixed value: eps = radius_km / 111.32
 SUB_PER_CELL_BITS = 3           # 8 x 8 sub-cells per cell at the first level
-MAX_LEVELS = 8                  # further halvings of undecided sub-cells
+FINEST_SIDE_DEG = 1e-5          # refinement stops at sub-cells this small (10 x 10 coordinate units)
 POINT_PAIR_BUDGET = 4096        # residue pairs compared point by point
 MARGIN = 1e-9
 
@@ -46,15 +48,23 @@ def eps_from_km(radius_km: float) -> float:
     return float(radius_km) / KM_PER_DEGREE
 
 
+def _levels(eps: float) -> int:
+    """Halvings after the first 8 x 8 split until a sub-cell side is at most
+    FINEST_SIDE_DEG.  Coordinates have six decimals and exact duplicates are
+    collapsed, so a finest sub-cell holds at most ~10 x 10 distinct points."""
+    first = eps / math.sqrt(2) / (1 << SUB_PER_CELL_BITS)
+    return max(0, math.ceil(math.log2(max(first / FINEST_SIDE_DEG, 1.0))))
+
+
 def _quantum(eps: float) -> float:
-    # Cell side = quantum * 2^(SUB_PER_CELL_BITS + MAX_LEVELS) = eps/sqrt(2), shrunk a hair.
-    return eps / math.sqrt(2) * (1 - MARGIN) / (1 << (SUB_PER_CELL_BITS + MAX_LEVELS))
+    # Cell side = quantum * 2^(SUB_PER_CELL_BITS + levels) = eps/sqrt(2), shrunk a hair.
+    return eps / math.sqrt(2) * (1 - MARGIN) / (1 << (SUB_PER_CELL_BITS + _levels(eps)))
 
 
 def _cell_cols(eps: float, x_col: str, y_col: str) -> list:
     """qx, qy (finest lattice) and cx, cy (cell) of a point, as columns."""
     u = _quantum(eps)
-    shift = SUB_PER_CELL_BITS + MAX_LEVELS
+    shift = SUB_PER_CELL_BITS + _levels(eps)
     qx = F.floor(F.col(x_col).cast("double") / F.lit(u)).cast("long")
     qy = F.floor(F.col(y_col).cast("double") / F.lit(u)).cast("long")
     return [qx.alias("qx"), qy.alias("qy"), F.shiftright(qx, shift).alias("cx"), F.shiftright(qy, shift).alias("cy")]
@@ -66,15 +76,15 @@ def _points(df: DataFrame, eps: float, id_col: str, x_col: str, y_col: str) -> D
                     F.col(y_col).cast("double").alias("y"), *_cell_cols(eps, x_col, y_col))
 
 
-def _sub_key(level: int):
-    """Sub-cell coordinates at ``level`` (0 = 8x8 per cell)."""
-    sh = MAX_LEVELS - level
+def _sub_key(level: int, levels: int):
+    """Sub-cell coordinates at ``level`` (0 = 8x8 per cell) of ``levels``."""
+    sh = levels - level
     return F.shiftright("qx", sh).alias("sx"), F.shiftright("qy", sh).alias("sy")
 
 
 def _classify(pairs: DataFrame, level: int, eps: float) -> DataFrame:
     """Adds ``kind``: 1 certain edge, 0 no edge, -1 undecided, from sub-cell geometry."""
-    w = _quantum(eps) * (1 << (MAX_LEVELS - level))
+    w = _quantum(eps) * (1 << (_levels(eps) - level))
 
     def gap(a, b):
         # distance between integer intervals [a, a+1) and [b, b+1), in cells of width w
@@ -97,6 +107,7 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
     ``pts`` should be materialised (checkpointed) by the caller: every level
     reads it.  Levels run eagerly and stop as soon as nothing is undecided.
     """
+    levels = _levels(eps)
     cells = pts.groupBy("cx", "cy").agg(F.min("pid").alias("node")).checkpoint(eager=True)
     offsets = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if dx > 0 or (dx == 0 and dy > 0)]
     off = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in offsets]))
@@ -109,7 +120,7 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
     keyed = pts.join(broadcast_checked(cells), ["cx", "cy"]).select("node", "qx", "qy", "x", "y")
 
     def occupied(level: int) -> DataFrame:
-        return keyed.groupBy("node", *_sub_key(level)).agg(F.count(F.lit(1)).alias("n"))
+        return keyed.groupBy("node", *_sub_key(level, levels)).agg(F.count(F.lit(1)).alias("n"))
 
     def sides(occ: DataFrame, parent: bool):
         cols_a = [F.col("node").alias("na"), F.col("n").alias("an")]
@@ -130,8 +141,8 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
     open_pairs = pairs.filter(F.col("kind") == -1).join(decided[0], ["na", "nb"], "left_anti")
     residues = []
     small = F.col("an") * F.col("bn") <= F.lit(POINT_PAIR_BUDGET)
-    for level in range(0, MAX_LEVELS + 1):
-        if level == MAX_LEVELS:
+    for level in range(0, levels + 1):
+        if level == levels:
             residues.append((level, open_pairs))
             break
         residues.append((level, open_pairs.filter(small)))
@@ -148,7 +159,7 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
 
     e2 = eps * eps
     for level, res in residues:
-        p_level = keyed.select("node", "x", "y", *_sub_key(level))
+        p_level = keyed.select("node", "x", "y", *_sub_key(level, levels))
         pa = p_level.select(F.col("node").alias("na"), F.col("sx").alias("ax"), F.col("sy").alias("ay"),
                             F.col("x").alias("x1"), F.col("y").alias("y1"))
         pb = p_level.select(F.col("node").alias("nb"), F.col("sx").alias("bx"), F.col("sy").alias("by"),
