@@ -98,3 +98,22 @@ def test_time_window_prunes_date_partitions(spark):
     assert f.count() == Q.since(quakes(spark, SF), AS_OF, 7).count()
     top = Q.list_events(stored, as_of=AS_OF).collect()
     assert len(top) == 100
+
+
+def test_stored_layout_prunes_row_groups(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tremorlake.operators import query as Q
+    from tremorlake.sources.tables import quakes, read_quakes
+
+    q = quakes(spark, SF).withColumn("event_date", F.to_date("time")).coalesce(1)
+    root = fresh("layout")
+    path = SINK.write_version(q, root, 1, partition_by=["event_date"],
+                              sort_within=SINK.spatial_sort_keys() + [F.col("time")], bloom_columns=["usgs_id"])
+    f = sorted(glob.glob(f"{path}/event_date=*/*.parquet"))[0]
+    lat = pq.read_table(f, columns=["latitude"]).column(0).to_pylist()
+    assert lat == sorted(lat, key=lambda v: int((float(v) + 90) // 1))   # latitude bands ascending
+    stored = read_quakes(spark, path)
+    assert Q.detail(stored, "ev123").count() == 1

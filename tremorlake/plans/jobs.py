@@ -61,7 +61,8 @@ def curate(spark: SparkSession, raw_dir: str, final_dir: str, tsunami_dir: str,
     else:
         new_final = U.curated_upsert(final, cleaned, stamp=stamp_col)
     new_final = new_final.withColumn("event_date", F.to_date("time"))
-    SINK.write_version(new_final, final_dir, version, partition_by=["event_date"], sort_within=["time"])
+    SINK.write_version(new_final, final_dir, version, partition_by=["event_date"],
+                       sort_within=SINK.spatial_sort_keys() + [F.col("time")], bloom_columns=["usgs_id"])
     latest = SINK.read_latest(spark, final_dir)
     SINK.write_version(U.refresh_tsunami(latest), tsunami_dir, version, sort_within=[F.col("time").desc()])
     return {"mode": "full" if full else "incremental", "read": read, "transformed": transformed,

@@ -101,12 +101,26 @@ def version_path(table_dir: str, version: int) -> str:
     return f"{table_dir.rstrip('/')}/v{version:08d}"
 
 
+def spatial_sort_keys(lat: str = "latitude", lon: str = "longitude", band_deg: float = 1.0) -> list:
+    """Sort keys that make parquet row groups spatially compact: latitude band,
+    then longitude band.  Row-group min/max of the coordinates then prune the
+    decimal bounding box of a radius search (partitions already serve time)."""
+    return [F.floor((F.col(lat) + F.lit(90)) / F.lit(band_deg)), F.floor((F.col(lon) + F.lit(180)) / F.lit(band_deg))]
+
+
 def write_version(df: DataFrame, table_dir: str, version: int, partition_by: list[str] | None = None,
-                  sort_within: list[str] | None = None) -> str:
-    """Write one table version; rewriting the same version is idempotent."""
+                  sort_within: list | None = None, bloom_columns: list[str] | None = None) -> str:
+    """Write one table version; rewriting the same version is idempotent.
+
+    ``bloom_columns`` get parquet bloom filters, so equality lookups on them
+    (a key lookup) skip row groups."""
     path = version_path(table_dir, version)
-    w = df.sortWithinPartitions(*sort_within) if sort_within else df
+    # Partition columns lead the sort: the writer needs that order anyway and
+    # would otherwise re-sort by them alone, losing the layout order.
+    w = df.sortWithinPartitions(*(partition_by or []), *sort_within) if sort_within else df
     writer = w.write.mode("overwrite")
+    for c in bloom_columns or []:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
