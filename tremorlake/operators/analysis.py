@@ -190,8 +190,10 @@ def analysis_grouping_sets(f: DataFrame) -> DataFrame:
 # --- A12, A13 ----------------------------------------------------------------------------
 
 def average_depth(df: DataFrame) -> DataFrame:
-    """Mean depth over rows that have one (unrounded; null with none)."""
-    return df.agg(F.avg(F.col("depth").cast("decimal(38,2)")).cast("double").alias("average_depth"))
+    """Mean depth over rows that have one (unrounded; null with none).
+    The sum is exact (decimal), so the value does not depend on partitioning."""
+    d = F.col("depth").cast("decimal(10,2)")
+    return df.agg(F.try_divide(F.sum(d).cast("double"), F.count(d)).alias("average_depth"))
 
 
 def most_active_region(f: DataFrame) -> DataFrame:
@@ -201,11 +203,14 @@ def most_active_region(f: DataFrame) -> DataFrame:
 
 
 def strongest_event(df: DataFrame) -> DataFrame:
-    """The strongest event, a null magnitude counting as 0; ties go to the
-    newer event, then the smaller key.  One max_by, no sort."""
+    """The strongest event, a null magnitude counting as 0.  Ties go to the
+    row that comes first in the list order (newer time, then larger id).  One
+    max_by, no sort; no row for an empty input."""
+    tie = F.col("id") if "id" in df.columns else F.col("usgs_id")
     key = F.struct(F.coalesce(F.col("mag").cast("double"), F.lit(0.0)).alias("m"), F.col("time").alias("t"),
-                   (-F.hash("usgs_id")).alias("h"))
-    return df.agg(F.max_by(F.struct("usgs_id", "mag", "place", "depth", "time"), key).alias("e")).select("e.*")
+                   tie.alias("k"))
+    best = df.agg(F.max_by(F.struct("usgs_id", "mag", "place", "depth", "time"), key).alias("e"))
+    return best.filter(F.col("e").isNotNull()).select("e.*")
 
 
 # --- G10 ------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from ..functions import scalar as S
 from ..operators import analysis as A
@@ -596,7 +597,7 @@ def q_analysis_radius_summary(spark, sf_dir):
     return A.summary(f)
 
 
-def _lenient_sql() -> str:
+def _lenient_select() -> str:
     sel = []
     for n in O.RAW_NAMES:
         if n == "id":
@@ -607,9 +608,78 @@ def _lenient_sql() -> str:
             sel.append(f"coalesce({_MS.format(c='updated')}, TIMESTAMP '1970-01-01 00:00:00') AS \"updated\"")
         else:
             sel.append(O.out_col(n))
-    return O.with_ctes(O.RAW_CTE) + f"SELECT {', '.join(sel)} FROM raw"
+    return f"SELECT {', '.join(sel)} FROM raw"
+
+
+def _lenient_sql() -> str:
+    return O.with_ctes(O.RAW_CTE) + _lenient_select()
 
 
 @register("feed_scan_lenient", _lenient_sql())
 def q_feed_scan_lenient(spark, sf_dir):
     return _doubles(FEED.read_feed(spark, landed_feed(spark, sf_dir), strict=False, multi_line=False))
+
+
+# --- Picks and the analysis frame (A12, A13, P33) ------------------------------------------
+
+@register("average_depth", O.with_ctes(O.filtered()) + """
+SELECT CAST(sum(depth) AS DOUBLE) / count(depth) AS average_depth FROM filtered""")
+def q_average_depth(spark, sf_dir):
+    return A.average_depth(_analysis_frame(spark, sf_dir))
+
+
+@register("most_active_region", O.with_ctes(O.filtered()) + f"""
+SELECT coalesce((SELECT region FROM filtered GROUP BY region
+                 ORDER BY count(*) DESC, {O.avg_exact('mag')} DESC NULLS FIRST, region LIMIT 1), '--')
+       AS most_active_region""")
+def q_most_active_region(spark, sf_dir):
+    return A.most_active_region(_analysis_frame(spark, sf_dir))
+
+
+@register("strongest_event", O.with_ctes(O.filtered()) + """
+SELECT usgs_id, CAST(mag AS DOUBLE) AS mag, place, CAST(depth AS DOUBLE) AS depth, time
+FROM filtered ORDER BY coalesce(CAST(mag AS DOUBLE), 0.0) DESC, time DESC NULLS LAST, id DESC LIMIT 1""")
+def q_strongest_event(spark, sf_dir):
+    return _doubles(A.strongest_event(_analysis_frame(spark, sf_dir)))
+
+
+_STRIP = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+_P18_TEXT = _STRIP.format(x="place")
+_P18_TAIL = {sep: _STRIP.format(x=f"string_split({_P18_TEXT}, '{sep}')[-1]") for sep in (",", " of ")}
+_P18_REGION = (f"CASE WHEN place IS NULL OR place = '' THEN '{S.NO_PLACE}' "
+               f"WHEN {_P18_TEXT} LIKE '%,%' THEN coalesce(nullif({_P18_TAIL[',']}, ''), {_P18_TEXT}) "
+               f"WHEN {_P18_TEXT} LIKE '% of %' THEN coalesce(nullif({_P18_TAIL[' of ']}, ''), {_P18_TEXT}) "
+               f"ELSE {_P18_TEXT} END")
+_P15_CLASS = ("CASE WHEN mag >= -10 AND mag <= 2 THEN 'Micro' WHEN mag > 2 AND mag <= 4 THEN 'Leve' "
+              "WHEN mag > 4 AND mag <= 6 THEN 'Fuerte' WHEN mag > 6 AND mag <= 10 THEN 'Severo' ELSE 'nan' END")
+
+
+@register("analysis_frame", O.with_ctes() + f"""
+SELECT usgs_id, CAST(mag AS DOUBLE) AS mag, CAST(depth AS DOUBLE) AS depth, time, place,
+ {_P15_CLASS} AS category, {_P18_REGION} AS region, strftime(time, '%Y-%m-%d') AS day
+FROM quakes WHERE mag IS NOT NULL""")
+def q_analysis_frame(spark, sf_dir):
+    from ..operators.clean import analysis_frame
+
+    f = analysis_frame(_quakes(spark, sf_dir).select("usgs_id", "mag", "depth", "time", "place"))
+    return f.select("usgs_id", F.col("mag").cast("double").alias("mag"), F.col("depth").cast("double").alias("depth"),
+                    "time", "place", "category", "region", "day")
+
+
+# --- Extract -> transform: lenient scan, records, cleaning, GeoJSON (S2, K6, S3, P3-P6, K7) ----------
+
+@register("transform_geojson", O.with_ctes(O.RAW_CTE, f"len AS ({_lenient_select()})") + """
+SELECT usgs_id, CAST(mag AS DOUBLE) AS mag, coalesce(place, 'Unknown') AS place, time, updated,
+ coalesce("magType", 'unknown') AS "magType", coalesce(tsunami, 0) AS tsunami, coalesce(alert, '') AS alert,
+ coalesce(status, 'unknown') AS status, coalesce(sig, 0) AS sig, CAST(depth AS DOUBLE) AS depth,
+ CAST(longitude AS DOUBLE) AS longitude, CAST(latitude AS DOUBLE) AS latitude
+FROM len WHERE """ + O.VALID)
+def q_transform_geojson(spark, sf_dir):
+    extracted = FEED.read_feed(spark, landed_feed(spark, sf_dir), strict=False, multi_line=False)
+    records = scratch_path(spark, "records")
+    SINK.write_records(extracted, records)
+    cleaned = clean(FEED.read_records(spark, records).select(*CURATE_INPUT_COLUMNS))
+    points = scratch_path(spark, "geojson")
+    SINK.write_geojson(cleaned, points)
+    props = T_.StructType([f for f in cleaned.schema.fields if f.name not in ("longitude", "latitude")])
+    return _doubles(FEED.read_geojson(spark, points, props))

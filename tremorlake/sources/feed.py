@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import epoch_ms
 from ..schema import FEED_PROPERTIES, FEED_SCHEMA, RAW_COLUMNS
@@ -80,3 +81,19 @@ def read_records(spark: SparkSession, path: str, schema=None, multi_line: bool =
     schema = schema or RAW_SCHEMA
     return (spark.read.schema(schema).option("multiLine", multi_line)
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]").json(path))
+
+
+def read_geojson(spark: SparkSession, path: str, properties: T.StructType) -> DataFrame:
+    """GeoJSON lines (one Feature per line, as ``sinks.write_geojson`` writes them)
+    -> one row per feature: the properties plus longitude and latitude."""
+    from ..sources.sinks import ISO_NTZ
+
+    schema = T.StructType([
+        T.StructField("type", T.StringType()),
+        T.StructField("properties", properties),
+        T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()),
+                                                T.StructField("coordinates", T.ArrayType(T.DoubleType()))])),
+    ])
+    feats = spark.read.schema(schema).option("timestampNTZFormat", ISO_NTZ).json(path)
+    xy = F.col("geometry.coordinates")
+    return feats.select("properties.*", xy[0].alias("longitude"), xy[1].alias("latitude"))
