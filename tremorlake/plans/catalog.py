@@ -683,3 +683,37 @@ def q_transform_geojson(spark, sf_dir):
     SINK.write_geojson(cleaned, points)
     props = T_.StructType([f for f in cleaned.schema.fields if f.name not in ("longitude", "latitude")])
     return _doubles(FEED.read_geojson(spark, points, props))
+
+
+# --- Run summaries of the versioned jobs (K9) ---------------------------------------------------
+
+_RUNS_SQL = O.with_ctes(
+    O.RAW_CTE, *O.HALVES, O.raw_upsert_cte(RAW_UPDATE_COLUMNS, STAMP_1_SQL),
+    O.first_load_cte("f0", "cur", O.AS_OF_SQL),
+    "ch AS (SELECT r.* FROM up r LEFT JOIN f0 e ON e.usgs_id = r.usgs_id WHERE r.longitude IS NOT NULL "
+    "AND r.latitude IS NOT NULL AND (e.usgs_id IS NULL OR coalesce(r.updated, r.time, TIMESTAMP '1970-01-01') "
+    "> coalesce(e.updated, e.time, TIMESTAMP '1970-01-01')))") + f"""
+SELECT 1 AS version, 'ingest' AS stage, 'upsert' AS mode, count(*) AS "read", count(*) AS transformed,
+ count(*) AS loaded FROM cur
+UNION ALL SELECT 1, 'curate', 'full', count(*) FILTER (WHERE longitude IS NOT NULL AND latitude IS NOT NULL),
+ count(*) FILTER (WHERE {O.VALID}), count(*) FILTER (WHERE {O.VALID}) FROM cur
+UNION ALL SELECT 2, 'ingest', 'upsert', count(*), count(*), count(*) FROM bat
+UNION ALL SELECT 2, 'curate', 'incremental', count(*), count(*) FILTER (WHERE {O.VALID}),
+ count(*) FILTER (WHERE {O.VALID}) FROM ch"""
+
+
+@register("run_summaries", _RUNS_SQL)
+def q_run_summaries(spark, sf_dir):
+    from . import jobs
+
+    cur, bat = _halves(spark, sf_dir)
+    root = scratch_path(spark, "runs")
+    raw_dir, final_dir, tsu_dir = (f"{root}/{t}" for t in ("raw", "final", "tsunami"))
+    rows = []
+    for version, batch, full, stamp in ((1, cur, True, T.AS_OF), (2, bat, False, STAMP_1)):
+        ing = jobs.ingest_batch(spark, batch, raw_dir, version, stamp=stamp)
+        cur_run = jobs.curate(spark, raw_dir, final_dir, tsu_dir, version, full=full, stamp=stamp)
+        rows.append((version, "ingest", "upsert", ing["events"], ing["events"], ing["inserted"]))
+        rows.append((version, "curate", cur_run["mode"], cur_run["read"], cur_run["transformed"], cur_run["loaded"]))
+    return spark.createDataFrame(rows, "version int, stage string, mode string, read long, transformed long, "
+                                       "loaded long")
