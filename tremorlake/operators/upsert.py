@@ -10,7 +10,7 @@ without a shuffle; a batch beyond the bound takes a shuffled full outer join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schema import FINAL_DATA_COLUMNS, RAW_UPDATE_COLUMNS, TSUNAMI_COLUMNS
@@ -43,10 +43,6 @@ def fold_batch(batch: DataFrame, key: str, update_cols: list[str], order: Column
     return g.select(key, *[F.col(f"_last.{c}" if c in update_cols else f"_first.{c}").alias(c) for c in cols])
 
 
-def _proven_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str], stamp_col: str | None = None,
            stamp: Column | None = None, order: Column | str | None = None, keep_cols: list[str] | None = None,
            broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -63,7 +59,11 @@ def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(current.sparkSession)
-    folded = fold_batch(batch, key, update_cols, order).checkpoint(eager=True)
+    # The checkpoint job also counts the folded keys (an Observation), so the
+    # size proof for the broadcast costs no extra job.
+    sized = Observation()
+    folded = (fold_batch(batch, key, update_cols, order)
+              .observe(sized, F.count(F.lit(1)).alias("keys")).checkpoint(eager=True))
     b_cols = [c for c in folded.columns if c != key]
     b = folded.select(F.col(key), F.lit(True).alias("_b"), *[F.col(c).alias(f"_b_{c}") for c in b_cols])
     stamp = stamp if stamp is not None else F.current_timestamp().cast("timestamp_ntz")
@@ -83,7 +83,7 @@ def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str
                 out.append(F.col(c))
         return out + [(~cur_present).alias("_inserted")]
 
-    if _proven_small(folded, broadcast_limit):
+    if sized.get["keys"] <= broadcast_limit:
         small = F.broadcast(b)
         updated = current.join(small, key, "left")
         kept = updated.select(*merged(F.lit(True), F.col("_b").isNotNull()))

@@ -49,11 +49,11 @@ def curate(spark: SparkSession, raw_dir: str, final_dir: str, tsunami_dir: str,
         todo = read_raw(raw)
     else:
         todo = U.changed(raw, final).select(*CURATE_INPUT_COLUMNS)
-    seen = Observation("curate")
+    seen, kept = Observation("curate"), Observation("cleaned")
     todo = todo.observe(seen, F.count(F.lit(1)).alias("rows"))
-    cleaned = clean(todo).checkpoint(eager=True)   # one job reads, cleans and counts
-    read = seen.get["rows"]
-    transformed = cleaned.count()                  # a count over the checkpoint
+    # one job reads, cleans and counts both sides of the cleaning
+    cleaned = clean(todo).observe(kept, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    read, transformed = seen.get["rows"], kept.get["rows"]
     if transformed == 0:
         return {"mode": "full" if full else "incremental", "read": read, "transformed": 0, "loaded": 0}
     if final is None:
