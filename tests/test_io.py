@@ -117,3 +117,26 @@ def test_stored_layout_prunes_row_groups(spark):
     assert lat == sorted(lat, key=lambda v: int((float(v) + 90) // 1))   # latitude bands ascending
     stored = read_quakes(spark, path)
     assert Q.detail(stored, "ev123").count() == 1
+
+
+def test_geojson_read_back(spark):
+    from pyspark.sql import types as T
+
+    from tremorlake.operators.clean import clean
+    from tremorlake.schema import CURATE_INPUT_COLUMNS
+    from tremorlake.sources.feed import read_geojson
+
+    cleaned = clean(derived_raw(spark, SF).select(*CURATE_INPUT_COLUMNS))
+    path = fresh("points")
+    SINK.write_geojson(cleaned, path)
+    props = [f for f in cleaned.schema.fields if f.name not in ("longitude", "latitude")]
+    back = read_geojson(spark, path, T.StructType(props))
+    cols = [F.col(c).cast("double").alias(c) if c in ("mag", "depth", "longitude", "latitude") else F.col(c)
+            for c in CURATE_INPUT_COLUMNS]
+    # ISO text carries milliseconds; compare at that precision
+    trunc = [F.date_trunc("millisecond", c).cast("timestamp_ntz").alias(c) for c in ("time", "updated")]
+    want = cleaned.select(*cols)
+    want = want.select(*[c for c in want.columns if c not in ("time", "updated")], *trunc)
+    got = back.select(*cols).select(*[c for c in want.columns if c not in ("time", "updated")], *trunc)
+    assert got.count() == cleaned.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

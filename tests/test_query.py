@@ -113,3 +113,21 @@ def test_average_depth_and_picks(spark):
     best = max(float(r.mag or 0) for r in rows)
     newest = max(r.time for r in rows if float(r.mag or 0) == best)
     assert float(top.mag or 0) == best and top.time == newest   # a null magnitude counts as 0
+
+
+def test_strongest_event_ties_and_empty(spark):
+    t = AS_OF - dt.timedelta(hours=1)
+    rows = [(1, "a", Decimal("5.00"), t), (7, "b", Decimal("5.00"), t), (3, "c", None, t + dt.timedelta(hours=1)),
+            (2, "d", Decimal("4.00"), t + dt.timedelta(hours=2))]
+    df = spark.createDataFrame(rows, "id long, usgs_id string, mag decimal(6,2), time timestamp_ntz").select(
+        "*", F.lit("p").alias("place"), F.lit(Decimal("1.00")).cast("decimal(10,2)").alias("depth"))
+    # equal magnitude and time: the row listed first in recent order (larger id) wins
+    assert A.strongest_event(df).first().usgs_id == "b"
+    assert A.strongest_event(df.filter(F.col("mag").isNull())).first().usgs_id == "c"   # null counts as 0
+    assert A.strongest_event(df.limit(0)).count() == 0
+
+
+def test_average_depth_exact_sum(spark):
+    df = spark.createDataFrame([(Decimal("0.10"),), (Decimal("0.20"),), (None,)], "depth decimal(10,2)")
+    assert abs(A.average_depth(df).first()[0] - 0.15) < 1e-15      # exact decimal sum, one division
+    assert A.average_depth(df.filter("depth IS NULL")).first()[0] is None
