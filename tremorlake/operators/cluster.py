@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
@@ -146,8 +146,10 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
             residues.append((level, open_pairs))
             break
         residues.append((level, open_pairs.filter(small)))
-        big = open_pairs.filter(~small).select("na", "nb", "ax", "ay", "bx", "by").checkpoint(eager=True)
-        if big.limit(1).count() == 0:
+        seen = Observation()
+        big = (open_pairs.filter(~small).select("na", "nb", "ax", "ay", "bx", "by")
+               .observe(seen, F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+        if seen.get["n"] == 0:
             break
         ca, cb = sides(occupied(level + 1), parent=True)
         refined = big.join(ca, ["na", "ax", "ay"]).join(cb, ["nb", "bx", "by"]).select(
@@ -179,8 +181,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
 
     Each round: every node takes the smallest label among itself and its
     neighbours, then follows label -> label-of-label ``jumps`` times (pointer
-    jumping).  The round's result is checkpointed together with a changed
-    flag, so the stop test reads the checkpoint instead of recomputing.
+    jumping).  The round's result is checkpointed; the number of changed
+    labels is an observed metric of that same job, so the stop test costs no
+    extra job.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
@@ -198,10 +201,10 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
             step = step.alias("a").join(step.alias("b"), F.col("a.label") == F.col("b.node"), "left").select(
                 F.col("a.node").alias("node"), F.col("a.old").alias("old"),
                 F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label"))).alias("label"))
-        step = step.withColumn("changed", F.col("label") != F.col("old")).drop("old").checkpoint(eager=True)
-        moved = step.filter(F.col("changed")).limit(1).count()
-        labels = step.drop("changed")
-        if moved == 0:
+        moved = Observation()
+        labels = step.observe(moved, F.count(F.when(F.col("label") != F.col("old"), 1)).alias("n")).select(
+            "node", "label").checkpoint(eager=True)
+        if moved.get["n"] == 0:
             break
     return labels
 
