@@ -12,8 +12,8 @@ of a group:
 3. Whether two neighbouring cells touch is decided on occupied sub-cells: a
    sub-cell pair whose farthest corners are within eps decides "yes", one
    whose nearest sides are beyond eps decides "no".  Undecided sub-cell pairs
-   are split in four and tested again (level by level, down to sub-cells of
-   1e-5 degrees); only a small residue (few points on each side, or the
+   are split 4 x 4 and tested again (level by level, down to sub-cells of
+   at most 1e-5 degrees); only a small residue (few points on each side, or the
    finest level, which holds at most ~10 x 10 distinct six-decimal points)
    compares points.  Dense regions are decided on sub-cells, so point pairs
    are never emitted for them.
@@ -35,10 +35,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..session import broadcast_checked, ensure_checkpoint_dir
+from ..session import BROADCAST_ROW_LIMIT, broadcast_checked, ensure_checkpoint_dir
 
 KM_PER_DEGREE = 111.32          # fixed value: eps = radius_km / 111.32
 SUB_PER_CELL_BITS = 3           # 8 x 8 sub-cells per cell at the first level
+LEVEL_BITS = 2                  # each refinement splits a sub-cell 4 x 4
 FINEST_SIDE_DEG = 1e-5          # refinement stops at sub-cells this small (10 x 10 coordinate units)
 POINT_PAIR_BUDGET = 4096        # residue pairs compared point by point
 MARGIN = 1e-9
@@ -49,22 +50,22 @@ def eps_from_km(radius_km: float) -> float:
 
 
 def _levels(eps: float) -> int:
-    """Halvings after the first 8 x 8 split until a sub-cell side is at most
-    FINEST_SIDE_DEG.  Coordinates have six decimals and exact duplicates are
+    """Refinements (each a 4 x 4 split) after the first 8 x 8 split until a
+    sub-cell side is at most FINEST_SIDE_DEG.  Coordinates have six decimals and exact duplicates are
     collapsed, so a finest sub-cell holds at most ~10 x 10 distinct points."""
     first = eps / math.sqrt(2) / (1 << SUB_PER_CELL_BITS)
-    return max(0, math.ceil(math.log2(max(first / FINEST_SIDE_DEG, 1.0))))
+    return max(0, math.ceil(math.log2(max(first / FINEST_SIDE_DEG, 1.0)) / LEVEL_BITS))
 
 
 def _quantum(eps: float) -> float:
-    # Cell side = quantum * 2^(SUB_PER_CELL_BITS + levels) = eps/sqrt(2), shrunk a hair.
-    return eps / math.sqrt(2) * (1 - MARGIN) / (1 << (SUB_PER_CELL_BITS + _levels(eps)))
+    # Cell side = quantum * 2^(SUB_PER_CELL_BITS + LEVEL_BITS * levels) = eps/sqrt(2), shrunk a hair.
+    return eps / math.sqrt(2) * (1 - MARGIN) / (1 << (SUB_PER_CELL_BITS + LEVEL_BITS * _levels(eps)))
 
 
 def _cell_cols(eps: float, x_col: str, y_col: str) -> list:
     """qx, qy (finest lattice) and cx, cy (cell) of a point, as columns."""
     u = _quantum(eps)
-    shift = SUB_PER_CELL_BITS + _levels(eps)
+    shift = SUB_PER_CELL_BITS + LEVEL_BITS * _levels(eps)
     qx = F.floor(F.col(x_col).cast("double") / F.lit(u)).cast("long")
     qy = F.floor(F.col(y_col).cast("double") / F.lit(u)).cast("long")
     return [qx.alias("qx"), qy.alias("qy"), F.shiftright(qx, shift).alias("cx"), F.shiftright(qy, shift).alias("cy")]
@@ -78,13 +79,13 @@ def _points(df: DataFrame, eps: float, id_col: str, x_col: str, y_col: str) -> D
 
 def _sub_key(level: int, levels: int):
     """Sub-cell coordinates at ``level`` (0 = 8x8 per cell) of ``levels``."""
-    sh = levels - level
+    sh = LEVEL_BITS * (levels - level)
     return F.shiftright("qx", sh).alias("sx"), F.shiftright("qy", sh).alias("sy")
 
 
 def _classify(pairs: DataFrame, level: int, eps: float) -> DataFrame:
     """Adds ``kind``: 1 certain edge, 0 no edge, -1 undecided, from sub-cell geometry."""
-    w = _quantum(eps) * (1 << (_levels(eps) - level))
+    w = _quantum(eps) * (1 << (LEVEL_BITS * (_levels(eps) - level)))
 
     def gap(a, b):
         # distance between integer intervals [a, a+1) and [b, b+1), in cells of width w
@@ -126,9 +127,9 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
         cols_a = [F.col("node").alias("na"), F.col("n").alias("an")]
         cols_b = [F.col("node").alias("nb"), F.col("n").alias("bn")]
         if parent:
-            cols_a += [F.shiftright("sx", 1).alias("ax"), F.shiftright("sy", 1).alias("ay"),
+            cols_a += [F.shiftright("sx", LEVEL_BITS).alias("ax"), F.shiftright("sy", LEVEL_BITS).alias("ay"),
                        F.col("sx").alias("cax"), F.col("sy").alias("cay")]
-            cols_b += [F.shiftright("sx", 1).alias("bx"), F.shiftright("sy", 1).alias("by"),
+            cols_b += [F.shiftright("sx", LEVEL_BITS).alias("bx"), F.shiftright("sy", LEVEL_BITS).alias("by"),
                        F.col("sx").alias("cbx"), F.col("sy").alias("cby")]
         else:
             cols_a += [F.col("sx").alias("ax"), F.col("sy").alias("ay")]
@@ -190,15 +191,25 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
     und = edges.select(F.col("na").alias("src"), F.col("nb").alias("dst")).unionByName(
         edges.select(F.col("nb").alias("src"), F.col("na").alias("dst")))
     und = und.checkpoint(eager=True)
-    labels = nodes.select("node", F.col("node").alias("label")).checkpoint(eager=True)
+    sized = Observation()
+    labels = (nodes.select("node", F.col("node").alias("label"))
+              .observe(sized, F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+    # A node table proven within the broadcast bound (e.g. the contracted graph)
+    # is shipped to the tasks in every round instead of being shuffled: the
+    # edges stay where they are and each round has one shuffle (the min).
+    small = sized.get["n"] <= BROADCAST_ROW_LIMIT
+
+    def ship(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
     for _ in range(max_rounds):
-        nbr = und.join(labels.withColumnRenamed("node", "src"), "src").groupBy("dst").agg(
+        nbr = und.join(ship(labels.withColumnRenamed("node", "src")), "src").groupBy("dst").agg(
             F.min("label").alias("m"))
-        step = labels.join(nbr.withColumnRenamed("dst", "node"), "node", "left").select(
+        step = labels.join(ship(nbr.withColumnRenamed("dst", "node")), "node", "left").select(
             "node", F.col("label").alias("old"),
             F.least(F.col("label"), F.coalesce(F.col("m"), F.col("label"))).alias("label"))
         for _j in range(jumps):
-            step = step.alias("a").join(step.alias("b"), F.col("a.label") == F.col("b.node"), "left").select(
+            step = step.alias("a").join(ship(step.alias("b")), F.col("a.label") == F.col("b.node"), "left").select(
                 F.col("a.node").alias("node"), F.col("a.old").alias("old"),
                 F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label"))).alias("label"))
         moved = Observation()
