@@ -116,3 +116,22 @@ def test_insight(spark):
     assert r.dominant_category == "Micro" and r.insight == S.INSIGHT_TEXT["strong"]
     r = run({"Micro": 0, "Leve": 0, "Fuerte": 0, "Severo": 0})
     assert r.dominant_category == "--" and r.insight == S.INSIGHT_TEXT["none"]
+
+
+def test_oracle_texts_agree_on_edge_places(spark):
+    """The DuckDB texts behind analysis_frame state P15 and P18 independently;
+    they must agree with the Spark expressions on edge rows too."""
+    import duckdb
+
+    from tremorlake.plans.catalog import _P15_CLASS, _P18_REGION
+
+    places = [None, "", "  ", "abc,", "  5 km S of X  ", "Ridge", "a, b ,  c ", "x of y of z", " of ", "a,  "]
+    got = one_col(spark, places, lambda c: S.region(c, keep_tail=True), "string")
+    want = [duckdb.execute(f"SELECT {_P18_REGION} FROM (SELECT CAST(? AS VARCHAR) AS place)", [p]).fetchone()[0]
+            for p in places]
+    assert got == want
+    mags = [-10.5, -10.0, 2.0, 2.01, 4.0, 6.0, 6.01, 10.0, 10.01]
+    got = one_col(spark, mags, lambda c: S.mag_class(c, closed="right"))
+    want = [duckdb.execute(f"SELECT {_P15_CLASS} FROM (SELECT CAST(? AS DOUBLE) AS mag)", [m]).fetchone()[0]
+            for m in mags]
+    assert got == want
