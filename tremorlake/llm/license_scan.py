@@ -32,10 +32,10 @@ NOTICES = [
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("gpl-3.0", "licensed under the gnu general public license version 3"),
-    ("gpl-2.0", "licensed under the gnu general public license version 2"),
-    ("lgpl", "licensed under the gnu lesser general public license"),
-    ("agpl", "licensed under the gnu affero general public license"),
+    ("gpl-3.0", "general public license version 3"),
+    ("gpl-2.0", "general public license version 2"),
+    ("lgpl", "gnu lesser general public license"),
+    ("agpl", "gnu affero general public license"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license"),
@@ -43,7 +43,7 @@ NOTICES = [
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 ]
 
-MIN_COVER = 0.75
+MIN_COVER = 0.8
 MERGE_GAP = 2
 
 
