@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm import license_scan, line_dedup, pii, secret_scan
+from tremorlake.llm import byte_bpe, license_scan, line_dedup, pii, secret_scan
 from tremorlake.llm.common import table
 
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
+    return coded.select("doc_id", F.floor(F.length("ids") / 4).alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.pseudonymise(table(spark, sf_dir, "documents")))
 
@@ -26,5 +35,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op4_pii, op5_secret_scan, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op4_pii, op5_secret_scan, op10_license_scan)}
 ORACLE: dict[str, str] = {}
