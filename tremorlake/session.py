@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +32,32 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per context, as ``--py-files`` would.
+
+    Python functions that run there import it.  Where it is installed on all
+    machines, ``spark.tremorlake.installed=true`` leaves this out.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tremorlake_shipped", False) or sc.getConf().get("spark.tremorlake.installed", "false") == "true":
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):
+        path = os.path.join(tempfile.mkdtemp(prefix="tremorlake-"), "tremorlake.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+            for folder, _, names in os.walk(here):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        out.write(full, os.path.join("tremorlake", os.path.relpath(full, here)))
+        sc.addPyFile(path)
+    sc._tremorlake_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
