@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm import byte_bpe, license_scan, line_dedup, pii, secret_scan
+from tremorlake.llm import byte_bpe, license_scan, line_dedup, pii, quality, secret_scan, toxicity
 from tremorlake.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -31,9 +31,18 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return tagged.withColumn("spans", F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["stop"])), ","))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op4_pii, op5_secret_scan, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op4_pii, op5_secret_scan, op7_quality, op9_toxicity, op10_license_scan)}
 ORACLE: dict[str, str] = {}
