@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm import byte_bpe, license_scan, line_dedup, pii, quality, secret_scan, toxicity
+from tremorlake.llm import byte_bpe, decontaminate, license_scan, line_dedup, ngram_join, pii, quality, secret_scan, toxicity
 from tremorlake.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -23,6 +23,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).drop("row_hash")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.pseudonymise(table(spark, sf_dir, "documents")))
 
@@ -31,6 +35,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,5 +52,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op4_pii, op5_secret_scan, op7_quality, op9_toxicity, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_byte_bpe, op3_ngram_jaccard_join, op4_pii, op5_secret_scan, op6_decontaminate, op7_quality, op9_toxicity, op10_license_scan)}
 ORACLE: dict[str, str] = {}
