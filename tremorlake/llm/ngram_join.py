@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from tremorlake.llm.common import keyed
 from tremorlake.llm.graph import components
+from tremorlake.llm.grouping import grouped
 from tremorlake.llm.text_arrays import mix, pieces, words
 
 N_WORDS = 5
@@ -69,7 +70,7 @@ def run_sets(word: np.ndarray, cut: np.ndarray) -> list[np.ndarray]:
         elif b > a:
             short = np.uint64(b - a)
             for h in word[a:b]:
-                short = mix(np.array([short + h]))[0]
+                short = mix(np.array([short]) + h)[0]
             out.append(np.array([short], np.uint64))
         else:
             out.append(np.zeros(0, np.uint64))
@@ -146,29 +147,6 @@ def in_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
 _AT = ["leaf", "bi", "bj"]
 
 
-def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of rows with equal (leaf, bi, bj), of batches that are sorted by them."""
-    held: list[pa.RecordBatch] = []
-
-    def key(batch, i):
-        return tuple(batch.column(batch.schema.get_field_index(c))[i].as_py() for c in _AT)
-
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        columns = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in _AT]
-        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        bounds = [0, *change.tolist(), batch.num_rows]
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            part = batch.slice(a, b - a)
-            if held and key(held[0], 0) != key(part, 0):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(part)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _owned(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """(k x k: whether the pair is this block's, packed ids): in different blocks where the blocks differ, and in no smaller leaf together."""
     k, leaf = table.num_rows, table.column("leaf")[0].as_py()
@@ -199,7 +177,7 @@ def _near(table: pa.Table, least: int) -> np.ndarray:
 def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sets that have a likely partner in their block pair."""
     least = int(np.ceil(SKETCH_SHARE * COORDINATES))
-    for table in grouped(batches):
+    for table in grouped(batches, _AT):
         if table.num_rows < 2:
             continue
         mine, _ = _owned(table)
@@ -231,7 +209,7 @@ def common_tokens(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
 
 def _links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """Per set of a block pair: its links there and the smallest set of its local component."""
-    for table in grouped(batches):
+    for table in grouped(batches, _AT):
         if table.num_rows < 2:
             continue
         mine, ids = _owned(table)
