@@ -13,7 +13,7 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
     held: list[pa.RecordBatch] = []
 
     def key(batch, i):
-        return tuple(batch.column(batch.schema.get_field_index(c))[i].as_py() for c in _AT)
+        return tuple(batch.column(c)[i].as_py() for c in keys)
 
     for batch in batches:
         if batch.num_rows == 0:
