@@ -166,6 +166,7 @@ def find(w: Words, offsets: np.ndarray, items: Items, max_edits: float = MAX_EDI
         hits.append((used[at], item, place))
     if hits:
         at, item, place = (np.concatenate(x) for x in zip(*hits, strict=True))
+    if hits and len(at):
         doc, diagonal = w.doc[at], at - place
         order = np.lexsort((diagonal, item, doc))
         doc, item, diagonal = doc[order], item[order], diagonal[order]

@@ -172,6 +172,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
 def report(found: DataFrame) -> DataFrame:
     """Per document: counts by kind, the spans as text, and the pseudonymised text."""
     name = lambda k: F.element_at(F.array(*[F.lit(x) for x in KINDS]), k + 1)
+    count = lambda k: F.size(F.filter("found", lambda x: x["kind"] == k)).cast("long")
     return found.select(
-        "doc_id", *[F.size(F.filter("found", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)],
+        "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.array_join(F.transform("found", lambda x: F.concat_ws(":", name(x["kind"]), x["start"], x["stop"])), ",").alias("spans"), "text")
