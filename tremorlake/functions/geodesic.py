@@ -25,6 +25,8 @@ MEAN_RADIUS_M = (2 * WGS84_A + WGS84_B) / 3          # 6371008.77 m
 SPHERE_MARGIN = 0.0075
 # A degree of latitude is at least this long anywhere on the spheroid (metres).
 MIN_DEGREE_M = 110_574.0
+# Radians from the antipode within which the plain iteration is not trusted (it fails within about pi * f).
+ANTIPODAL_ARC = 0.03
 
 
 def haversine_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
@@ -57,123 +59,98 @@ def _lambda_step(lam, L, s1, c1, s2, c2):
     return L + (1 - C) * f * sa * (sig + C * ss * (c2m + C * cs * (-1 + 2 * c2m * c2m)))
 
 
-def vincenty_m(lon1, lat1, lon2, lat2, max_steps: int = 200, tol: float = 1e-12):
-    """Vincenty's inverse method on numpy arrays (degrees in, metres out).
+def _arc(csa, ss, cs, sig, c2m):
+    """Length in metres of the arc ``sig`` of the auxiliary sphere (Vincenty's series)."""
+    a, b = WGS84_A, WGS84_B
+    usq = csa * (a * a - b * b) / (b * b)
+    A = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
+    B = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
+    dsig = B * ss * (c2m + B / 4 * (cs * (-1 + 2 * c2m * c2m) - B / 6 * c2m * (-3 + 4 * ss * ss) * (-3 + 4 * c2m * c2m)))
+    return b * A * (sig - dsig)
+
+
+def _by_azimuth(azimuth, s1, c1, s2, c2):
+    """(longitude difference, length) of the geodesic that leaves latitude 1 with
+    ``azimuth`` and first meets latitude 2 going north.  Latitudes are reduced,
+    with latitude 1 southern and the farther one from the equator."""
+    import numpy as np
+
+    f = WGS84_F
+    sa1, ca1 = np.sin(azimuth), np.cos(azimuth)
+    sa = sa1 * c1
+    csa = 1 - sa * sa
+    ca2 = np.sqrt(np.maximum((ca1 * c1) ** 2 + (c2 - c1) * (c2 + c1), 0.0)) / c2
+    sig1, sig2 = np.arctan2(s1, ca1 * c1), np.arctan2(s2, ca2 * c2)
+    om1, om2 = np.arctan2(sa * s1, ca1 * c1), np.arctan2(sa * s2, ca2 * c2)
+    sig = sig2 - sig1
+    ss, cs, c2m = np.sin(sig), np.cos(sig), np.cos(sig1 + sig2)
+    C = f / 16 * csa * (4 + f * (4 - 3 * csa))
+    lon = om2 - om1 - (1 - C) * f * sa * (sig + C * ss * (c2m + C * cs * (-1 + 2 * c2m * c2m)))
+    return lon, _arc(csa, ss, cs, sig, c2m)
+
 
-    The fixed-point iteration runs until every pair has converged (or
-    ``max_steps``).  Pairs where it oscillates (nearly antipodal points) get
-    Steffensen's acceleration of the same iteration, whose solutions are
-    checked in the tests by the direct problem; the few that still do not
-    converge keep the last plain iterate.  NaN in -> NaN out.
+def _near_antipodal_m(L, u1, u2):
+    """Distance of pairs for which the iteration on the longitude may fail.
+
+    Signs and ends are turned so that point 1 lies south and farther from the
+    equator; the longitude difference then grows with the start azimuth, which is
+    found by bisection over (0, pi).  Raises if a pair is not solved.
     """
     import numpy as np
 
-    a, b, f = WGS84_A, WGS84_B, WGS84_F
-    lon1, lat1, lon2, lat2 = (np.asarray(x, dtype="float64") for x in (lon1, lat1, lon2, lat2))
-    L = np.radians(lon2 - lon1)
-    u1 = np.arctan((1 - f) * np.tan(np.radians(lat1)))
-    u2 = np.arctan((1 - f) * np.tan(np.radians(lat2)))
+    L = np.abs((L + np.pi) % (2 * np.pi) - np.pi)
+    swap = np.abs(u2) > np.abs(u1)
+    u1, u2 = np.where(swap, u2, u1), np.where(swap, u1, u2)
+    turn = np.where(u1 > 0, -1.0, 1.0)
+    # A point on the equator counts as just south of it.
+    u1, u2 = np.minimum(u1 * turn, -1e-15), u2 * turn
     s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
-    lam = L.copy()
-    prev = lam
-    with np.errstate(invalid="ignore", divide="ignore"):
-        for _ in range(max_steps):
-            prev, lam = lam, _lambda_step(lam, L, s1, c1, s2, c2)
-            if not np.any(np.abs(lam - prev) > tol):
-                break
-        stuck = np.abs(lam - prev) > tol
-        if stuck.any():
-            x, args = lam[stuck], (L[stuck], s1[stuck], c1[stuck], s2[stuck], c2[stuck])
-            for _ in range(max_steps):
-                f1 = _lambda_step(x, *args)
-                f2 = _lambda_step(f1, *args)
-                den = f2 - 2 * f1 + x
-                nxt = np.where(den != 0, x - (f1 - x) ** 2 / np.where(den == 0, 1.0, den), f2)
-                moved = np.abs(nxt - x)
-                x = nxt
-                if not np.any(moved > tol):
-                    break
-            fixed = np.abs(_lambda_step(x, *args) - x) <= 1e-10
-            lam[np.flatnonzero(stuck)[fixed]] = x[fixed]
-        ss, cs, sig, sa, csa, c2m = _lambda_parts(lam, s1, c1, s2, c2)
-        usq = csa * (a * a - b * b) / (b * b)
-        A = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
-        B = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
-        dsig = B * ss * (c2m + B / 4 * (cs * (-1 + 2 * c2m * c2m) - B / 6 * c2m * (-3 + 4 * ss * ss) * (-3 + 4 * c2m * c2m)))
-        return np.where(ss == 0, 0.0, b * A * (sig - dsig))
-
+    lo, hi = np.zeros_like(L), np.full_like(L, np.pi)
+    for _ in range(120):
+        mid = (lo + hi) / 2
+        short = _by_azimuth(mid, s1, c1, s2, c2)[0] < L
+        lo, hi = np.where(short, mid, lo), np.where(short, hi, mid)
+    low, high = _by_azimuth(lo, s1, c1, s2, c2), _by_azimuth(hi, s1, c1, s2, c2)
+    best = np.where(np.abs(low[0] - L) <= np.abs(high[0] - L), 0, 1)
+    lon, dist = np.where(best == 0, low[0], high[0]), np.where(best == 0, low[1], high[1])
+    if np.any(np.abs(lon - L) > 1e-7):
+        raise ArithmeticError("a near-antipodal distance was not solved")
+    return dist
+
+
+def vincenty_m(lon1, lat1, lon2, lat2, max_steps: int = 60, tol: float = 1e-12):
+    """Vincenty's inverse method on numpy arrays (degrees in, metres out).
 
-def vincenty_azimuth(lon1, lat1, lon2, lat2):
-    """Forward azimuth (radians) at the first point, for the same solution as ``vincenty_m``."""
+    Pairs within ANTIPODAL_ARC of the antipode, and any that the fixed-point
+    iteration does not settle, are solved by their start azimuth instead.
+    NaN in -> NaN out.
+    """
     import numpy as np
 
     f = WGS84_F
-    lon1, lat1, lon2, lat2 = (np.asarray(x, dtype="float64") for x in (lon1, lat1, lon2, lat2))
+    lon1, lat1, lon2, lat2 = np.broadcast_arrays(*(np.asarray(x, dtype="float64") for x in (lon1, lat1, lon2, lat2)))
     L = np.radians(lon2 - lon1)
     u1 = np.arctan((1 - f) * np.tan(np.radians(lat1)))
     u2 = np.arctan((1 - f) * np.tan(np.radians(lat2)))
     s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
     lam = L.copy()
-    prev = lam
     with np.errstate(invalid="ignore", divide="ignore"):
-        for _ in range(200):
+        for _ in range(max_steps):
             prev, lam = lam, _lambda_step(lam, L, s1, c1, s2, c2)
-            if not np.any(np.abs(lam - prev) > 1e-12):
+            if not np.any(np.abs(lam - prev) > tol):
                 break
-        stuck = np.abs(lam - prev) > 1e-12
-        if stuck.any():
-            x, args = lam[stuck], (L[stuck], s1[stuck], c1[stuck], s2[stuck], c2[stuck])
-            for _ in range(200):
-                f1 = _lambda_step(x, *args)
-                f2 = _lambda_step(f1, *args)
-                den = f2 - 2 * f1 + x
-                nxt = np.where(den != 0, x - (f1 - x) ** 2 / np.where(den == 0, 1.0, den), f2)
-                done = not np.any(np.abs(nxt - x) > 1e-12)
-                x = nxt
-                if done:
-                    break
-            lam[stuck] = x
-    return np.arctan2(c2 * np.sin(lam), c1 * s2 - s1 * c2 * np.cos(lam))
-
-
-def destination(lon1, lat1, azimuth, dist_m):
-    """Vincenty's direct problem (always converges): the point reached from
-    (lon1, lat1) along ``azimuth`` (radians) after ``dist_m`` metres."""
-    import numpy as np
-
-    a, b, f = WGS84_A, WGS84_B, WGS84_F
-    tu1 = (1 - f) * np.tan(np.radians(lat1))
-    cu1 = 1 / np.sqrt(1 + tu1 * tu1)
-    su1 = tu1 * cu1
-    sig1 = np.arctan2(tu1, np.cos(azimuth))
-    sa = cu1 * np.sin(azimuth)
-    csa = 1 - sa * sa
-    usq = csa * (a * a - b * b) / (b * b)
-    A = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
-    B = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
-    sig = dist_m / (b * A)
-    for _ in range(200):
-        c2m = np.cos(2 * sig1 + sig)
-        sn, cn = np.sin(sig), np.cos(sig)
-        ds = B * sn * (c2m + B / 4 * (cn * (-1 + 2 * c2m * c2m) - B / 6 * c2m * (-3 + 4 * sn * sn) * (-3 + 4 * c2m * c2m)))
-        nxt = dist_m / (b * A) + ds
-        done = not np.any(np.abs(nxt - sig) > 1e-13)
-        sig = nxt
-        if done:
-            break
-    c2m = np.cos(2 * sig1 + sig)
-    sn, cn = np.sin(sig), np.cos(sig)
-    tmp = su1 * sn - cu1 * cn * np.cos(azimuth)
-    lat2 = np.arctan2(su1 * cn + cu1 * sn * np.cos(azimuth), (1 - f) * np.sqrt(sa * sa + tmp * tmp))
-    lam = np.arctan2(sn * np.sin(azimuth), cu1 * cn - su1 * sn * np.cos(azimuth))
-    C = f / 16 * csa * (4 + f * (4 - 3 * csa))
-    dl = lam - (1 - C) * f * sa * (sig + C * sn * (c2m + C * cn * (-1 + 2 * c2m * c2m)))
-    return np.asarray(lon1) + np.degrees(dl), np.degrees(lat2)
+        ss, cs, sig, sa, csa, c2m = _lambda_parts(lam, s1, c1, s2, c2)
+        out = np.asarray(np.where(ss == 0, 0.0, _arc(csa, ss, cs, sig, c2m)))
+        far = (np.abs(lam - prev) > tol) | (s1 * s2 + c1 * c2 * np.cos(L) < -np.cos(ANTIPODAL_ARC))
+        if far.any():
+            out[far] = _near_antipodal_m(L[far], u1[far], u2[far])
+    return out
 
 
 def _geodesic_udf():
     @F.pandas_udf("double")
     def geodesic_m(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
+        # The Arrow conversion of a pandas result turns NaN (no distance) into null.
         return pd.Series(vincenty_m(lon1.to_numpy("float64", na_value=float("nan")),
                                     lat1.to_numpy("float64", na_value=float("nan")),
                                     lon2.to_numpy("float64", na_value=float("nan")),
@@ -199,8 +176,7 @@ def geodesic_m(lon1, lat1, lon2, lat2) -> Column:
     global _UDF
     if _UDF is None:
         _UDF = _geodesic_udf()
-    out = _UDF(_col(lon1), _col(lat1), _col(lon2), _col(lat2))
-    return F.when(F.isnan(out), F.lit(None).cast("double")).otherwise(out)
+    return _UDF(_col(lon1), _col(lat1), _col(lon2), _col(lat2))
 
 
 def _col(c) -> Column:

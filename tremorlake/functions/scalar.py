@@ -179,11 +179,11 @@ def round_half_away(units_sum: Column, n: Column, down_by: int) -> Column:
 
 def avg_rounded(c: Column | str, in_scale: int = 2, out_scale: int = 2) -> Column:
     """Aggregate: average of a decimal(_, in_scale) column rounded half away from
-    zero to ``out_scale`` places, as double.  Exact for any row count: the sum is
-    taken over integer units, so results do not depend on partitioning."""
+    zero to ``out_scale`` places, as double.  Exact for any row count: decimals are
+    summed as they are and scaled to integer units once, after the sum."""
     col = _c(c)
-    units = (col * F.lit(10 ** in_scale)).cast("decimal(38,0)")
-    r = round_half_away(F.sum(units), F.count(col), 10 ** (in_scale - out_scale))
+    units = (F.sum(col) * F.lit(10 ** in_scale)).cast("decimal(38,0)")
+    r = round_half_away(units, F.count(col), 10 ** (in_scale - out_scale))
     return r.cast("double") / F.lit(float(10 ** out_scale))
 
 

@@ -167,9 +167,7 @@ def analysis_grouping_sets(f: DataFrame) -> DataFrame:
     keyed = f.select(
         "mag", "category", "region",
         S.depth_class("depth").alias("depth_group"),
-        S.period_label("time", "day").alias("day"),
-        S.period_label("time", "month").alias("month"),
-        S.period_label("time", "year").alias("year"),
+        *[S.period_start("time", p).alias(p) for p in ("day", "month", "year")],  # labelled after grouping
     )
     sets = [[F.col(p)] for p in GROUPING_PARTS] + [[]]
     g = keyed.groupingSets(sets, *GROUPING_PARTS).agg(
@@ -183,7 +181,8 @@ def analysis_grouping_sets(f: DataFrame) -> DataFrame:
     for i, p in enumerate(GROUPING_PARTS):
         gid = ((1 << n) - 1) ^ (1 << (n - 1 - i))
         part = part.when(F.col("_gid") == gid, F.lit(p))
-        key = F.when(F.col("_gid") == gid, F.col(p)).otherwise(key)
+        label = S.period_label(p, p) if p in ("day", "month", "year") else F.col(p)
+        key = F.when(F.col("_gid") == gid, label).otherwise(key)
     return g.select(part.alias("part"), key.alias("key"), "events", "avg_magnitude")
 
 

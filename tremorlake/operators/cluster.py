@@ -157,8 +157,9 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
             "na", "nb", F.col("cax").alias("ax"), F.col("cay").alias("ay"), "an",
             F.col("cbx").alias("bx"), F.col("cby").alias("by"), "bn")
         refined = _classify(refined, level + 1, eps).checkpoint(eager=True)
-        decided.append(refined.filter(F.col("kind") == 1).select("na", "nb"))
-        open_pairs = refined.filter(F.col("kind") == -1)
+        decided.append(refined.filter(F.col("kind") == 1).select("na", "nb").distinct())
+        # Cell pairs that are decided by now are refined no further.
+        open_pairs = refined.filter(F.col("kind") == -1).join(decided[-1], ["na", "nb"], "left_anti")
 
     e2 = eps * eps
     for level, res in residues:
@@ -177,7 +178,7 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
     return cells, edges.distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200, jumps: int = 1) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, jumps: int = 1) -> DataFrame:
     """(node, label): label = smallest node id of the node's component.
 
     Each round: every node takes the smallest label among itself and its
@@ -202,7 +203,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 2
     def ship(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
 
-    for _ in range(max_rounds):
+    while True:  # labels only get smaller, so this ends; no round limit may cut it off
         nbr = und.join(ship(labels.withColumnRenamed("node", "src")), "src").groupBy("dst").agg(
             F.min("label").alias("m"))
         step = labels.join(ship(nbr.withColumnRenamed("dst", "node")), "node", "left").select(

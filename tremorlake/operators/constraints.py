@@ -1,6 +1,11 @@
 """Table constraints as a report (K8): unique key, not-null key, text length,
-numeric precision.  The reference's store rejects a whole load on the first
-violation; here every violation is counted, per constraint and column.
+numeric precision.  A database would reject a whole load on the first violation;
+here every violation is counted, per constraint and column, and ``require`` stops
+a load that has any.
+
+A typed column cannot hold a value that does not fit, so precision is checked
+from what the scan noted before the cast (``feed.UNFIT``), or on columns that
+are still text or wider numbers.
 """
 
 from __future__ import annotations
@@ -9,6 +14,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.feed import UNFIT
+
+
+class ConstraintError(ValueError):
+    """A load that breaks constraints of its table."""
+
+
+def require(report: DataFrame, table: str) -> None:
+    """Raise if a report of ``check_schema`` (one row per check) has violations."""
+    broken = report.filter("violations > 0").collect()
+    if broken:
+        raise ConstraintError(f"{table}: " + ", ".join(f"{r['check_name']}({r['column_name']}) x {r['violations']}" for r in broken))
+
 
 def check_schema(df: DataFrame, key: str, text_limits: dict[str, int],
                  numeric: dict[str, str] | None = None, not_null: list[str] | None = None) -> DataFrame:
@@ -28,7 +46,10 @@ def check_schema(df: DataFrame, key: str, text_limits: dict[str, int],
             checks.append((f"max_length_{n}", c, F.count_if(F.length(F.col(c)) > n)))
     for c, t in sorted(numeric.items()):
         if c in df.columns:
-            checks.append((f"fits_{t}", c, F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())))
+            broken = F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()
+            if UNFIT in df.columns:
+                broken = broken | F.coalesce(F.array_contains(UNFIT, c), F.lit(False))
+            checks.append((f"fits_{t}", c, F.count_if(broken)))
     row = df.agg(*[expr.cast("long").alias(f"_{i}") for i, (_, _, expr) in enumerate(checks)])
     pairs = ", ".join(f"'{name}', '{col}', `_{i}`" for i, (name, col, _) in enumerate(checks))
     row_checks = row.select(F.expr(f"stack({len(checks)}, {pairs}) AS (check_name, column_name, violations)"))

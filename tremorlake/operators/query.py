@@ -137,9 +137,13 @@ def page_rows(df: DataFrame, order: list[Column], offset: int, limit: int) -> Da
     return pos.filter((F.col("_pos") > offset) & (F.col("_pos") <= offset + limit)).orderBy("_pos").drop("_pos")
 
 
-def with_total(page: DataFrame, total: int) -> DataFrame:
-    """The match count beside each page row (an empty page carries none)."""
-    return page.withColumn("total_count", F.lit(int(total)).cast("int"))
+def with_total(page: DataFrame, matches: DataFrame) -> DataFrame:
+    """The match count beside each page row (an empty page carries none).
+
+    The count is one row of partial counts, broadcast to the page when the plan
+    runs; nothing is run while the query is built."""
+    total = matches.agg(F.count(F.lit(1)).cast("int").alias("total_count"))
+    return page.join(F.broadcast(total), how="cross")
 
 
 def list_columns(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -157,9 +161,8 @@ def list_events(df: DataFrame, min_mag: float = -2, max_mag: float = 10, limit:
     """L3: one page of the filtered list with ``total_count`` on each row."""
     check_args(min_mag, max_mag, limit, offset, days_back)
     f = filtered_events(df, min_mag, max_mag, days_back, all_time, as_of)
-    total = f.count()
     page = page_rows(f, sort_columns(sort_mode(sort)), offset, limit)
-    return with_total(list_columns(page), total if offset < total else 0)
+    return with_total(list_columns(page), f)
 
 
 def event_page(df: DataFrame, page_no: int, size: int = PAGE_SIZE, sort: str = "recent", min_mag: float = -2,
@@ -171,7 +174,8 @@ def event_page(df: DataFrame, page_no: int, size: int = PAGE_SIZE, sort: str = "
     pages = max(1, math.ceil(max(total, 1) / size))
     page_no = min(max(int(page_no), 1), pages)
     page = page_rows(f, sort_columns(sort_mode(sort)), (page_no - 1) * size, size)
-    return with_total(list_columns(page), total).withColumn("page", F.lit(page_no)).withColumn("pages", F.lit(pages))
+    return list_columns(page).withColumn("total_count", F.lit(total).cast("int")).withColumn(
+        "page", F.lit(page_no)).withColumn("pages", F.lit(pages))
 
 
 def strongest(df: DataFrame, n: int = 5) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import FINAL_DATA_COLUMNS, RAW_UPDATE_COLUMNS, TSUNAMI_COLUMNS
-from ..session import BROADCAST_ROW_LIMIT
+from ..session import BROADCAST_ROW_LIMIT, proven_small
 
 ARRIVAL = "_arrival"
 
@@ -43,10 +43,6 @@ def fold_batch(batch: DataFrame, key: str, update_cols: list[str], order: Column
     return g.select(key, *[F.col(f"_last.{c}" if c in update_cols else f"_first.{c}").alias(c) for c in cols])
 
 
-def _proven_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str], stamp_col: str | None = None,
            stamp: Column | None = None, order: Column | str | None = None, keep_cols: list[str] | None = None,
            broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -83,11 +79,11 @@ def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str
                 out.append(F.col(c))
         return out + [(~cur_present).alias("_inserted")]
 
-    if _proven_small(folded, broadcast_limit):
+    if proven_small(folded, broadcast_limit):
         small = F.broadcast(b)
         updated = current.join(small, key, "left")
         kept = updated.select(*merged(F.lit(True), F.col("_b").isNotNull()))
-        matched_keys = current.select(key).join(F.broadcast(folded.select(key)), key, "left_semi")
+        matched_keys = current.select(key).join(F.broadcast(folded.select(key)), key, "left_semi").distinct()
         new_rows = b.join(F.broadcast(matched_keys), key, "left_anti")
         cur_nulls = new_rows.select(F.col(key), *[F.lit(None).cast(current.schema[c].dataType).alias(c)
                                                  for c in current.columns if c != key], "_b", *[f"_b_{c}" for c in b_cols])
@@ -131,9 +127,11 @@ def assign_ids(df: DataFrame, order: list[Column | str], start: int = 0, out: st
         acc += cnt
     if not offsets:
         return ck.drop("_pid", "_mono").withColumn(out, F.lit(None).cast("long"))
-    offset_map = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv])
+    # One small row per partition, as a joined table: it may be thousands of partitions.
+    starts = spark.createDataFrame(sorted(offsets.items()), "_pid int, _start long")
     within = F.col("_mono") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return ck.withColumn(out, F.lit(int(start)) + offset_map[F.col("_pid")] + within + 1).drop("_pid", "_mono")
+    return ck.join(F.broadcast(starts), "_pid").withColumn(
+        out, F.lit(int(start)) + F.col("_start") + within + 1).drop("_pid", "_mono", "_start")
 
 
 # --- J1 --------------------------------------------------------------------------------

@@ -1,9 +1,9 @@
 """Named zones (G7, G8) and the events-near-zones distance join.
 
 The distance join never compares every event with every zone: zones expand to
-the grid cells their bounding boxes cover (on a grid whose cell is at least
-the largest zone's latitude span, so a zone covers a handful of cells), events
-take one cell key, and the equi-join on the cell key is followed by the exact
+the grid cells their bounding boxes cover (zones of similar radius on a grid
+whose cell is as wide as they are, so a zone covers a handful of cells), events
+take one cell key for each grid, and the equi-join on the cell key is followed by the exact
 radius test.  The expanded zone table is small and broadcast once its size is
 proven; beyond the bound it is shuffled like any join side.
 """
@@ -89,27 +89,34 @@ def event_cell(lat: Column, lon: Column, cell: float, n_lon: int) -> tuple[Colum
 
 def near_zones(events: DataFrame, zones: DataFrame) -> DataFrame:
     """Every (zone, event) pair with the event within the zone's radius
-    (spheroid), with ``distance_km`` rounded to 2 places."""
+    (spheroid), with ``distance_km`` rounded to 2 places.
+
+    Zones of similar radius (a factor of two) share a grid whose cells are as wide
+    as they are, so one wide zone does not coarsen the cells of small ones.  The
+    classes that occur are at most a few dozen; each joins on its own cells.
+    """
     zones = zones.select("name", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"),
-                         F.col("radius_km").cast("double").alias("radius_km"))
-    max_r = zones.agg(F.max("radius_km")).first()[0]
-    if max_r is None:
-        return events.limit(0).select(F.lit(None).cast("string").alias("zone"), "usgs_id",
-                                      F.lit(None).cast("double").alias("distance_km"))
-    cell, n_lon = _grid_cells(2 * (max_r * 1000.0 / G.MIN_DEGREE_M * 1.0001) + 1e-6)
-    zc = broadcast_checked(zone_cells(zones, cell, n_lon).select(
-        F.col("name").alias("zone"), F.col("lat").alias("zlat"), F.col("lon").alias("zlon"),
-        F.col("radius_km").alias("zr"), "ilat", "ilon"))
-    ilat, ilon = event_cell(F.col("latitude"), F.col("longitude"), cell, n_lon)
-    ev = events.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).withColumn(
-        "ilat", ilat).withColumn("ilon", ilon)
-    cand = ev.join(zc, ["ilat", "ilon"])
+                         F.col("radius_km").cast("double").alias("radius_km")).filter("radius_km is not null")
+    located = events.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    octave = F.ceil(F.log2(F.greatest(F.col("radius_km"), F.lit(1.0)))).cast("int")
+    classes = [r[0] for r in zones.select(octave.alias("c")).distinct().collect()]
     plat, plon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
-    hav = G.haversine_m(plon, plat, F.col("zlon"), F.col("zlat"))
     rm = F.col("zr") * F.lit(1000.0)
-    near = cand.filter(hav <= rm * F.lit(1 + G.SPHERE_MARGIN))
+    near = None
+    for c in sorted(classes):
+        cell, n_lon = _grid_cells(2 * (2.0 ** c * 1000.0 / G.MIN_DEGREE_M * 1.0001) + 1e-6)
+        zc = broadcast_checked(zone_cells(zones.filter(octave == c), cell, n_lon).select(
+            F.col("name").alias("zone"), F.col("lat").alias("zlat"), F.col("lon").alias("zlon"),
+            F.col("radius_km").alias("zr"), F.col("ilat").alias("_zlat"), F.col("ilon").alias("_zlon")))
+        ilat, ilon = event_cell(F.col("latitude"), F.col("longitude"), cell, n_lon)
+        cand = located.join(zc, (ilat == F.col("_zlat")) & (ilon == F.col("_zlon"))).drop("_zlat", "_zlon")
+        cand = cand.filter(G.haversine_m(plon, plat, F.col("zlon"), F.col("zlat")) <= rm * F.lit(1 + G.SPHERE_MARGIN))
+        near = cand if near is None else near.unionByName(cand)
+    if near is None:
+        return events.limit(0).select(F.lit(None).cast("string").alias("zone"), *events.columns,
+                                      F.lit(None).cast("double").alias("distance_km"))
     with_d = near.withColumn("_d", G.geodesic_m(plon, plat, F.col("zlon"), F.col("zlat"))).filter(F.col("_d") <= rm)
-    return with_d.select("zone", *[c for c in events.columns if c not in ("ilat", "ilon")],
+    return with_d.select("zone", *events.columns,
                          F.round((F.col("_d") / F.lit(1000.0)).cast("decimal(38,10)"), 2).cast("double").alias("distance_km"))
 
 

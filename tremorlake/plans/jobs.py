@@ -11,11 +11,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import upsert as U
 from ..operators.clean import clean
-from ..schema import CURATE_INPUT_COLUMNS, RAW_SCHEMA
+from ..operators.constraints import check_schema, require
+from ..schema import CURATE_INPUT_COLUMNS, FINAL_TEXT_LIMITS, RAW_COLUMNS, RAW_SCHEMA, RAW_TEXT_LIMITS
 from ..sources import sinks as SINK
+from ..sources.feed import ARRIVAL, UNFIT
 from ..sources.tables import read_raw, ts_literal
 
 
@@ -24,14 +27,21 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
 
 
 def ingest_batch(spark: SparkSession, batch: DataFrame, raw_dir: str, version: int, stamp=None) -> dict:
-    """K1 + K9: upsert one flattened feed batch into the raw table."""
+    """K1 + K9: upsert one flattened feed batch into the raw table.
+
+    With ARRIVAL in the batch, later feeds win.  A batch with values that do not
+    fit the table (UNFIT), or with a text over its limit, is not loaded: the job
+    raises, as the load into a database would."""
     stamp_col = ts_literal(stamp)
     current = SINK.read_latest(spark, raw_dir, before=version)
     if current is None:
         current = _empty(spark, RAW_SCHEMA)
+    numeric = {c: t.simpleString() for c, t in RAW_COLUMNS if isinstance(t, (T.DecimalType, T.IntegerType))}
+    require(check_schema(batch, "usgs_id", RAW_TEXT_LIMITS, numeric).filter("check_name <> 'unique'"), "raw")
+    order = F.col(ARRIVAL) if ARRIVAL in batch.columns else None
     seen = Observation("ingest")
-    batch = batch.withColumn("ingested_at", stamp_col).observe(seen, F.count(F.lit(1)).alias("rows"))
-    new_raw = U.raw_upsert(current, batch, stamp=stamp_col)  # folds (and so counts) the batch once
+    batch = batch.drop(UNFIT).withColumn("ingested_at", stamp_col).observe(seen, F.count(F.lit(1)).alias("rows"))
+    new_raw = U.raw_upsert(current, batch, stamp=stamp_col, order=order)  # folds (and so counts) the batch once
     SINK.write_version(new_raw, raw_dir, version)
     read = seen.get["rows"]
     return {"events": read, "inserted": read, "version": version}
@@ -41,7 +51,7 @@ def curate(spark: SparkSession, raw_dir: str, final_dir: str, tsunami_dir: str,
            full: bool = False, stamp=None) -> dict:
     """J1 + clean + K2/K3 + K5 + K9: bring the curated table up to the newest raw version."""
     stamp_col = ts_literal(stamp)
-    raw = SINK.read_latest(spark, raw_dir)
+    raw = SINK.read_latest(spark, raw_dir, before=version + 1)
     final = SINK.read_latest(spark, final_dir, before=version)
     if raw is None:
         return {"mode": "full" if full else "incremental", "read": 0, "transformed": 0, "loaded": 0}
@@ -61,6 +71,7 @@ def curate(spark: SparkSession, raw_dir: str, final_dir: str, tsunami_dir: str,
     else:
         new_final = U.curated_upsert(final, cleaned, stamp=stamp_col)
     new_final = new_final.withColumn("event_date", F.to_date("time"))
+    require(check_schema(cleaned, "usgs_id", FINAL_TEXT_LIMITS), "curated")
     SINK.write_version(new_final, final_dir, version, partition_by=["event_date"],
                        sort_within=SINK.spatial_sort_keys() + [F.col("time")], bloom_columns=["usgs_id"])
     latest = SINK.read_latest(spark, final_dir)

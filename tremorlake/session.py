@@ -9,9 +9,11 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a dimension may hold and still be shipped to every task.
+# What a side may hold and still be shipped to every task: rows, and bytes as estimated from its values.
 BROADCAST_ROW_LIMIT = 200_000
+BROADCAST_BYTE_LIMIT = 64 << 20
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tremorlake") -> SparkSession:
@@ -61,8 +63,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset (tests,
-    a laptop) do we pick a fresh folder under /tmp.
+    The cluster's ``spark.checkpoint.dir`` wins.  A fresh temporary folder is
+    taken only on a local master (tests, a laptop); elsewhere executors would not
+    share it, so an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,7 +73,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = f"/tmp/tremorlake-ckpt-{uuid.uuid4().hex[:8]}"
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = os.path.join(tempfile.gettempdir(), f"tremorlake-ckpt-{uuid.uuid4().hex[:8]}")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
@@ -81,12 +86,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
+def estimated_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a frame: one aggregate with a partial one in every task.
 
-    The proof is a ``limit(max_rows + 1).count()`` - a bounded job on a small
-    side.  Beyond the bound the frame is returned as is and the planner keeps a
-    shuffle join.
+    Bytes are counted from the values: the length of texts and binaries and the
+    fixed width of the rest, plus 16 for each row.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = F.lit(16)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+        else:
+            width = width + 16
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    return row["n"], row["b"] or 0
+
+
+def proven_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTE_LIMIT) -> bool:
+    rows, size = estimated_size(df)
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
+    """Broadcast ``df`` only after its rows and bytes are counted and within bounds.
+
+    Beyond them the frame is returned as it is and the planner keeps a shuffle join.
+    """
+    return F.broadcast(df) if proven_small(df, max_rows, max_bytes) else df

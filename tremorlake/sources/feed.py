@@ -5,6 +5,12 @@ document.  Documents are read with an explicit schema (no inference), the
 features array is exploded to one row per feature, and every field is a
 native expression.  ``properties`` is read as raw JSON text so that a missing
 ``tsunami`` key (-> 0) and an explicit null (-> null) stay distinguishable.
+
+Every row can carry ARRIVAL, the order in which feeds were landed: file time,
+file path, line within the file's split and place in the document.  Rows of a
+later feed win over rows of an earlier one however files are packed into tasks.
+UNFIT lists the columns whose value does not fit the table's type; the value
+itself is then null.
 """
 
 from __future__ import annotations
@@ -17,16 +23,30 @@ from ..functions.scalar import epoch_ms
 from ..schema import FEED_PROPERTIES, FEED_SCHEMA, RAW_COLUMNS
 
 _RAW_TYPES = dict(RAW_COLUMNS)
+ARRIVAL = "_arrival"
+UNFIT = "_unfit"
+
+
+def exploded(docs: DataFrame) -> DataFrame:
+    """Documents of a file source -> (f, _arrival), one row per feature."""
+    meta = F.col("_metadata")
+    # Lines of one file keep their order by block and row; documents of one block are numbered by the scan.
+    at = docs.select("features", F.struct(
+        meta["file_modification_time"].alias("time"), meta["file_path"].alias("path"), meta["file_block_start"].alias("block"),
+        F.monotonically_increasing_id().alias("line")).alias("at"))
+    return at.select(F.posexplode("features").alias("pos", "f"), "at").select(
+        "f", F.struct(F.col("at.time").alias("time"), F.col("at.path").alias("path"), F.col("at.block").alias("block"),
+                      F.col("at.line").alias("line"), F.col("pos").alias("pos")).alias(ARRIVAL))
 
 
 def read_feed_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """One row per feature: (feature struct, properties text)."""
+    """One row per feature: (feature struct, arrival)."""
     docs = spark.read.schema(FEED_SCHEMA).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
-    return docs.select(F.explode("features").alias("f"))
+    return exploded(docs)
 
 
-def flatten(features: DataFrame, strict: bool = True) -> DataFrame:
-    """Feature rows -> raw columns.
+def flatten(features: DataFrame, strict: bool = True, tracked: bool = False) -> DataFrame:
+    """Feature rows -> raw columns; ``tracked`` adds ARRIVAL (if there) and UNFIT.
 
     strict: skip features without id, with a null/0 time, without properties,
     or with fewer than 3 coordinates; updated null/0 -> time; tsunami missing -> 0.
@@ -37,8 +57,9 @@ def flatten(features: DataFrame, strict: bool = True) -> DataFrame:
     p = F.from_json(props_text, FEED_PROPERTIES)
     keys = F.json_object_keys(props_text)
     coords = f["geometry"]["coordinates"]
+    carried = [ARRIVAL] if tracked and ARRIVAL in features.columns else []
     d = features.select(f["id"].alias("_fid"), p.alias("p"), keys.alias("_keys"), coords.alias("_xyz"),
-                        f["geometry"]["type"].alias("_gtype"), props_text.isNull().alias("_noprops"))
+                        f["geometry"]["type"].alias("_gtype"), props_text.isNull().alias("_noprops"), *carried)
     pt, pu = F.col("p.time"), F.col("p.updated")
     has_coords = F.col("_xyz").isNotNull() & (F.size("_xyz") >= 3)
     if strict:
@@ -61,17 +82,22 @@ def flatten(features: DataFrame, strict: bool = True) -> DataFrame:
         "tsunami": tsunami, "geometry_type": F.col("_gtype"),
         "longitude": F.get(xyz, 0), "latitude": F.get(xyz, 1), "depth": F.get(xyz, 2),
     }
-    out = []
-    for name, _ in RAW_COLUMNS:
+    out, unfit = [], []
+    for name, dtype in RAW_COLUMNS:
         if name == "id" and not strict:
             continue
-        out.append(typed(name, cols.get(name, F.col(f"p.{name}"))))
-    return d.select(*out)
+        value = cols.get(name, F.col(f"p.{name}"))
+        out.append(typed(name, value))
+        if isinstance(dtype, (T.DecimalType, T.IntegerType)):
+            unfit.append(F.when(value.isNotNull() & value.try_cast(dtype).isNull(), F.lit(name)))
+    if not tracked:
+        return d.select(*out)
+    return d.select(*out, *carried, F.array_compact(F.array(*unfit)).alias(UNFIT))
 
 
-def read_feed(spark: SparkSession, path: str, strict: bool = True, multi_line: bool = True) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, strict: bool = True, multi_line: bool = True, tracked: bool = False) -> DataFrame:
     """S1 (strict) / S2 (lenient): landed feed files -> raw rows."""
-    return flatten(read_feed_documents(spark, path, multi_line), strict)
+    return flatten(read_feed_documents(spark, path, multi_line), strict, tracked)
 
 
 def read_records(spark: SparkSession, path: str, schema=None, multi_line: bool = False) -> DataFrame:

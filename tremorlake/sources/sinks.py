@@ -97,6 +97,20 @@ def versions(spark: SparkSession, table_dir: str) -> list[int]:
     return sorted(out)
 
 
+def mark_version(spark: SparkSession, table_dir: str, version: int, mark: str) -> None:
+    """Leave an empty file ``mark`` (its name starts with _, so readers skip it) in a version's folder."""
+    fs, p = _fs(spark, f"{version_path(table_dir, version)}/{mark}")
+    fs.create(p, True).close()
+
+
+def marked_version(spark: SparkSession, table_dir: str, mark: str) -> int | None:
+    for version in reversed(versions(spark, table_dir)):
+        fs, p = _fs(spark, f"{version_path(table_dir, version)}/{mark}")
+        if fs.exists(p):
+            return version
+    return None
+
+
 def version_path(table_dir: str, version: int) -> str:
     return f"{table_dir.rstrip('/')}/v{version:08d}"
 
@@ -115,9 +129,16 @@ def write_version(df: DataFrame, table_dir: str, version: int, partition_by: lis
     ``bloom_columns`` get parquet bloom filters, so equality lookups on them
     (a key lookup) skip row groups."""
     path = version_path(table_dir, version)
+    # Rows of one partition value are gathered before the write, else every task
+    # writes a file into every folder.  A large date is spread over several tasks
+    # by the first sort key, so no task holds a date that is too large for it.
     # Partition columns lead the sort: the writer needs that order anyway and
     # would otherwise re-sort by them alone, losing the layout order.
-    w = df.sortWithinPartitions(*(partition_by or []), *sort_within) if sort_within else df
+    w = df
+    if partition_by:
+        w = w.repartitionByRange(*partition_by, *(sort_within or [])[:1])
+    if sort_within:
+        w = w.sortWithinPartitions(*(partition_by or []), *sort_within)
     writer = w.write.mode("overwrite")
     for c in bloom_columns or []:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
@@ -127,9 +148,11 @@ def write_version(df: DataFrame, table_dir: str, version: int, partition_by: lis
     return path
 
 
-def read_latest(spark: SparkSession, table_dir: str, before: int | None = None) -> DataFrame | None:
+def read_latest(spark: SparkSession, table_dir: str, before: int | None = None, layout: bool = False) -> DataFrame | None:
+    """The newest complete version (older than ``before``).  ``layout`` keeps the
+    partition column, which queries use to skip folders (see ``query.since``)."""
     vs = [v for v in versions(spark, table_dir) if before is None or v < before]
     if not vs:
         return None
     df = spark.read.parquet(version_path(table_dir, vs[-1]))
-    return df.drop("event_date") if "event_date" in df.columns else df
+    return df if layout or "event_date" not in df.columns else df.drop("event_date")

@@ -29,21 +29,8 @@ def ts_literal(value: dt.datetime | str | None) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Reuse a lazily built plan (never data) per session: building the derived
-    tables costs hundreds of driver round-trips, reading them costs nothing."""
-    k = (id(spark), spark.sparkContext.applicationId) + key
-    if k not in _PLANS:
-        _PLANS[k] = build()
-    return _PLANS[k]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _hundredths(c: Column, scale: int, out: str) -> Column:
@@ -60,16 +47,11 @@ def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: seq (event_id), usgs_id, mag, place, time, updated, magType,
     tsunami, alert, status, sig, depth, longitude, latitude, event_type.
     """
-    return _memo(spark, ("derived", sf_dir), lambda: _derived_events(spark, sf_dir))
-
-
-def _derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    # A source that arrives as fewer splits than the cluster has cores (one
-    # parquet row group here) is spread round-robin; a large source already
-    # scans as thousands of splits and is left alone (no extra shuffle).
+    # A source of fewer files than the cluster has cores is spread round-robin; a
+    # large source scans as thousands of splits and is left alone (no extra shuffle).
     cores = spark.sparkContext.defaultParallelism
-    if ev.rdd.getNumPartitions() < cores:
+    if len(ev.inputFiles()) < cores:
         ev = ev.repartition(cores)
     na = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation is a fixed 25-row dimension; the planner broadcasts it from its
@@ -110,10 +92,6 @@ def _derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derived_raw(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> DataFrame:
     """The raw table (31 columns) as the feed would have filled it from derived events."""
-    return _memo(spark, ("raw", sf_dir, str(as_of)), lambda: _derived_raw(spark, sf_dir, as_of))
-
-
-def _derived_raw(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> DataFrame:
     d = derived_events(spark, sf_dir)
     filled = {
         "id": F.col("usgs_id"),
@@ -147,10 +125,6 @@ def quakes(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> DataFrame:
     Ids follow event order (``seq + 1``); like a serial they have gaps where a
     raw row was not curated.
     """
-    return _memo(spark, ("quakes", sf_dir, str(as_of)), lambda: _quakes(spark, sf_dir, as_of))
-
-
-def _quakes(spark: SparkSession, sf_dir: str, as_of=AS_OF) -> DataFrame:
     from ..operators.clean import clean  # local import: operators depend on sources
 
     raw = derived_raw(spark, sf_dir, as_of)
