@@ -276,4 +276,4 @@ def marker_size(mag: Column | str) -> Column:
 
 def wkt_point(lon: Column | str, lat: Column | str) -> Column:
     """WKT text of a point, for the edge of the system only."""
-    return F.format_string("POINT (%s %s)", _c(lon).cast("string"), _c(lat).cast("string"))
+    return F.format_string("POINT (%s %s)", _c(lon).cast("double").cast("string"), _c(lat).cast("double").cast("string"))

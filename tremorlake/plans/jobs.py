@@ -18,7 +18,7 @@ from ..operators.clean import clean
 from ..operators.constraints import check_schema, require
 from ..schema import CURATE_INPUT_COLUMNS, FINAL_TEXT_LIMITS, RAW_COLUMNS, RAW_SCHEMA, RAW_TEXT_LIMITS
 from ..sources import sinks as SINK
-from ..sources.feed import ARRIVAL, UNFIT
+from ..sources.feed import ARRIVAL, UNFIT, in_arrival_order
 from ..sources.tables import read_raw, ts_literal
 
 
@@ -38,7 +38,9 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, raw_dir: str, version: i
         current = _empty(spark, RAW_SCHEMA)
     numeric = {c: t.simpleString() for c, t in RAW_COLUMNS if isinstance(t, (T.DecimalType, T.IntegerType))}
     require(check_schema(batch, "usgs_id", RAW_TEXT_LIMITS, numeric).filter("check_name <> 'unique'"), "raw")
-    order = F.col(ARRIVAL) if ARRIVAL in batch.columns else None
+    order = None
+    if ARRIVAL in batch.columns:
+        batch, order = in_arrival_order(batch), F.col(ARRIVAL)
     seen = Observation("ingest")
     batch = batch.drop(UNFIT).withColumn("ingested_at", stamp_col).observe(seen, F.count(F.lit(1)).alias("rows"))
     new_raw = U.raw_upsert(current, batch, stamp=stamp_col, order=order)  # folds (and so counts) the batch once

@@ -7,8 +7,9 @@ native expression.  ``properties`` is read as raw JSON text so that a missing
 ``tsunami`` key (-> 0) and an explicit null (-> null) stay distinguishable.
 
 Every row can carry ARRIVAL, the order in which feeds were landed: file time,
-file path, line within the file's split and place in the document.  Rows of a
-later feed win over rows of an earlier one however files are packed into tasks.
+file path and the split's start in the file.  A split is read by one task in
+order, so ``in_arrival_order`` makes it total.  Rows of a later feed win over
+rows of an earlier one however files are packed into tasks.
 UNFIT lists the columns whose value does not fit the table's type; the value
 itself is then null.
 """
@@ -30,13 +31,15 @@ UNFIT = "_unfit"
 def exploded(docs: DataFrame) -> DataFrame:
     """Documents of a file source -> (f, _arrival), one row per feature."""
     meta = F.col("_metadata")
-    # Lines of one file keep their order by block and row; documents of one block are numbered by the scan.
-    at = docs.select("features", F.struct(
-        meta["file_modification_time"].alias("time"), meta["file_path"].alias("path"), meta["file_block_start"].alias("block"),
-        F.monotonically_increasing_id().alias("line")).alias("at"))
-    return at.select(F.posexplode("features").alias("pos", "f"), "at").select(
-        "f", F.struct(F.col("at.time").alias("time"), F.col("at.path").alias("path"), F.col("at.block").alias("block"),
-                      F.col("at.line").alias("line"), F.col("pos").alias("pos")).alias(ARRIVAL))
+    arrival = F.struct(meta["file_modification_time"].alias("time"), meta["file_path"].alias("path"), meta["file_block_start"].alias("block"))
+    return docs.select(F.explode("features").alias("f"), arrival.alias(ARRIVAL))
+
+
+def in_arrival_order(rows: DataFrame) -> DataFrame:
+    """ARRIVAL with the row's place among those of its split, for rows as the scan gave them."""
+    at = F.col(ARRIVAL)
+    return rows.withColumn(ARRIVAL, F.struct(at["time"].alias("time"), at["path"].alias("path"), at["block"].alias("block"),
+                                             F.monotonically_increasing_id().alias("row")))
 
 
 def read_feed_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
