@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import whole_text
+from tremorlake.llm.common import ready, whole_text
 
 #: Entries that a worker keeps of encoded chunks, pieces and token pairs; beyond, the cache starts anew.
 CACHE_ENTRIES = 600_000
@@ -234,7 +234,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_decoded: boo
     ``path`` names a rank file that the driver can read; its bytes are broadcast.
     """
     data = vocabulary_bytes(path)
-    shared, key = docs.sparkSession.sparkContext.broadcast(data), hash(data)
+    shared, key = ready(docs.sparkSession).sparkContext.broadcast(data), hash(data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = _worker_cache(key, shared.value, pattern)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremorlake.session import ensure_checkpoint_dir, ship_package
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -18,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with its shared checkpoint folder and with this package on the executors."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return spark
+
+
 def whole_text(col: str | Column = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremorlake.llm.common import ready
 from tremorlake.llm.text_arrays import Words, mix, pieces, word_hashes, words
 
 MAX_EDITS = 0.2
@@ -190,7 +191,7 @@ def find(w: Words, offsets: np.ndarray, items: Items, max_edits: float = MAX_EDI
 
 
 def _scan(docs: DataFrame, items: Items, max_edits: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = ready(docs.sparkSession).sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremorlake.llm.common import ready
 from tremorlake.llm.grouping import grouped
 
 K = 20
@@ -142,6 +143,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = K, segments: int = SEGM
 
     ``queries`` and ``rows`` hold (vec_id, v).
     """
+    ready(queries.sparkSession)
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     counts = asked.agg(F.count(F.lit(1))).first()[0], rows.agg(F.count(F.lit(1))).first()[0]
     n_q, n_c = max(1, -(-counts[0] // QUERY_BLOCK)), max(1, -(-counts[1] // ROW_BLOCK))
@@ -150,9 +152,9 @@ def search(queries: DataFrame, rows: DataFrame, k: int = K, segments: int = SEGM
     nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
     cutoffs = heads.withColumn("nth", nth).filter(F.col("nth") <= k).groupBy("query_id").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(NO_CUTOFF).alias("cutoff"))
-    ready = asked.join(cutoffs, asked["vec_id"] == cutoffs["query_id"], "left").select(
+    with_cutoff = asked.join(cutoffs, asked["vec_id"] == cutoffs["query_id"], "left").select(
         "vec_id", "v", F.coalesce("cutoff", F.lit(NO_CUTOFF)).alias("cutoff"))
-    found = _met(ready, rows, n_q, n_c).mapInArrow(lambda b: _above(b, k, segments), "query_id long, vec_id long, score long")
+    found = _met(with_cutoff, rows, n_q, n_c).mapInArrow(lambda b: _above(b, k, segments), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

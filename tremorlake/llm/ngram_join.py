@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import keyed
+from tremorlake.llm.common import keyed, ready
 from tremorlake.llm.graph import components
 from tremorlake.llm.grouping import grouped
 from tremorlake.llm.text_arrays import mix, pieces, words
@@ -250,6 +250,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS, small:
     n_links counts the different sets that its set is linked with, n_copies the
     documents with its own set.  class_id is the smallest doc_id of its class.
     """
+    ready(docs.sparkSession)
     rows = keyed(docs)
     base = sketches(rows).checkpoint()
     sets = base.filter("n > 0").groupBy("s1", "s2").agg(

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import join_rows, keyed
+from tremorlake.llm.common import join_rows, keyed, ready
 
 #: The base patterns and the least lengths of their values.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -86,6 +86,7 @@ def scan(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS) -
     ``found`` holds (start, kind, stop, live, n_owners, n_repos) by start and kind;
     kind counts in KINDS.
     """
+    ready(docs.sparkSession)
     rows = candidates(docs, owner).checkpoint()
     inside = F.transform("base", lambda b: F.struct(b["start"].alias("s"), b["stop"].alias("e")))
     free = F.filter("extra", lambda x: ~F.exists(inside, lambda b: (x["start"] < b["e"]) & (b["s"] < x["stop"])))

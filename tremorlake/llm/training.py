@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tremorlake.llm.common import ready
+
 
 def fold(doc_id: str, folds: int) -> Column:
     """crc32 of doc_id, as text, modulo ``folds``; null where doc_id is null."""
@@ -26,6 +28,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     for value, n in most.items():
         part = known.filter(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         picked = part if picked is None else picked.unionByName(part)
+    ready(docs.sparkSession)
     rows = picked.collect()
     ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["label"]) for r in rows], "doc_id long, label int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
