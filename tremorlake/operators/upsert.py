@@ -5,7 +5,8 @@ K1/K2 upsert, K3 serial ids, K4 defaults, K5 tsunami table, J1 changed rows.
 An upsert is a pure DataFrame -> DataFrame operator; the caller writes the
 result to a new version directory (parquet has no MERGE).  A small batch is
 broadcast (after its size is proven) so the big current table is scanned
-without a shuffle; a batch beyond the bound takes a shuffled full outer join.
+without a shuffle; a batch beyond the bound is joined by shuffle, once for the
+rows that stay and once, on keys alone, for the new ones.
 """
 
 from __future__ import annotations
@@ -79,19 +80,18 @@ def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str
                 out.append(F.col(c))
         return out + [(~cur_present).alias("_inserted")]
 
-    if proven_small(folded, broadcast_limit):
-        small = F.broadcast(b)
-        updated = current.join(small, key, "left")
-        kept = updated.select(*merged(F.lit(True), F.col("_b").isNotNull()))
-        matched_keys = current.select(key).join(F.broadcast(folded.select(key)), key, "left_semi").distinct()
-        new_rows = b.join(F.broadcast(matched_keys), key, "left_anti")
-        cur_nulls = new_rows.select(F.col(key), *[F.lit(None).cast(current.schema[c].dataType).alias(c)
-                                                 for c in current.columns if c != key], "_b", *[f"_b_{c}" for c in b_cols])
-        inserted = cur_nulls.select(*merged(F.lit(False), F.lit(True)))
-        return kept.unionByName(inserted)
-    cur = current.withColumn("_c", F.lit(True))
-    j = cur.join(b, key, "full_outer")
-    return j.select(*merged(F.col("_c").isNotNull(), F.col("_b").isNotNull()))
+    # Rows that stay (updated or not) and rows that are new are two joins on the
+    # key, so a caller that needs only one kind runs only that one.
+    small = proven_small(folded, broadcast_limit)
+    ship = F.broadcast if small else (lambda df: df)
+    kept = current.join(ship(b), key, "left").select(*merged(F.lit(True), F.col("_b").isNotNull()))
+    known = current.select(key)
+    if small:  # only the batch's own keys of the current table, at most as many as the batch has
+        known = F.broadcast(known.join(F.broadcast(folded.select(key)), key, "left_semi").distinct())
+    new_rows = b.join(known, key, "left_anti")
+    blank = new_rows.select(F.col(key), *[F.lit(None).cast(current.schema[c].dataType).alias(c)
+                                          for c in current.columns if c != key], "_b", *[f"_b_{c}" for c in b_cols])
+    return kept.unionByName(blank.select(*merged(F.lit(False), F.lit(True))))
 
 
 def raw_upsert(current: DataFrame, batch: DataFrame, stamp: Column | None = None, order=None) -> DataFrame:

@@ -228,7 +228,7 @@ def q_near_zones_mixed(spark, sf_dir):
 
 
 @register("wkt_points", O.with_ctes() + """
-SELECT usgs_id, concat('POINT (', CAST(longitude AS DOUBLE), ' ', CAST(latitude AS DOUBLE), ')') AS wkt FROM quakes""")
+SELECT usgs_id, concat('POINT (', CAST(longitude AS VARCHAR), ' ', CAST(latitude AS VARCHAR), ')') AS wkt FROM quakes""")
 def q_wkt_points(spark, sf_dir):
     return _quakes(spark, sf_dir).select("usgs_id", S.wkt_point("longitude", "latitude").alias("wkt"))
 
