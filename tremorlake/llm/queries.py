@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm import byte_bpe, decontaminate, exact_topk, license_scan, line_dedup, ngram_join, pii, quality, secret_scan, toxicity
+from tremorlake.llm import byte_bpe, decontaminate, exact_topk, license_scan, line_dedup, ngram_join, oracle, pii, quality, secret_scan, toxicity
 from tremorlake.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -61,29 +61,8 @@ QUERIES = {f.__name__: f for f in (
     op8_exact_topk, op9_toxicity, op10_license_scan)}
 
 ORACLE: dict[str, str] = {
-    "op1_line_dedup": """
-        WITH lines AS (
-          SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line
-          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
-        keyed AS (
-          SELECT doc_id, i, line, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                      ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM lines),
-        frequent AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
-        marked AS (SELECT d.*, f.k IS NOT NULL AS gone FROM keyed d LEFT JOIN frequent f ON d.k = f.k)
-        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-        FROM marked GROUP BY doc_id""",
-    "op8_exact_topk": """
-        WITH v AS (
-          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-          FROM embeddings
-          WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-        scored AS (
-          SELECT q.vec_id AS query_id, c.vec_id,
-                 CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
-        SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
-        WHERE rank <= 20""",
+    "op1_line_dedup": oracle.LINE_DEDUP,
+    "op5_secret_scan": oracle.SECRET_SCAN,
+    "op8_exact_topk": oracle.EXACT_TOPK,
+    "op10_license_scan": oracle.LICENSE_SCAN,
 }
