@@ -40,7 +40,7 @@ from tremorlake.llm.training import fold, labelled_sample
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 #: At most so many labelled rows of each class are learned from.
-TRAIN_TOXIC, TRAIN_CLEAN = 1500, 2500
+TRAIN_TOXIC, TRAIN_CLEAN = 1000, 1500
 BUCKET_BITS = 18
 PREFIX_BYTES = 6
 MIN_DOCS, MIN_LIFT = 2.5, 20.0
@@ -236,8 +236,8 @@ def train(doc: np.ndarray, toxic: np.ndarray, buckets: np.ndarray) -> Model:
         square_bias += g * g
         bias += RATE * g / np.sqrt(square_bias)
         o, x = ahead[inner], back[inner + 1]
-        joint = np.stack([np.full(len(o), factor[0, 0]), factor[0, 1] * x, factor[1, 0] * o, factor[1, 1] * o * x])
-        expected = (joint / joint.sum(0)).sum(1).reshape(2, 2)
+        one = 1 / (factor[0, 0] + factor[0, 1] * x + factor[1, 0] * o + factor[1, 1] * o * x)
+        expected = factor * np.array([[one.sum(), (one * x).sum()], [(one * o).sum(), (one * o * x).sum()]])
         g = seen - expected
         square_factor += g * g
         log_factor = np.clip(log_factor + 0.2 * RATE * g / np.sqrt(square_factor), -4, 4)
@@ -260,10 +260,14 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held_out: int = HELD_OUT) -> Model:
     sample = labelled_sample(docs, labels, label, folds, held_out, {1: TRAIN_TOXIC, 0: TRAIN_CLEAN})
     rows = sorted(sample.mapInArrow(_featured, "doc_id long, label int, buckets binary").collect(), key=lambda r: (r["doc_id"], bytes(r["buckets"])))
-    parts = [np.frombuffer(r["buckets"], "<i4").reshape(3, -1) for r in rows]
     toxic = np.array([r["label"] == 1 for r in rows], bool)
-    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [p.shape[1] for p in parts])
-    return train(doc, toxic, np.concatenate(parts, 1) if parts else np.zeros((3, 0), np.int32))
+    length = [len(r["buckets"]) // 12 for r in rows]
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), length)
+    buckets = np.empty((3, len(doc)), np.int32)
+    for r, at, n in zip(rows, np.cumsum([0, *length]).tolist(), length, strict=False):
+        buckets[:, at:at + n] = np.frombuffer(r["buckets"], "<i4").reshape(3, -1)
+    del rows
+    return train(doc, toxic, buckets)
 
 
 def spans(p: np.ndarray, w, offsets: np.ndarray, data: np.ndarray) -> list[list[tuple[int, int]]]:
