@@ -87,6 +87,38 @@ def test_files_of_a_partitioned_write_stay_few(spark):
     assert "event_date" in SINK.read_latest(spark, root, layout=True).columns
 
 
+def stamps(root):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{root}/event_date=*/*.parquet")}
+
+
+def test_a_batch_in_place_rewrites_only_its_dates(spark):
+    raw = T.derived_raw(spark, "/root/testdata/sf0.001", T.AS_OF).drop("seq")
+    root = tempfile.mkdtemp(prefix="place-")
+    assert jobs.curate_in_place(spark, raw, root, stamp=T.AS_OF)["mode"] == "full"
+    before, rows = stamps(root), spark.read.parquet(root).count()
+    one = spark.read.parquet(root).filter("longitude is not null").orderBy("id").first()
+    later = raw.filter(F.col("usgs_id") == one["usgs_id"]).withColumn("updated", F.lit(T.AS_OF).cast("timestamp_ntz")).withColumn("mag", F.lit(7).cast("decimal(6,2)"))
+    new = later.withColumn("usgs_id", F.lit("fresh"))
+    done = jobs.curate_in_place(spark, later.unionByName(new), root, stamp=T.AS_OF)
+    after = stamps(root)
+    day = f"event_date={one['event_date']}"
+    assert done["dates"] == [one["event_date"]] and done["rows"] == 2
+    assert {f: t for f, t in before.items() if day not in f} == {f: t for f, t in after.items() if day not in f}
+    got = spark.read.parquet(root)
+    assert got.count() == rows + 1 and got.select("id").distinct().count() == rows + 1
+    assert got.filter(F.col("usgs_id") == one["usgs_id"]).first()["mag"] == Decimal("7.00")
+    # the same batch again writes nothing
+    assert jobs.curate_in_place(spark, later.unionByName(new), root, stamp=T.AS_OF)["rows"] == 0 and stamps(root) == after
+    # a row whose date moves leaves its old date
+    away = later.withColumn("time", F.lit(dt.datetime(2030, 5, 5)).cast("timestamp_ntz")).withColumn("updated", F.lit(dt.datetime(2030, 5, 6)).cast("timestamp_ntz"))
+    jobs.curate_in_place(spark, away, root, stamp=T.AS_OF)
+    moved = spark.read.parquet(root).filter(F.col("usgs_id") == one["usgs_id"]).collect()
+    assert len(moved) == 1 and moved[0]["event_date"] == dt.date(2030, 5, 5) and moved[0]["id"] == one["id"]
+    back = away.withColumn("time", F.lit(one["time"]).cast("timestamp_ntz")).withColumn("updated", F.lit(dt.datetime(2030, 5, 7)).cast("timestamp_ntz"))
+    jobs.curate_in_place(spark, back, root, stamp=T.AS_OF)
+    assert not glob.glob(f"{root}/event_date=2030-05-05") and spark.read.parquet(root).count() == rows + 1
+
+
 def test_a_table_that_grew_is_read_anew(spark):
     root = tempfile.mkdtemp(prefix="grow-")
     spark.range(10).write.parquet(f"{root}/x.parquet")

@@ -154,10 +154,10 @@ def changed(raw: DataFrame, final: DataFrame, key: str = "usgs_id") -> DataFrame
 # --- K2 ---------------------------------------------------------------------------------
 
 def curated_upsert(final: DataFrame, cleaned: DataFrame, stamp: Column | None = None,
-                   id_order: list[str] | None = None) -> DataFrame:
+                   id_order: list[str] | None = None, start: int | None = None) -> DataFrame:
     """K2: curated upsert on usgs_id; conflicts overwrite every data column and
     stamp ``processed_at``; existing ids stay, new rows get the next serial ids
-    (K3) in ``id_order``."""
+    (K3) in ``id_order``, after ``start`` (default: the largest id of ``final``)."""
     id_order = id_order or ["time", "usgs_id"]
     merged = upsert(final, cleaned, "usgs_id", FINAL_DATA_COLUMNS, "processed_at", stamp, keep_cols=["id"])
     # No checkpoint of ``merged``: that would copy the whole curated table per
@@ -166,7 +166,8 @@ def curated_upsert(final: DataFrame, cleaned: DataFrame, stamp: Column | None =
     # are materialised (inside assign_ids).
     old = merged.filter(~F.col("_inserted")).drop("_inserted")
     new = merged.filter(F.col("_inserted")).drop("_inserted", "id")
-    start = final.agg(F.max("id")).first()[0] or 0
+    if start is None:
+        start = final.agg(F.max("id")).first()[0] or 0
     new = assign_ids(new, [F.col(c) for c in id_order], start=start)
     return old.unionByName(new.select(*old.columns))
 

@@ -21,7 +21,8 @@ from ..sources import feed as FEED
 from ..sources import sinks as SINK
 from ..sources import tables as T
 from . import oracle as O
-from .catalog import ORACLE, RADIUS, RADIUS_ANALYSIS, _doubles, _feed_select, _list_sql, _quakes, _radius_analysis_sql, _radius_sql, register
+from . import jobs
+from .catalog import _INCR_SQL, ORACLE, RADIUS, RADIUS_ANALYSIS, STAMP_1, STAMP_2, _doubles, _halves, _feed_select, _list_sql, _quakes, _radius_analysis_sql, _radius_sql, register
 
 # --- The stored curated table (S6) ------------------------------------------------------------
 
@@ -99,6 +100,18 @@ def q_stream_intake_revisions(spark, sf_dir):
     return _doubles(SINK.read_latest(spark, f"{root}/final").select("usgs_id", *O.FINAL_DATA))
 
 
+# --- The curated table in place (J1, K2, K3) ------------------------------------------------------
+
+
+@register("curate_in_place", _INCR_SQL)
+def q_curate_in_place(spark, sf_dir):
+    cur, bat = _halves(spark, sf_dir)
+    path = scratch_path(spark, "in-place")
+    jobs.curate_in_place(spark, cur, path, stamp=T.AS_OF)
+    jobs.curate_in_place(spark, U.raw_upsert(cur, bat, stamp=T.ts_literal(STAMP_1)), path, stamp=STAMP_2)
+    return _doubles(spark.read.parquet(path).drop("event_date"))
+
+
 # --- Constraints of a broken load (K8) ------------------------------------------------------------
 
 _BROKEN = {  # column -> (which events, SQL value)
