@@ -46,6 +46,10 @@ def test_words_are_those_of_the_pattern():
         for x, h in g:
             same[x.translate(LOWER)].add(h)
     assert all(len(v) == 1 for v in same.values()) and len({min(v) for v in same.values()}) == len(same)
+    buffer = np.frombuffer(b"".join(data), np.uint8)
+    for limit in (1, 7, 1000):  # blocks of any size give the same words
+        for a, b in zip(w, text_arrays.words(buffer, offsets, limit=limit), strict=True):
+            np.testing.assert_array_equal(a, b)
 
 
 # --- BPE --------------------------------------------------------------------------------

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tremorlake.llm.text_arrays import mix, pieces, words
+from tremorlake.llm.text_arrays import PIECE_BYTES, mix, pieces, words
 from tremorlake.llm.training import fold, labelled_sample
 
 FOLDS, HELD_OUT = 5, 0
@@ -42,25 +42,24 @@ BATCH = 64
 RATE = 0.3
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, document) of every n-gram of a piece of texts."""
+def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket, document) of the n-grams of a piece of texts, in blocks of bounded size."""
     top = np.uint64(64 - BUCKET_BITS)
     w = words(data, offsets, lower=False)
-    word = (w.hash >> top).astype(np.int32)
     again = np.flatnonzero((w.hash[1:] == w.hash[:-1]) & (w.doc[1:] == w.doc[:-1])) + 1
-    n = len(data)
-    if n >= 4:
-        x = data[:n - 3].astype(np.uint32)
+    mark = np.full(len(again), mix(np.array([7], np.uint64))[0] >> top, np.int32)
+    yield np.concatenate([(w.hash >> top).astype(np.int32), mark]), np.concatenate([w.doc, w.doc[again]])
+    del w, again, mark
+    for at in range(0, len(data) - 3, PIECE_BYTES):
+        part = data[at:at + PIECE_BYTES + 3]
+        n = len(part) - 3
+        x = part[:n].astype(np.uint32)
         for k in (1, 2, 3):
-            x |= data[k:n - 3 + k].astype(np.uint32) << np.uint32(8 * k)
+            x |= part[k:n + k].astype(np.uint32) << np.uint32(8 * k)
+        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(np.clip(offsets, at, at + n + 3)))
+        same = doc[:n] == doc[3:]
         gram = ((x * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)).astype(np.int32)
-        doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
-        same = doc[:n - 3] == doc[3:]
-        gram, gram_doc = gram[same], doc[:n - 3][same]
-    else:
-        gram = gram_doc = np.zeros(0, np.int32)
-    mark = np.full(len(again), mix(np.array([7], np.uint64))[0] >> top, np.int32)
-    return np.concatenate([word, mark, gram]), np.concatenate([w.doc, w.doc[again], gram_doc])
+        yield gram[same], doc[:n][same]
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,12 +67,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         label = batch.column(0).to_numpy(zero_copy_only=False)
         for lo, data, offsets in pieces(batch.column(1)):
-            bucket, doc = features(data, offsets)
+            counted = [np.unique(doc.astype(np.int64) << BUCKET_BITS | bucket, return_counts=True) for bucket, doc in features(data, offsets)]
+            key, inverse = np.unique(np.concatenate([k for k, _ in counted]), return_inverse=True)
+            count = np.bincount(inverse, weights=np.concatenate([c for _, c in counted]), minlength=len(key))
             ids, shares = [], []
-            for d in range(len(offsets) - 1):
-                u, c = np.unique(bucket[doc == d], return_counts=True)
-                ids.append(u.astype("<i4").tobytes())
-                shares.append((c / max(1, c.sum())).astype("<f4").tobytes())
+            cut = np.searchsorted(key, np.arange(len(offsets)) << BUCKET_BITS)
+            for a, b in zip(cut, cut[1:], strict=False):
+                ids.append((key[a:b] & ((1 << BUCKET_BITS) - 1)).astype("<i4").tobytes())
+                shares.append((count[a:b] / max(1, count[a:b].sum())).astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(label[lo:lo + len(ids)], pa.int32()), pa.array(ids, pa.binary()), pa.array(shares, pa.binary())],
                                              ["label", "ids", "shares"])
 
@@ -131,9 +132,11 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
         for batch in batches:
             for lo, data, offsets in pieces(batch.column(at)):
                 n = len(offsets) - 1
-                bucket, doc = features(data, offsets)
-                total = np.bincount(doc, weights=table[bucket], minlength=n)
-                logit = bias + total / np.maximum(1, np.bincount(doc, minlength=n))
+                total, many = np.zeros(n), np.zeros(n)
+                for bucket, doc in features(data, offsets):
+                    total += np.bincount(doc, weights=table[bucket], minlength=n)
+                    many += np.bincount(doc, minlength=n)
+                logit = bias + total / np.maximum(1, many)
                 made = pa.array(1 / (1 + np.exp(-np.clip(logit, -40, 40))), pa.float64())
                 rows = batch.slice(lo, n)
                 yield pa.RecordBatch.from_arrays([*rows.columns, made], [*rows.schema.names, "__score"])

@@ -69,13 +69,40 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
-    n = len(data)
-    if n == 0:
+def blocks(data: np.ndarray, offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Cuts of a buffer into blocks of about ``limit`` bytes that part no word, so a long text needs no larger arrays."""
+    at, n = 0, len(data)
+    while at < n:
+        end = min(n, at + limit)
+        while end < n and _IS_WORD[data[end]]:  # on to the word's end, or to a text's
+            ahead = np.flatnonzero(~_IS_WORD[data[end:end + 4096]])
+            border = offsets[np.searchsorted(offsets, end)]
+            step = int(ahead[0]) if len(ahead) else min(4096, n - end)
+            if border <= end + step:
+                end = int(border)
+                break
+            end += step
+        yield at, end
+        at = end
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, limit: int = PIECE_BYTES) -> Words:
+    parts = []
+    for at, end in blocks(data, offsets, limit):
+        inner = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, end, side="right")] - at
+        value, start, stop = _block_words(data[at:end], inner, lower)
+        parts.append((value, start + at, stop + at))
+    if not parts:
         none = np.zeros(0, np.int64)
         return Words(none.astype(np.uint64), none, none, none)
+    value, start, stop = (np.concatenate(x) for x in zip(*parts, strict=True)) if len(parts) > 1 else parts[0]
+    return Words(value, start, stop, np.searchsorted(offsets, start, side="right") - 1)
+
+
+def _block_words(data: np.ndarray, borders: np.ndarray, lower: bool):
+    n = len(data)
     edge = np.zeros(n + 1, bool)
-    edge[offsets] = True
+    edge[borders] = True
     is_word = _IS_WORD[data]
     begins = is_word.copy()
     begins[1:] &= ~is_word[:-1] | edge[1:n]
@@ -88,7 +115,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
     inner = start > 0
     value[inner] -= sums[start[inner] - 1]
     value *= inverse[start]
-    return Words(mix(value), start, stop, np.searchsorted(offsets, start, side="right") - 1)
+    return mix(value), start, stop
 
 
 def word_hashes(text: str, lower: bool = True) -> np.ndarray:
