@@ -44,6 +44,17 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
                        *[F.col(c) for c in more])
 
 
+def splittable(facts: DataFrame) -> DataFrame:
+    """One-row-per-key facts, cut off from the aggregate that made them.
+
+    Joined straight after the aggregate, they would keep its partitioning, and
+    Spark can't split a hot key on the other side of such a join.  Read from the
+    checkpoint, both sides are dealt anew and skewed partitions are split.
+    """
+    ready(facts.sparkSession)
+    return facts.checkpoint()
+
+
 def join_rows(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """``rows`` with the columns of ``facts`` for the same row (null where there are none)."""
     facts = facts.withColumnsRenamed({"doc_id": "__doc", "row_hash": "__hash"})

@@ -8,7 +8,8 @@ lower-cased.  Keys travel as 128-bit hashes, never as text:
    spread over many ranges, since the document is part of the range key.
 2. The sorted stream yields each document's first occurrence of a hash.  Those
    are counted per hash, with a partial count in every range.
-3. Positions of frequent hashes are gathered per document as run lengths: the
+3. Occurrences of frequent hashes (broadcast once counted and small, else joined
+   with skewed partitions split) are gathered per document as run lengths: the
    compressed keep bitmap.  Only the bitmaps meet the texts again.
 
 Defined results: a null or empty text is one empty line.  Empty keys are never
@@ -22,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import ascii_lower, join_rows, keyed
+from tremorlake.llm.common import ascii_lower, join_rows, keyed, splittable
+from tremorlake.session import broadcast_checked
 
 #: White space that is stripped from a line's ends.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -49,7 +51,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
               .repartitionByRange(*at).sortWithinPartitions(*at, "pos"))
     first = placed.withColumn("nth", F.row_number().over(Window.partitionBy(*at).orderBy("pos"))).filter("nth = 1")
     frequent = first.groupBy("h1", "h2").count().filter(F.col("count") >= min_docs).select("h1", "h2")
-    gone = placed.join(frequent, ["h1", "h2"], "left_semi")
+    gone = placed.join(broadcast_checked(splittable(frequent)), ["h1", "h2"], "left_semi")
     per_doc = gone.groupBy("doc_id", "row_hash").agg(F.sort_array(F.collect_set("pos")).alias("p"))
     return per_doc.select("doc_id", "row_hash", F.size("p").cast("long").alias("n_dropped"), _runs(F.col("p")).alias("runs"))
 
