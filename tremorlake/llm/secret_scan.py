@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import join_rows, keyed, ready
+from tremorlake.llm.common import join_rows, keyed, ready, splittable
 
 #: The base patterns and the least lengths of their values.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -93,7 +93,7 @@ def scan(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS) -
     spans = rows.select("doc_id", "row_hash", "owner", F.explode(F.concat("base", free)).alias("x")).select(
         "doc_id", "row_hash", "owner", F.col("x.start").alias("start"), F.col("x.kind").alias("kind"), F.col("x.stop").alias("stop"),
         F.xxhash64("x.value").alias("v1"), F.xxhash64(F.lit(1), "x.value").alias("v2"))
-    judged = spans.join(ownership(spans), ["v1", "v2"]).withColumn("live", F.col("n_owners") <= max_owners)
+    judged = spans.join(splittable(ownership(spans)), ["v1", "v2"]).withColumn("live", F.col("n_owners") <= max_owners)
     kept = judged.filter((F.col("kind") < KINDS.index("token")) | F.col("live"))
     per_doc = kept.groupBy("doc_id", "row_hash").agg(F.sort_array(F.collect_set(
         F.struct("start", "kind", "stop", "live", "n_owners", "n_repos"))).alias("found"))
