@@ -241,6 +241,27 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("n", [8, 9, 10, 12, 15, 19, 20, 24, 25, 30, 45, 59])
+def test_decontamination_finds_every_length_at_the_full_edit_bound(n):
+    rng = np.random.default_rng(n)
+    edits, trials = int(0.2 * n), 60
+    items = [" ".join(f"i{k}x{j}" for j in range(n)) for k in range(trials)] + [" ".join(["same", "word"] * n)[:5 * n - 1]]
+    index = decontaminate.index_items(list(enumerate(items)))
+    for spread in (None, "even", "exact"):  # edits anywhere, as far apart as they go, none
+        texts = []
+        for item in items:
+            w = item.split()
+            at = np.linspace(0, len(w) - 1, edits + 2)[1:-1].astype(int) if spread == "even" else rng.choice(len(w), edits, replace=False)
+            for p in sorted(at.tolist(), reverse=True) if spread != "exact" else []:
+                kind = rng.integers(3)
+                w[p:p + 1] = [["new"], [w[p], "new"], []][kind]
+            texts.append(" ".join(["before"] * 3 + w + ["after"] * 3).encode())
+        offsets = np.cumsum([0] + [len(t) for t in texts])
+        w = text_arrays.words(np.frombuffer(b"".join(texts), np.uint8), offsets)
+        got = {(d, t) for d, t, *_ in decontaminate.find(w, offsets, index)}
+        assert got == {(k, k) for k in range(len(items))}, spread
+
+
 def test_walks_meet_again_after_an_edit():
     rng = np.random.default_rng(1)
     word = rng.integers(1, 1 << 62, 40, dtype=np.uint64)

@@ -8,10 +8,15 @@ embeddings differ in few coordinates.
 
 The walk is started at every word of every item and of every text, so the
 coordinates that are sampled lie all over an item-sized window.  Each of
-REPETITIONS walks samples SAMPLED of its STEPS coordinates as a key.  Keys of a
-text's words that stand in the items' key table give an item and a diagonal;
-the window on that diagonal, wider by the allowed edits, is verified by the
-exact edit distance over words: at most MAX_EDITS of the item's words.
+REPETITIONS walks samples SAMPLED of its STEPS coordinates as a key.  Walks alone
+can miss a place: a short item has few starts, an item of few different words
+no usable key.  So every item is also cut into one part more than the edits it
+allows.  An edit touches one part at most, so one part of every place stands
+unedited; the parts' keys find it for certain, whatever the item's length.
+
+Keys of a text's words that stand in the items' key tables give an item and a
+diagonal; the window on that diagonal, wider by the allowed edits, is verified
+by the exact edit distance over words: at most MAX_EDITS of the item's words.
 
 Items are read in blocks of at most BLOCK_WORDS words, so what is broadcast has a
 fixed bound; texts are scanned once for each block.
@@ -46,13 +51,14 @@ FILTER_BITS = 22
 
 
 class Items(NamedTuple):
-    """A block of items: word hashes one after another, and for each repetition the sorted keys with item and place."""
+    """A block of items: word hashes one after another, for each repetition the sorted keys with item and place, and the same for parts by their length."""
 
     ids: np.ndarray
     begin: np.ndarray
     word: np.ndarray
     keys: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     short: dict[int, list[tuple[np.ndarray, np.ndarray]]]
+    parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def coordinates(repetition: int) -> list[int]:
@@ -97,7 +103,14 @@ def _table(keys: np.ndarray, item: np.ndarray, place: np.ndarray):
     return known, keys[order], item[order], place[order]
 
 
-def index_items(rows: list[tuple[int, str]]) -> Items:
+def cut_in_parts(size: int, edits: int) -> list[tuple[int, int]]:
+    """(first word, words) of the parts of an item, of which one stands unedited after ``edits`` edits; keys take STEPS words of a part at most."""
+    n = min(edits + 1, size)
+    at = [k * size // n for k in range(n + 1)]
+    return [(a, min(b - a, STEPS)) for a, b in zip(at, at[1:], strict=False)]
+
+
+def index_items(rows: list[tuple[int, str]], max_edits: float = MAX_EDITS) -> Items:
     hashes = [word_hashes(text or "") for _, text in rows]
     begin = np.cumsum([0] + [len(h) for h in hashes])
     word = np.concatenate([*hashes, np.zeros(STEPS + 1, np.uint64)]) if rows else np.zeros(STEPS + 1, np.uint64)
@@ -115,7 +128,15 @@ def index_items(rows: list[tuple[int, str]]) -> Items:
         if len(few):
             k = run_keys(word, int(begin[-1]), length)[begin[few]]
             short[length] = _table(k, few, np.zeros(len(few), np.int64))
-    return Items(np.array([i for i, _ in rows], np.int64), begin, word, keys, short)
+    by_length: dict[int, list[tuple[int, int]]] = {}
+    for t, size in enumerate(np.diff(begin).tolist()):
+        for a, length in cut_in_parts(size, int(np.floor(max_edits * size))) if size >= STEPS else []:
+            by_length.setdefault(length, []).append((t, a))
+    parts = {}
+    for length, places in by_length.items():
+        t, a = np.array(places, np.int64).T
+        parts[length] = _table(run_keys(word, int(begin[-1]), length)[begin[t] + a], t, a)
+    return Items(np.array([i for i, _ in rows], np.int64), begin, word, keys, short, parts)
 
 
 def lookup(key: np.ndarray, table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,6 +186,12 @@ def find(w: Words, offsets: np.ndarray, items: Items, max_edits: float = MAX_EDI
         used = np.flatnonzero(used & items.keys[r][0][key >> np.uint64(64 - FILTER_BITS)])
         at, item, place = lookup(key[used], items.keys[r])
         hits.append((used[at], item, place))
+    for length, table in items.parts.items() if n else ():
+        at, item, place = lookup(run_keys(padded, n, length), table)
+        # A run must not go on into the next text.
+        own = w.doc[np.minimum(at + length - 1, n - 1)] == w.doc[at]
+        own &= at + length <= n
+        hits.append((at[own], item[own], place[own]))
     if hits:
         at, item, place = (np.concatenate(x) for x in zip(*hits, strict=True))
     if hits and len(at):
@@ -224,7 +251,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_E
     out = None
     for k in range(n_blocks):
         part = items if n_blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == k)
-        block = index_items(sorted((r["item_id"], r["text"]) for r in part.collect()))
+        block = index_items(sorted((r["item_id"], r["text"]) for r in part.collect()), max_edits)
         found = _scan(rows, block, max_edits)
         out = found if out is None else out.unionByName(found)
     return out
