@@ -179,6 +179,27 @@ def test_keep_one_of_each_class(spark):
     assert {(d, t) for d, t in kept if not run_set(t)} == {(r[0], r[1]) for r in rows if not run_set(r[1])}
 
 
+def test_keep_one_tells_classes_of_one_doc_id_apart(spark):
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(5, "one"), (5, "one"), (5, "another text with the same id"), (5, ""), (5, ""), (5, "..."), (None, "no id"), (None, "no id"), (None, None),
+            (7, near), (8, near + " end"), (9, "one"), (7, "a clean text beside the near copies"), (7, "a clean text beside the near copies")]
+    docs = spark.createDataFrame([(d, t, "en", "s", i) for i, (d, t) in enumerate(rows)], DOCS)
+    want = collections.Counter([(5, "one"), (5, "another text with the same id"), (5, ""), (5, "..."), (None, "no id"), (None, None), (7, near),
+                                (7, "a clean text beside the near copies")])
+    assert collections.Counter((r["doc_id"], r["text"]) for r in ngram_join.keep_one(docs).collect()) == want
+    joined = ngram_join.join(docs).collect()
+    assert len(joined) == len(rows) and len({r["class_key"] for r in joined}) == len(want)
+
+
+def test_keep_one_keeps_rows_of_each_class_once(spark):
+    rows = near_rows()
+    got = ngram_join.keep_one(spark.createDataFrame(rows, DOCS)).collect()
+    known = collections.Counter((r["doc_id"], r["text"]) for r in got)
+    assert set(known.values()) == {1}
+    apart = [(5, "one"), (5, "another text with the same id"), (None, "a text without an id\nThe same line.")]
+    assert all(known[x] == 1 for x in apart)
+
+
 def test_ngram_join_no_rows(spark):
     assert ngram_join.join(no_docs(spark)).collect() == []
 

@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorlake.llm.common import keyed, ready
@@ -244,11 +244,17 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["s1", "s2", "tokens"])
 
 
+def _key(kind: str, *columns: str) -> Column:
+    """The values of the columns as one text, different for different values."""
+    return F.concat_ws(":", F.lit(kind), *[F.coalesce(F.hex(c), F.lit("-")) for c in columns])
+
+
 def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS, small: int = SMALL, levels: int = LEVELS, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, row_hash, class_id, n_links, n_copies.
+    """One row per document: doc_id, row_hash, class_id, class_key, n_links, n_copies.
 
     n_links counts the different sets that its set is linked with, n_copies the
-    documents with its own set.  class_id is the smallest doc_id of its class.
+    documents with its own set.  class_id is the smallest doc_id of its class; as
+    a doc_id may stand on unlike texts, class_key is what tells classes apart.
     """
     ready(docs.sparkSession)
     rows = keyed(docs)
@@ -274,10 +280,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS, small:
         rooted.select("u.s1", "u.s2", "root"), ["s1", "s2"], "left").withColumn("root", F.coalesce("root", F.struct("s1", "s2")))
     class_names = named.groupBy("root").agg(F.min("name").alias("class_id"))
     facts = named.join(class_names, "root").join(counts, ["s1", "s2"], "left").select(
-        F.col("s1").alias("f1"), F.col("s2").alias("f2"), "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_copies")
+        F.col("s1").alias("f1"), F.col("s2").alias("f2"), "class_id",
+        _key("set", "root.s1", "root.s2").alias("class_key"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_copies")
     own = F.coalesce(F.col("doc_id"), F.col("row_hash"))
     return base.join(facts, (F.col("s1") == F.col("f1")) & (F.col("s2") == F.col("f2")) & (F.col("n") > 0), "left").select(
-        "doc_id", "row_hash", F.coalesce("class_id", own).alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        "doc_id", "row_hash", F.coalesce("class_id", own).alias("class_id"),
+        F.coalesce("class_key", _key("row", "doc_id", "row_hash")).alias("class_key"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         F.coalesce("n_copies", F.lit(1).cast("long")).alias("n_copies"))
 
 
@@ -288,7 +296,15 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     joined = join(docs, threshold)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash")
-    kept = joined.groupBy("class_id").agg(F.min(order).alias("k")).select(
-        F.col("k.doc_id").alias("__doc"), F.col("k.row_hash").alias("__hash"))
-    at = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("__hash"))
-    return docs.join(kept, at, "left_semi")
+    # Partial counts per row first, so a row that is repeated very often stays spread.
+    rows = joined.groupBy("class_key", "doc_id", "row_hash").agg(F.count(F.lit(1)).alias("rows"))
+    kept = rows.groupBy("class_key").agg(F.min(F.struct(order.alias("o"), "rows")).alias("k")).select(
+        F.col("k.o.doc_id").alias("__doc"), F.col("k.o.row_hash").alias("__hash"), F.col("k.rows").alias("__rows")).checkpoint()
+    doc, text_hash = docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    at = doc.eqNullSafe(F.col("__doc")) & (text_hash == F.col("__hash"))
+    once = docs.join(kept.filter("__rows = 1"), at, "left_semi")
+    repeated = kept.filter("__rows > 1")
+    if repeated.isEmpty():
+        return once
+    several = docs.join(repeated, at, "left_semi").withColumns({"__doc": F.col("doc_id").cast("long"), "__hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+    return once.unionByName(several.dropDuplicates(["__doc", "__hash"]).drop("__doc", "__hash"))
