@@ -175,6 +175,33 @@ def test_pii_formats_links_and_rejections(spark):
     assert len(by) == len({r[0] for r in rows}) and by[1]["text"] is None and by[2]["text"] == ""
 
 
+BESIDE = [
+    ("4111 1111 1111 1111 12/27", ["card:0:19"]), ("4111111111111111 123", ["card:0:16"]), ("2 4111111111111111", ["card:2:18"]),
+    ("4111111111111111-01", ["card:0:16"]), ("4111 1111 1111 1111 5500 0000 0000 0004", ["card:0:19", "card:20:39"]),
+    ("12 4111-1111-1111-1111 2024-02-29", ["card:3:22", "date:23:33"]), ("1234567890123 123-45-6789", ["ssn:14:25"]),
+    ("4111 1111 1111 1111 364 285 1331", ["card:0:19", "phone:20:32"]), ("4111 1111 1111 1111 10.1.2.3", ["card:0:19", "ip:20:28"]),
+    ("call +44 20 7946 0958.", ["phone:5:21"]), ("+33 1 23 45 67 89", ["phone:0:17"]), ("+33 1 23 45 67 89 4111 1111 1111 1111", ["phone:0:17", "card:18:37"]),
+    ("+44 (0)20 7946 0958", ["phone:0:19"]), ("+33 1 23 45 67 89 2024-02-29", ["phone:0:17", "date:18:28"]), ("1 " * 9 + "+1 2", []), ("7" * 9000, []),
+]
+
+
+def test_pii_numbers_beside_each_other(spark):
+    docs = spark.createDataFrame([(i, f"é {t}", "en", "s", 1) for i, (t, _) in enumerate(BESIDE)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in pii.report(pii.pseudonymise(docs)).collect()}
+    for i, (t, spans) in enumerate(BESIDE):
+        r, moved = got[i], [(x.split(":")[0], *(int(y) + 2 for y in x.split(":")[1:])) for x in spans]
+        assert r["spans"] == ",".join(f"{k}:{a}:{b}" for k, a, b in moved), t
+        old, new, at = f"é {t}", r["text"], 0
+        if "ip" in r["spans"]:  # of no fixed length
+            continue
+        assert len(old) == len(new)
+        for _, a, b in moved:
+            assert old[at:a] == new[at:a] and old[a:b] != new[a:b]
+            at = b
+        assert old[at:] == new[at:]
+        assert all(luhn(re.sub(r"\D", "", new[a:b])) for k, a, b in moved if k == "card")
+
+
 @pytest.mark.parametrize("length", [2, 3])
 def test_pii_digits_are_permuted(spark, length):
     n = 10 ** length

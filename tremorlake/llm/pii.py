@@ -5,12 +5,18 @@ permutation within their own format.  Equal values get equal pseudonyms in all
 documents, and two values never share one:
 
 * card: 13 to 19 digits that pass the Luhn check; first digit and separators stay, the check digit is made anew
-* phone: international, or area code and seven digits; the digits are permuted, signs and country code stay
+* phone: 8 to 15 digits after a plus sign in any grouping, or area code and seven digits; the digits are permuted, signs and country code stay
 * ssn: 3-2-4 digits with hyphens, no zero group, area not 666 or 9xx; stays valid
 * ip: four numbers up to 255; the address is permuted as two 16-bit halves
 * date: real calendar days YYYY-MM-DD from 1700 to 2099, permuted as 189 x 773 days (400 years)
 * email: not a number, so no permutation: the local part becomes a keyed 16-digit hexadecimal name at example.invalid
 
+Numbers beside each other look like one: of a run of numbers parted by single
+blanks or hyphens, every part of whole numbers with 13 to 19 digits is held
+against the Luhn check.  The leftmost part that passes is the card, and of parts
+that overlap the one with more digits.  What is left of the run is searched for
+dates, ssn and phones.
+
 Everything is one pass over each row: nothing is shuffled, so no value can be
 hot.  The Feistel rounds are a fold over a fixed list, so the expression does
 not grow with them.
@@ -35,9 +41,15 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)"
 DATE = r"(?<!\d)\d{4}-\d{2}-\d{2}(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?![\d-])|(?<![\w+])\+\d{8,15}(?!\d)"
+#: After the plus sign any grouping, but no card's groups and no half of a following date.
+PHONE = (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?![\d-])|(?<![\w+])\+\d{8,15}(?!\d)"
+         r"|(?<![\w+])\+\d(?:(?![ .-]\d{4}[ -](?:\d{4}[ -]\d{4}|\d{6}[ -]\d{4,5}))[ .()-]{0,2}\d){7,14}(?!-?\d)")
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
-PATTERN = "|".join((EMAIL, IP, DATE, SSN, PHONE, CARD))
+#: 13 digits or more with single blanks and hyphens, up to where an address or a phone with other signs begins.
+NUMBERS = rf"(?<!\d)\d(?:(?![ -](?:{EMAIL}|\d{{1,3}}(?:\.\d{{1,3}}){{3}}|\d{{3}}(?:\.\d{{3}}[ .-]|[ -]\d{{3}}\.)\d{{4}}))[ -]?\d){{12,}}+"
+PATTERN = "|".join((EMAIL, IP, DATE, SSN, PHONE, NUMBERS))
+#: What may stand beside cards in a run of numbers; the cards are masked.
+BESIDE = "|".join(("#+", DATE, SSN, PHONE))
 _FULL = [f"^(?:{p})$" for p in (EMAIL, IP, DATE, SSN, PHONE, CARD)]
 #: 1700-01-01; 400 Gregorian years have 146,097 = 189 x 773 days.
 FIRST_DAY, DAYS_A, DAYS_B = "1700-01-01", 189, 773
@@ -114,8 +126,7 @@ def kind_of(m: Column) -> Column:
     octets = F.forall(F.split(m, r"\."), lambda x: (x.try_cast("int") <= 255) & ((F.length(x) == 1) | ~x.startswith("0")))
     day = m.try_cast("date").isNotNull() & m.between("1700-01-01", "2099-12-31")
     ssn = ~m.substr(1, 3).isin("000", "666") & ~m.startswith("9") & (m.substr(5, 2) != "00") & (m.substr(8, 4) != "0000")
-    card = F.length(d).between(13, 19) & ~d.startswith("0") & (
-        F.substring(d, F.length(d), F.lit(1)) == _check_digit(F.substring(d, F.lit(1), F.length(d) - 1)))
+    card = _is_card(d)
     tests = [F.lit(True), octets, day, ssn, F.lit(True), card]
     return F.coalesce(*[F.when(m.rlike(p) & t, F.lit(i)) for i, (p, t) in enumerate(zip(_FULL, tests, strict=True))])
 
@@ -149,11 +160,74 @@ def pseudonym(m: Column, kind: Column, key: str = KEY) -> Column:
     return out
 
 
+def _is_card(d: Column) -> Column:
+    """Whether the digits are those of a card."""
+    return F.length(d).between(13, 19) & ~d.startswith("0") & (
+        F.substring(d, F.length(d), F.lit(1)) == _check_digit(F.substring(d, F.lit(1), F.length(d) - 1)))
+
+
+def cards(run: Column) -> Column:
+    """(start, size) in characters of the cards in a run of numbers that single blanks or hyphens part."""
+    def searched(number):
+        def longest(_, i):
+            ends = F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(number) - i)), lambda n: F.struct(
+                n.alias("n"), F.array_join(F.slice(number, i + 1, n), "").alias("d")))
+            good = F.filter(ends, lambda x: _is_card(x["d"]))
+            return F.coalesce(F.try_element_at(good, F.lit(-1)), F.struct(F.lit(0).alias("n"), F.lit("").alias("d")))
+
+        def pick(best):
+            def step(acc, number_at):
+                i = acc["i"]
+                own = F.get(best, i)
+                width = F.length(number_at)
+                # A longer part that begins inside this one is the card.
+                more = F.exists(F.slice(best, i + 2, F.greatest(own["n"] - 1, F.lit(0))), lambda x: F.length(x["d"]) > F.length(own["d"]))
+                takes = (i >= acc["next"]) & (own["n"] > 0) & ~more
+                one = F.array(F.struct(acc["at"].alias("start"), (F.length(own["d"]) + own["n"] - 1).alias("size")))
+                return F.struct((i + 1).alias("i"), (acc["at"] + width + 1).alias("at"), F.when(takes, i + own["n"]).otherwise(acc["next"]).alias("next"),
+                                F.when(takes, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+            none = F.array().cast("array<struct<start:int,size:int>>")
+            return F.aggregate(number, F.struct(F.lit(0).alias("i"), F.lit(0).alias("at"), F.lit(0).alias("next"), none.alias("out")), step, lambda acc: acc["out"])
+
+        return _bind(F.transform(number, longest), pick)
+
+    return _bind(F.split(run, "[ -]"), searched)
+
+
+def _inside(before: Column, run: Column) -> Column:
+    """The run as (gap, hit) parts: its cards, and dates, ssn and phones beside them; ``before`` is the character ahead."""
+    def masked(found):
+        mask = F.aggregate(found, F.struct(F.lit(0).alias("at"), F.lit("").alias("o")), lambda acc, c: F.struct(
+            (c["start"] + c["size"]).alias("at"),
+            F.concat(acc["o"], F.substring(run, acc["at"] + 1, c["start"] - acc["at"]), F.repeat(F.lit("#"), c["size"])).alias("o")),
+            lambda acc: F.concat(before, acc["o"], F.substring(run, acc["at"] + 1, F.length(run))))
+        return _bind(mask, cut)
+
+    def cut(mask):
+        parts = F.arrays_zip(F.split(mask, BESIDE, -1).alias("gap"), F.regexp_extract_all(mask, F.lit(BESIDE), F.lit(0)).alias("hit"))
+        none = F.array().cast("array<struct<gap:string,hit:string>>")
+
+        def step(acc, p):
+            start = acc["at"] + F.length(p["gap"])
+            size = F.coalesce(F.length(p["hit"]), F.lit(0))
+            shown = lambda at, n: F.substring(run, at - F.length(before) + 1, n)
+            first = F.greatest(acc["at"], F.length(before))
+            one = F.array(F.struct(shown(first, start - first).alias("gap"), F.when(p["hit"].isNotNull(), shown(start, size)).alias("hit")))
+            return F.struct((start + size).alias("at"), F.concat(acc["out"], one).alias("out"))
+        return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+    return _bind(cards(run), masked)
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """(doc_id, text, found): the text with pseudonyms; found has (kind, start, stop) in code points of the old text."""
     parts = F.arrays_zip(F.split("text", PATTERN, -1).alias("gap"), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("hit"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", whole_text().rlike(PATTERN).alias("any"))
-    rows = rows.withColumn("parts", F.when(F.col("any"), F.transform(parts, lambda p: F.struct(
+    def opened(p):
+        before = F.when(F.length(p["gap"]) > 0, F.substring(p["gap"], -1, 1)).otherwise("")
+        ahead = F.array(F.struct(p["gap"].alias("gap"), F.lit(None).cast("string").alias("hit")))
+        return F.when(p["hit"].rlike(f"^(?:{NUMBERS})$"), F.concat(ahead, _inside(before, p["hit"]))).otherwise(F.array(F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"))))
+    rows = rows.withColumn("parts", F.when(F.col("any"), F.transform(F.flatten(F.transform(parts, opened)), lambda p: F.struct(
         p["gap"].alias("gap"), p["hit"].alias("hit"), F.when(p["hit"].isNotNull(), kind_of(p["hit"])).alias("kind")))))
     made = F.transform("parts", lambda p: F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"), p["kind"].alias("kind"),
                                                    F.when(p["kind"].isNotNull(), pseudonym(p["hit"], p["kind"], key)).otherwise(p["hit"]).alias("new")))
