@@ -9,7 +9,8 @@ partial scores of one query, one block of rows and one segment are a list.
 2. The cutoffs go to all blocks.  A score of t or more needs a partial score of
    t / SEGMENTS or more in some list, so each list hands in the entries from
    that uniform threshold on.
-3. Only these are scored exactly; those that reach t are ranked.
+3. Of these, those whose exact score reaches t are ranked.  Totals are computed
+   for all pairs of a block, here and in step 1.
 
 Queries and rows are hashed to blocks of bounded size and every query block
 meets every row block once, so no task and no broadcast grows with the data.
