@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage: op1 to op10 over their whole tables."""
+"""The registered queries of this subpackage: op1 to op13 over their whole tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.llm import byte_bpe, decontaminate, exact_topk, license_scan, line_dedup, ngram_join, oracle, pii, quality, secret_scan, toxicity
+from tremorlake.llm import (byte_bpe, decontaminate, exact_topk, language_id, license_scan, line_dedup, merkle, ngram_join, oracle, pii, quality,
+                            secret_scan, toxicity, vector_codes)
 from tremorlake.llm.common import table
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -56,13 +57,27 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.classify(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_byte_bpe, op3_ngram_jaccard_join, op4_pii, op5_secret_scan, op6_decontaminate, op7_quality,
-    op8_exact_topk, op9_toxicity, op10_license_scan)}
+    op8_exact_topk, op9_toxicity, op10_license_scan, op11_language_id, op12_merkle_manifest, op13_vector_codes)}
 
 ORACLE: dict[str, str] = {
     "op1_line_dedup": oracle.LINE_DEDUP,
     "op5_secret_scan": oracle.SECRET_SCAN,
     "op8_exact_topk": oracle.EXACT_TOPK,
     "op10_license_scan": oracle.LICENSE_SCAN,
+    "op12_merkle_manifest": oracle.MERKLE_MANIFEST,
+    "op13_vector_codes": oracle.VECTOR_CODES,
 }
