@@ -75,28 +75,34 @@ def _revised(raw: DataFrame, n: int) -> DataFrame:
         "updated", F.col("time") + F.make_dt_interval(hours=F.lit(3 + 2 * n)))
 
 
-@register("stream_intake_revisions", _revision_sql())
-def q_stream_intake_revisions(spark, sf_dir):
-    """One micro-batch reads an older small file and a newer large one with
-    revisions of its events; a second run, after a stop, reads later revisions."""
+def revised_feeds(spark, sf_dir, in_place: bool = False) -> str:
+    """The folder of the tables after two runs: one micro-batch reads an older
+    small landing and a newer large one with revisions of its events; a second
+    run, after a stop, reads later revisions."""
     from ..streaming.intake import stream_feed
 
     src, root = scratch_path(spark, "landed"), scratch_path(spark, "tables")
     raw = T.derived_raw(spark, sf_dir, T.AS_OF)
 
-    def land(rows: DataFrame, name: str) -> None:
-        SINK.feed_documents(rows).coalesce(1).select("value").write.mode("append").text(src)
+    def land(rows: DataFrame) -> None:
+        SINK.feed_documents(rows).select("value").write.mode("append").text(src)
         time.sleep(1.1)  # file times of one second apart, as feeds that are landed one after another have
 
     def run() -> None:
-        stream_feed(spark, src, root, multi_line=False, stamp=T.AS_OF).awaitTermination()
+        stream_feed(spark, src, root, multi_line=False, stamp=T.AS_OF, in_place=in_place).awaitTermination()
 
     third = F.col("seq") % 3 == 0
-    land(raw.filter(third), "first")
-    land(raw.filter(~third).unionByName(_revised(raw.filter(third), 1)), "second")
+    land(raw.filter(third))
+    land(raw.filter(~third).unionByName(_revised(raw.filter(third), 1)))
     run()
-    land(_revised(raw.filter(F.col("seq") % 5 == 0), 2), "third")
+    land(_revised(raw.filter(F.col("seq") % 5 == 0), 2))
     run()
+    return root
+
+
+@register("stream_intake_revisions", _revision_sql())
+def q_stream_intake_revisions(spark, sf_dir):
+    root = revised_feeds(spark, sf_dir)
     return _doubles(SINK.read_latest(spark, f"{root}/final").select("usgs_id", *O.FINAL_DATA))
 
 

@@ -8,7 +8,9 @@ path and their place in it, whatever order tasks read them in.
 Every micro-batch writes the next table version after the newest complete one
 and marks it with the stream's name and the epoch.  A replayed epoch finds its
 own version by the mark and writes that one again; a new stream on an old table
-goes on after its newest version.  The stream's checkpoint lies beside the tables
+goes on after its newest version.  With ``in_place`` the tables are kept by date
+instead and a micro-batch writes only its own dates (``jobs.ingest_in_place``,
+``jobs.curate_pending``); a replayed epoch finds its rows unchanged.  The stream's checkpoint lies beside the tables
 unless another place is given, so a restart goes on where the last run ended.
 """
 
@@ -35,7 +37,7 @@ def feed_stream(spark: SparkSession, source_dir: str, multi_line: bool = True,
 
 def stream_feed(spark: SparkSession, source_dir: str, table_root: str, checkpoint: str | None = None,
                 multi_line: bool = True, available_now: bool = True, max_files_per_trigger: int | None = None,
-                stamp=None) -> StreamingQuery:
+                stamp=None, in_place: bool = False) -> StreamingQuery:
     """Start the intake stream; tables live under ``table_root``/{raw,final,tsunami}."""
     raw_dir, final_dir, tsu_dir = (f"{table_root.rstrip('/')}/{t}" for t in ("raw", "final", "tsunami"))
     checkpoint = checkpoint or f"{table_root.rstrip('/')}/_stream"
@@ -50,7 +52,11 @@ def stream_feed(spark: SparkSession, source_dir: str, table_root: str, checkpoin
         SINK.mark_version(spark, raw_dir, version, mark)
         jobs.curate(spark, raw_dir, final_dir, tsu_dir, version, stamp=stamp)
 
-    writer = feed_stream(spark, source_dir, multi_line, max_files_per_trigger).writeStream.foreachBatch(process)
+    def process_in_place(batch: DataFrame, epoch_id: int) -> None:
+        jobs.ingest_in_place(spark, batch, raw_dir, stamp=stamp)
+        jobs.curate_pending(spark, raw_dir, final_dir, tsu_dir, stamp=stamp)
+
+    writer = feed_stream(spark, source_dir, multi_line, max_files_per_trigger).writeStream.foreachBatch(process_in_place if in_place else process)
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="12 hours")
     return writer.start()
