@@ -164,3 +164,17 @@ def test_zone_join_of_mixed_radius_stays_small_and_runs_the_distance_once(spark)
 
 def test_as_of_is_fixed():
     assert T.AS_OF == dt.datetime(2024, 1, 31)
+
+
+def test_zone_join_scans_events_once_for_all_classes(spark):
+    root = tempfile.mkdtemp(prefix="zones-")
+    spark.range(500).select(F.concat(F.lit("e"), "id").alias("usgs_id"), F.lit(1).cast("decimal(6,2)").alias("mag"),
+                            (F.col("id") * 37 % 360 - 180).cast("decimal(10,6)").alias("longitude"),
+                            (F.col("id") * 17 % 180 - 90).cast("decimal(10,6)").alias("latitude")).write.parquet(f"{root}/events")
+    events = spark.read.parquet(f"{root}/events")
+    zones = spark.createDataFrame([(f"z{r}", 10.0, 20.0, float(r)) for r in (0, 1, 30, 700, 5000, 20000, 40000)] + [("none", 1.0, 1.0, None)],
+                                  "name string, lat double, lon double, radius_km double")
+    pairs = near_zones(events, zones)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    got = {r["zone"]: r["count"] for r in pairs.groupBy("zone").count().collect()}
+    assert got["z40000"] == 500 and got["z20000"] > got["z5000"] > got["z700"] > 0 and "none" not in got

@@ -100,6 +100,20 @@ def test_analysis_bundle_and_grouping_sets_agree(spark):
     assert parts["dominant"].first().dominant_category in {"Micro", "Leve", "Fuerte", "Severo"}
 
 
+def test_rollups_of_the_cube_equal_those_of_the_events(spark):
+    df = quakes(spark).withColumn("depth", F.when(F.col("id") % 7 != 3, F.col("depth")))
+    f = A.analysis_filter(df, all_time=True)
+    parts = A.analysis(df, all_time=True)
+    for name, made in {"summary": A.summary, "category_counts": A.category_counts, "top_regions": A.top_regions, "depth_groups": A.depth_groups,
+                       "daily_counts": A.daily_counts, "monthly_counts": A.monthly_counts, "yearly_counts": A.yearly_counts}.items():
+        want = made(f)
+        assert parts[name].schema == want.schema and parts[name].collect() == want.collect(), name
+        assert "FileScan" not in parts[name]._jdf.queryExecution().executedPlan().toString()
+    nothing = A.analysis(df.limit(0), all_time=True)
+    assert nothing["summary"].collect() == A.summary(f.limit(0)).collect() and nothing["top_regions"].count() == 0
+    assert {r.events for r in nothing["category_counts"].collect()} == {0} and nothing["strongest_events"].count() == 0
+
+
 def test_average_depth_and_picks(spark):
     df = quakes(spark, 40)
     avg = A.average_depth(df).first()[0]

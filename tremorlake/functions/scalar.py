@@ -187,6 +187,13 @@ def avg_rounded(c: Column | str, in_scale: int = 2, out_scale: int = 2) -> Colum
     return r.cast("double") / F.lit(float(10 ** out_scale))
 
 
+def avg_of_sums(total: Column | str, many: Column | str, in_scale: int = 2, out_scale: int = 2) -> Column:
+    """Aggregate: ``avg_rounded`` over rows that hold sums (decimal(_, in_scale)) and counts of groups; equally exact."""
+    units = (F.sum(_c(total)) * F.lit(10 ** in_scale)).cast("decimal(38,0)")
+    r = round_half_away(units, F.coalesce(F.sum(_c(many)), F.lit(0)), 10 ** (in_scale - out_scale))
+    return r.cast("double") / F.lit(float(10 ** out_scale))
+
+
 def round_float(c: Column | str, scale: int = 2) -> Column:
     """Float rounding as a data-frame library does it: scale, round half to
     even on the binary value, unscale (used for display tables)."""

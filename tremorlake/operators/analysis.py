@@ -3,15 +3,18 @@
 Every aggregate is a native hash aggregate (partial per task, final after the
 shuffle), so one hot region or day costs no more than a cold one.  Averages
 are exact (integer units, half-away-from-zero), independent of partitioning.
+
+The roll-ups take events or a ``cube`` of them, one row per class, region, depth
+class and day with exact counts and sums; both give the same numbers.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..session import ensure_checkpoint_dir
 from . import query as Q
 
 LABEL_RANK = {label: i for i, label in enumerate(S.MAG_CLASSES)}
@@ -34,16 +37,43 @@ def analysis_filter(df: DataFrame, min_mag=-2.0, max_mag=10.0, days_back=30, all
     return with_classes(f)
 
 
+# --- Cube of A10 --------------------------------------------------------------------
+
+CUBE_KEYS = ["category", "region", "depth_group", "day"]
+
+
+def cube(f: DataFrame) -> DataFrame:
+    """One row per class, region, depth class and day that occur: counts, sums, extremes, newest time."""
+    keyed = f.select("category", "region", S.depth_class("depth").alias("depth_group"), S.period_start("time", "day").alias("day"), "mag", "depth", "time")
+    return keyed.groupBy(*CUBE_KEYS).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("mag").alias("_sum_mag"), F.count("mag").alias("_n_mag"),
+        F.sum("depth").alias("_sum_depth"), F.count("depth").alias("_n_depth"),
+        F.max("mag").alias("_max_mag"), F.min("mag").alias("_min_mag"), F.max("time").alias("_last"))
+
+
+def _is_cube(f: DataFrame) -> bool:
+    return "_n" in f.columns
+
+
+def _events(f: DataFrame) -> Column:
+    return (F.coalesce(F.sum("_n"), F.lit(0)) if _is_cube(f) else F.count(F.lit(1))).cast("int")
+
+
+def _avg(f: DataFrame, c: str) -> Column:
+    return S.avg_of_sums(f"_sum_{c}", f"_n_{c}") if _is_cube(f) else S.avg_rounded(c)
+
+
 # --- A1 ---------------------------------------------------------------------------
 
 def summary(f: DataFrame) -> DataFrame:
+    high, low, last = ("_max_mag", "_min_mag", "_last") if _is_cube(f) else ("mag", "mag", "time")
     return f.agg(
-        F.count(F.lit(1)).cast("int").alias("total_events"),
-        S.avg_rounded("mag").alias("avg_magnitude"),
-        S.avg_rounded("depth").alias("avg_depth"),
-        F.max("mag").cast("double").alias("max_magnitude"),
-        F.min("mag").cast("double").alias("min_magnitude"),
-        F.max("time").alias("last_update"),
+        _events(f).alias("total_events"),
+        _avg(f, "mag").alias("avg_magnitude"),
+        _avg(f, "depth").alias("avg_depth"),
+        F.max(high).cast("double").alias("max_magnitude"),
+        F.min(low).cast("double").alias("min_magnitude"),
+        F.max(last).alias("last_update"),
     )
 
 
@@ -70,7 +100,8 @@ def table_summary(q: DataFrame) -> DataFrame:
 
 def category_counts(f: DataFrame) -> DataFrame:
     """All four classes, zero when absent: one global aggregate, unpivoted."""
-    counts = f.agg(*[F.count_if(F.col("category") == lab).cast("int").alias(lab) for lab in S.MAG_CLASSES])
+    many = F.col("_n") if _is_cube(f) else F.lit(1)
+    counts = f.agg(*[F.coalesce(F.sum(F.when(F.col("category") == lab, many)), F.lit(0)).cast("int").alias(lab) for lab in S.MAG_CLASSES])
     pairs = ", ".join(f"'{lab}', `{lab}`" for lab in S.MAG_CLASSES)
     return counts.select(F.expr(f"stack({len(S.MAG_CLASSES)}, {pairs}) AS (category, events)"))
 
@@ -103,13 +134,13 @@ def insight_text():
 # --- A4, A5 ---------------------------------------------------------------------------
 
 def top_regions(f: DataFrame, n: int = 8) -> DataFrame:
-    g = f.groupBy("region").agg(F.count(F.lit(1)).cast("int").alias("events"), S.avg_rounded("mag").alias("avg_magnitude"))
+    g = f.groupBy("region").agg(_events(f).alias("events"), _avg(f, "mag").alias("avg_magnitude"))
     return g.orderBy(F.col("events").desc(), F.col("avg_magnitude").desc_nulls_first(), F.col("region")).limit(n)
 
 
 def depth_groups(f: DataFrame) -> DataFrame:
-    g = f.groupBy(S.depth_class("depth").alias("depth_group")).agg(
-        F.count(F.lit(1)).cast("int").alias("events"), S.avg_rounded("mag").alias("avg_magnitude"))
+    group = F.col("depth_group") if _is_cube(f) else S.depth_class("depth").alias("depth_group")
+    g = f.groupBy(group).agg(_events(f).alias("events"), _avg(f, "mag").alias("avg_magnitude"))
     return g.orderBy(F.col("events").desc(), F.col("depth_group"))
 
 
@@ -117,8 +148,8 @@ def depth_groups(f: DataFrame) -> DataFrame:
 
 def period_counts(f: DataFrame, unit: str) -> DataFrame:
     """Per UTC day / month / year: count and average magnitude, by period."""
-    g = f.groupBy(S.period_start("time", unit).alias("_start")).agg(
-        F.count(F.lit(1)).cast("int").alias("events"), S.avg_rounded("mag").alias("avg_magnitude"))
+    at = "day" if _is_cube(f) else "time"
+    g = f.groupBy(S.period_start(at, unit).alias("_start")).agg(_events(f).alias("events"), _avg(f, "mag").alias("avg_magnitude"))
     return g.orderBy(F.col("_start").asc_nulls_last()).select(
         S.period_label("_start", unit).alias("period"), "events", "avg_magnitude")
 
@@ -137,22 +168,27 @@ def yearly_counts(f: DataFrame) -> DataFrame:
 
 # --- A10 ------------------------------------------------------------------------------
 
-def analysis(df: DataFrame, persist: bool = True, **filters) -> dict[str, DataFrame]:
-    """Every part of the analysis over one filtered frame.  The frame is
-    persisted (memory and disk) because eight outputs read it."""
+def analysis(df: DataFrame, **filters) -> dict[str, DataFrame]:
+    """Every part of the analysis under one filter.
+
+    One scan makes the cube, which is checkpointed (files that go with the
+    frame; nothing stays in memory) and is all that the roll-ups read.  Only the
+    strongest events read the filtered events themselves, when they are asked for.
+    """
     f = analysis_filter(df, **filters)
-    if persist:
-        f = f.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = category_counts(f)
+    ensure_checkpoint_dir(df.sparkSession)
+    small = cube(f).checkpoint()
+    counts = category_counts(small)
     return {
-        "summary": summary(f),
+        "cube": small,
+        "summary": summary(small),
         "category_counts": counts,
-        "top_regions": top_regions(f),
-        "depth_groups": depth_groups(f),
+        "top_regions": top_regions(small),
+        "depth_groups": depth_groups(small),
         "strongest_events": Q.strongest(f),
-        "daily_counts": daily_counts(f),
-        "monthly_counts": monthly_counts(f),
-        "yearly_counts": yearly_counts(f),
+        "daily_counts": daily_counts(small),
+        "monthly_counts": monthly_counts(small),
+        "yearly_counts": yearly_counts(small),
         "dominant": dominant_category(counts),
     }
 

@@ -16,11 +16,24 @@ NUMERIC_TYPES = {"mag": "decimal(6,2)", "depth": "decimal(10,2)",
 LON_RANGE, LAT_RANGE = (-180, 180), (-90, 90)
 
 
-def _numeric(dtype: T.DataType, name: str, target: str):
+COORDINATES = ("longitude", "latitude")
+
+
+def _number(dtype: T.DataType, name: str):
     c = F.col(name)
-    if isinstance(dtype, (T.StringType, T.DoubleType, T.FloatType)):
-        return S.to_number(c).try_cast(target)
-    return c.cast(target)
+    return S.to_number(c) if isinstance(dtype, (T.StringType, T.DoubleType, T.FloatType)) else c
+
+
+def _fitting(value, name: str, target: str, kept):
+    """A number in its column's type.  What is no number is null already; a number
+    that does not fit stops the load, unless its row is dropped anyway."""
+    made = value.try_cast(target)
+    what = F.concat(F.lit(f"{name} does not fit {target}: "), value.cast("string"))
+    return F.when(kept & value.isNotNull() & made.isNull(), F.raise_error(what)).otherwise(made)
+
+
+def _within(c, bounds):
+    return F.coalesce(c.between(*bounds), F.lit(False))
 
 
 def _time(dtype: T.DataType, name: str):
@@ -39,18 +52,25 @@ def valid_coords(df: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Curate raw rows: numbers coerced (bad -> null, never 0), text defaults,
-    int defaults, timestamps coerced, invalid coordinates dropped.  Extra
-    columns pass through untouched."""
+    """Curate raw rows: numbers coerced (no number -> null, never 0; a number
+    that does not fit its column is an error), text defaults, int defaults,
+    timestamps coerced, invalid coordinates dropped.  Extra columns pass through
+    untouched."""
     out = []
     types = {f.name: f.dataType for f in df.schema.fields}
+    at = {c: _number(types[c], c).try_cast(NUMERIC_TYPES[c]) for c in COORDINATES}
+    kept = _within(at["longitude"], LON_RANGE) & _within(at["latitude"], LAT_RANGE)
     for name in df.columns:
-        if name in NUMERIC_TYPES:
-            out.append(_numeric(types[name], name, NUMERIC_TYPES[name]).alias(name))
+        if name in COORDINATES:
+            out.append(at[name].alias(name))
+        elif name in NUMERIC_TYPES:
+            value = _number(types[name], name)
+            same = types[name].simpleString() == NUMERIC_TYPES[name]
+            out.append((value if same else _fitting(value, name, NUMERIC_TYPES[name], kept)).alias(name))
         elif name in DEFAULTS:
             out.append(F.coalesce(F.col(name).cast("string"), F.lit(DEFAULTS[name])).alias(name))
         elif name in INT_DEFAULTS:
-            v = F.col(name) if isinstance(types[name], T.IntegerType) else S.to_number(F.col(name)).try_cast("int")
+            v = F.col(name) if isinstance(types[name], T.IntegerType) else _fitting(S.to_number(F.col(name)), name, "int", kept)
             out.append(F.coalesce(v, F.lit(INT_DEFAULTS[name])).alias(name))
         elif name in ("time", "updated"):
             out.append(_time(types[name], name).alias(name))

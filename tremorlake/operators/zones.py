@@ -59,8 +59,29 @@ def _grid_cells(max_span_deg: float) -> tuple[float, int]:
     return 360.0 / n, n
 
 
-def zone_cells(zones: DataFrame, cell: float, n_lon: int) -> DataFrame:
-    """Each zone exploded to the grid cells (ilat, ilon) its bounding box covers."""
+#: Classes of zones by radius: class c holds radii up to 2 ** c km; the last one all that are wider.
+CLASSES = 15
+
+
+def zone_class(radius_km: Column) -> Column:
+    return F.least(F.ceil(F.log2(F.greatest(radius_km, F.lit(1.0)))).cast("int"), F.lit(CLASSES))
+
+
+def _grids() -> list[tuple[float, int]]:
+    """(cell, number of cells around the globe) for each class: cells as wide as its zones."""
+    return [_grid_cells(2 * (2.0 ** c * 1000.0 / G.MIN_DEGREE_M * 1.0001) + 1e-6) for c in range(CLASSES + 1)]
+
+
+def _of_class(c: Column) -> tuple[Column, Column]:
+    grids = _grids()
+    return (F.element_at(F.array(*[F.lit(cell) for cell, _ in grids]), c + 1),
+            F.element_at(F.array(*[F.lit(n) for _, n in grids]), c + 1))
+
+
+def zone_cells(zones: DataFrame) -> DataFrame:
+    """Each zone exploded to the cells (class, ilat, ilon) of its class's grid that its bounding box covers."""
+    zones = zones.withColumn("class", zone_class(F.col("radius_km")))
+    cell, n_lon = _of_class(F.col("class"))
     r = F.col("radius_km").cast("double") * F.lit(1000.0)
     dlat = r / F.lit(G.MIN_DEGREE_M) * F.lit(1.0001) + F.lit(1e-9)
     lat_lo, lat_hi = F.col("lat") - dlat, F.col("lat") + dlat
@@ -72,19 +93,12 @@ def zone_cells(zones: DataFrame, cell: float, n_lon: int) -> DataFrame:
     dlon = F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) * F.lit(1.0001) + F.lit(1e-9)
     lon_lo = F.when(full, F.lit(-180.0)).otherwise(F.col("lon") - dlon)
     lon_hi = F.when(full, F.lit(180.0 - 1e-9)).otherwise(F.col("lon") + dlon)
-    lat_cells = F.sequence(F.floor(F.greatest(lat_lo, F.lit(-90.0)) / F.lit(cell)).cast("int"),
-                           F.floor(F.least(lat_hi, F.lit(90.0)) / F.lit(cell)).cast("int"))
-    lon_cells = F.sequence(F.floor((lon_lo + F.lit(180.0)) / F.lit(cell)).cast("int"),
-                           F.floor((lon_hi + F.lit(180.0)) / F.lit(cell)).cast("int"))
-    z = zones.select("*", F.explode(lat_cells).alias("ilat"), F.explode(F.array_distinct(
-        F.transform(lon_cells, lambda k: F.pmod(k, F.lit(n_lon))))).alias("ilon"))
-    return z
-
-
-def event_cell(lat: Column, lon: Column, cell: float, n_lon: int) -> tuple[Column, Column]:
-    la, lo = lat.cast("double"), lon.cast("double")
-    return (F.floor(la / F.lit(cell)).cast("int"),
-            F.pmod(F.floor((lo + F.lit(180.0)) / F.lit(cell)).cast("int"), F.lit(n_lon)))
+    lat_cells = F.sequence(F.floor(F.greatest(lat_lo, F.lit(-90.0)) / cell).cast("int"),
+                           F.floor(F.least(lat_hi, F.lit(90.0)) / cell).cast("int"))
+    lon_cells = F.sequence(F.floor((lon_lo + F.lit(180.0)) / cell).cast("int"),
+                           F.floor((lon_hi + F.lit(180.0)) / cell).cast("int"))
+    return zones.select("*", F.explode(lat_cells).alias("ilat"), F.explode(F.array_distinct(
+        F.transform(lon_cells, lambda k: F.pmod(k, n_lon)))).alias("ilon"))
 
 
 def near_zones(events: DataFrame, zones: DataFrame) -> DataFrame:
@@ -92,29 +106,25 @@ def near_zones(events: DataFrame, zones: DataFrame) -> DataFrame:
     (spheroid), with ``distance_km`` rounded to 2 places.
 
     Zones of similar radius (a factor of two) share a grid whose cells are as wide
-    as they are, so one wide zone does not coarsen the cells of small ones.  The
-    classes that occur are at most a few dozen; each joins on its own cells.
+    as they are, so one wide zone does not coarsen the cells of small ones.  An
+    event takes one cell key, class and cell, for each class that occurs (at most
+    CLASSES + 1); all keys meet all zones in one join, so events are scanned once.
     """
     zones = zones.select("name", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"),
                          F.col("radius_km").cast("double").alias("radius_km")).filter("radius_km is not null")
-    located = events.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    octave = F.ceil(F.log2(F.greatest(F.col("radius_km"), F.lit(1.0)))).cast("int")
-    classes = [r[0] for r in zones.select(octave.alias("c")).distinct().collect()]
+    cells = broadcast_checked(zone_cells(zones).select(
+        F.col("name").alias("zone"), F.col("lat").alias("zlat"), F.col("lon").alias("zlon"), F.col("radius_km").alias("zr"),
+        F.col("class").alias("_class"), F.col("ilat").alias("_ilat"), F.col("ilon").alias("_ilon")))
+    occurring = zones.agg(F.collect_set(zone_class(F.col("radius_km")))).scalar()
     plat, plon = F.col("latitude").cast("double"), F.col("longitude").cast("double")
     rm = F.col("zr") * F.lit(1000.0)
-    near = None
-    for c in sorted(classes):
-        cell, n_lon = _grid_cells(2 * (2.0 ** c * 1000.0 / G.MIN_DEGREE_M * 1.0001) + 1e-6)
-        zc = broadcast_checked(zone_cells(zones.filter(octave == c), cell, n_lon).select(
-            F.col("name").alias("zone"), F.col("lat").alias("zlat"), F.col("lon").alias("zlon"),
-            F.col("radius_km").alias("zr"), F.col("ilat").alias("_zlat"), F.col("ilon").alias("_zlon")))
-        ilat, ilon = event_cell(F.col("latitude"), F.col("longitude"), cell, n_lon)
-        cand = located.join(zc, (ilat == F.col("_zlat")) & (ilon == F.col("_zlon"))).drop("_zlat", "_zlon")
-        cand = cand.filter(G.haversine_m(plon, plat, F.col("zlon"), F.col("zlat")) <= rm * F.lit(1 + G.SPHERE_MARGIN))
-        near = cand if near is None else near.unionByName(cand)
-    if near is None:
-        return events.limit(0).select(F.lit(None).cast("string").alias("zone"), *events.columns,
-                                      F.lit(None).cast("double").alias("distance_km"))
+    located = events.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    keyed = located.select("*", F.explode(occurring).alias("_class"))
+    cell, n_lon = _of_class(F.col("_class"))
+    keyed = keyed.select("*", F.floor(plat / cell).cast("int").alias("_ilat"),
+                         F.pmod(F.floor((plon + F.lit(180.0)) / cell).cast("int"), n_lon).alias("_ilon"))
+    near = keyed.join(cells, ["_class", "_ilat", "_ilon"]).drop("_class", "_ilat", "_ilon")
+    near = near.filter(G.haversine_m(plon, plat, F.col("zlon"), F.col("zlat")) <= rm * F.lit(1 + G.SPHERE_MARGIN))
     with_d = near.withColumn("_d", G.geodesic_m(plon, plat, F.col("zlon"), F.col("zlat"))).filter(F.col("_d") <= rm)
     return with_d.select("zone", *events.columns,
                          F.round((F.col("_d") / F.lit(1000.0)).cast("decimal(38,10)"), 2).cast("double").alias("distance_km"))

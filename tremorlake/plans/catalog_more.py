@@ -139,8 +139,7 @@ def _broken_sql() -> str:
     return O.with_ctes("d AS (SELECT * FROM ev WHERE depth IS NOT NULL)", "u AS (SELECT * FROM d UNION ALL SELECT * FROM d WHERE seq % 31 = 0)") + "\nUNION ALL ".join(parts)
 
 
-@register("constraint_report_broken", _broken_sql())
-def q_constraint_report_broken(spark, sf_dir):
+def _broken_feed(spark, sf_dir) -> str:
     raw = T.derived_raw(spark, sf_dir, T.AS_OF)
     raw = raw.unionByName(raw.filter("seq % 31 = 0"))
     for c, (hit, value) in _BROKEN.items():
@@ -148,10 +147,37 @@ def q_constraint_report_broken(spark, sf_dir):
         raw = raw.withColumn(c, F.expr(f"CASE WHEN {hit} THEN CAST({value} AS {wide}) ELSE CAST({c} AS {wide}) END"))
     path = scratch_path(spark, "broken")
     SINK.write_feed_documents(SINK.feed_documents(raw), path)
-    read = FEED.read_feed(spark, path, strict=True, multi_line=False, tracked=True)
+    return path
+
+
+@register("constraint_report_broken", _broken_sql())
+def q_constraint_report_broken(spark, sf_dir):
+    read = FEED.read_feed(spark, _broken_feed(spark, sf_dir), strict=True, multi_line=False, tracked=True)
     return check_schema(read, "usgs_id", RAW_TEXT_LIMITS, _BROKEN_TYPES)
 
 
+# --- A load that reports what it could not take (S1) ------------------------------------------------
+
+_REASONS = {"mag": "does not fit decimal(6,2)", "gap": "does not fit decimal(8,2)", "nst": "does not fit int",
+            "code": f"longer than {RAW_TEXT_LIMITS['code']}", "alert": f"longer than {RAW_TEXT_LIMITS['alert']}"}
+
+
+def _rejects_sql() -> str:
+    missing = "depth IS NULL"
+    hits = [("coordinates", "missing", missing), *[(c, _REASONS[c], _BROKEN[c][0]) for c in _BROKEN]]
+    parts = [f"SELECT '{reason}' AS reason, '{c}' AS column_name, CAST(count(*) AS BIGINT) AS events FROM u WHERE {hit}" for c, reason, hit in hits]
+    none = " AND ".join(f"NOT ({hit})" for _, _, hit in hits)
+    parts.append(f"SELECT 'loaded', NULL, CAST(count(*) AS BIGINT) FROM u WHERE {none}")
+    return O.with_ctes("u AS (SELECT * FROM ev UNION ALL SELECT * FROM ev WHERE seq % 31 = 0)") + "\nUNION ALL ".join(parts)
+
+
+@register("feed_rejects", _rejects_sql())
+def q_feed_rejects(spark, sf_dir):
+    loaded, rejected = FEED.split(FEED.screen_feed(spark, _broken_feed(spark, sf_dir), multi_line=False))
+    taken = loaded.agg(F.count(F.lit(1)).alias("events")).select(F.lit("loaded").alias("reason"), F.lit(None).cast("string").alias("column_name"), "events")
+    return rejected.groupBy("reason", "column_name").agg(F.count(F.lit(1)).alias("events")).unionByName(taken)
+
+
 # --- The analysis bundle (A10), with and without a radius ---------------------------------------
 
 
@@ -171,7 +197,7 @@ UNION ALL {part("year", "strftime(time, '%Y')")}"""
 
 
 def _bundle(df: DataFrame, **filters) -> DataFrame:
-    parts = A.analysis(df, persist=False, **filters)
+    parts = A.analysis(df, **filters)
     nothing = F.lit(None).cast("string")
     def long(frame, part, key, avg="avg_magnitude", events="events"):
         return frame.select(F.lit(part).alias("part"), key.alias("key"), F.col(events).cast("int").alias("events"),
