@@ -68,3 +68,39 @@ def test_dense_sets_use_refinement(spark, monkeypatch):
     xs = np.concatenate([rng.normal(0, 0.2, 200), rng.uniform(-2, 2, 80), [1.0] * 30])
     ys = np.concatenate([rng.normal(0, 0.2, 200), rng.uniform(-2, 2, 80), [1.0] * 30])
     check(spark, xs, ys, 0.05)
+
+
+def brute_core(xs, ys, eps, k):
+    """DBSCAN by its definition: (cluster of each point, or None)."""
+    near = [np.nonzero((xs[i] - xs) ** 2 + (ys[i] - ys) ** 2 <= eps * eps)[0] for i in range(len(xs))]
+    core = [i for i in range(len(xs)) if len(near[i]) >= k]
+    label = {i: i for i in core}
+    changed = True
+    while changed:
+        changed = False
+        for i in core:
+            low = min(label[int(j)] for j in near[i] if int(j) in label)
+            if low < label[i]:
+                label[i], changed = low, True
+    return [label.get(i, min((label[int(j)] for j in near[i] if int(j) in label), default=None)) for i in range(len(xs))]
+
+
+@pytest.mark.parametrize("seed,k,eps", [(0, 4, 0.25), (1, 3, 0.15), (2, 9, 0.4)])
+def test_core_border_and_noise_against_brute_force(spark, seed, k, eps):
+    rng = np.random.default_rng(seed)
+    xs = np.round(np.concatenate([rng.uniform(-4, 4, 220), rng.normal(2, 0.07, 60), [1.5] * 12, [3.0, 3.0 + eps, 3.0 + 2 * eps]]), 6)
+    ys = np.round(np.concatenate([rng.uniform(-4, 4, 220), rng.normal(-1, 0.07, 60), [1.5] * 12, [9.0] * 3]), 6)
+    df = frame(spark, xs, ys).unionByName(spark.createDataFrame([(900, None, Decimal("1"))], "id long, longitude decimal(10,6), latitude decimal(10,6)"))
+    out = CL.cluster_dbscan(df, eps, min_points=k)
+    assert out.columns == ["id", "longitude", "latitude", "cluster_id"]
+    got = {r.id: r.cluster_id for r in out.collect()}
+    want = brute_core(xs, ys, eps, k)
+    assert got == {i + 1: None if w is None else w + 1 for i, w in enumerate(want)} | {900: None}
+    assert None in want and len(set(want)) > 2 and any(w is not None and (np.hypot(xs - xs[i], ys - ys[i]) <= eps).sum() < k for i, w in enumerate(want))
+
+
+def test_no_core_points_and_no_points(spark):
+    assert {r.cluster_id for r in CL.cluster_dbscan(frame(spark, [0.0, 5.0], [0.0, 0.0]), 0.1, min_points=2).collect()} == {None}
+    assert CL.cluster_dbscan(frame(spark, [0.0], [0.0]).limit(0), 0.1, min_points=3).count() == 0
+    with pytest.raises(ValueError):
+        CL.cluster_dbscan(frame(spark, [0.0], [0.0]), 0.1, min_points=0)

@@ -1,6 +1,6 @@
-"""Density clusters (G4, G5, A9): DBSCAN with min_points = 1 over planar degrees.
+"""Density clusters (G4, G5, A9): DBSCAN over planar degrees.
 
-With min_points = 1 every point is a core point, so clusters are the connected
+With min_points = 1, the case of every query but one, every point is a core point, so clusters are the connected
 components of the graph "distance <= eps".  The plan never pairs up all points
 of a group:
 
@@ -25,6 +25,13 @@ of a group:
 
 The cell and sub-cell tables are bounded by geography (the grid), not by the
 number of events; all aggregates are partial-then-final.
+
+With more min_points a point is a core point if that many points, itself
+included, lie within eps.  All points of a cell with that many are core points,
+so only points of sparser cells (fewer than min_points in each) are counted:
+against whole sub-cells where the geometry decides, against points in the
+sub-cells on the rim.  Clusters are the components of the core points; other
+points within eps of one take the smallest such cluster; the rest is noise.
 """
 
 from __future__ import annotations
@@ -281,16 +288,71 @@ def contracted_components(cells: DataFrame, edges: DataFrame) -> DataFrame:
     return local.join(top.withColumnRenamed("node", "local"), "local").select("node", "label")
 
 
+def _reached(queries: DataFrame, targets: DataFrame, eps: float) -> DataFrame:
+    """(pid, cx, cy, n): how many target points (by weight) of each cell lie within eps of a query point.
+
+    Sub-cells that lie wholly within eps count by their sum, those wholly beyond
+    not at all; only points of sub-cells on the rim are compared one by one."""
+    levels = _levels(eps)
+    w = _quantum(eps) * (1 << (LEVEL_BITS * levels))
+    placed = targets.select("cx", "cy", *_sub_key(0, levels), F.col("x").alias("x2"), F.col("y").alias("y2"), "weight")
+    occupied = placed.groupBy("cx", "cy", "sx", "sy").agg(F.sum("weight").alias("n"))
+    off = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in range(-2, 3) for dy in range(-2, 3)]))
+    asked = queries.select("pid", "x", "y", "cx", "cy", off.alias("o")).select(
+        "pid", "x", "y", (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
+    near = asked.join(occupied, ["cx", "cy"])
+
+    def nearest_and_farthest(at: str, sub: str):
+        low, high = F.col(sub) * F.lit(w), (F.col(sub) + F.lit(1)) * F.lit(w)
+        return (F.greatest(low - F.col(at), F.col(at) - high, F.lit(0.0)), F.greatest(F.abs(F.col(at) - low), F.abs(high - F.col(at))))
+
+    (x_min, x_max), (y_min, y_max) = nearest_and_farthest("x", "sx"), nearest_and_farthest("y", "sy")
+    e2 = eps * eps
+    inside = x_max * x_max + y_max * y_max <= F.lit(e2 * (1 - MARGIN))
+    beyond = x_min * x_min + y_min * y_min > F.lit(e2 * (1 + MARGIN))
+    sure = near.filter(inside).select("pid", "cx", "cy", "n")
+    dx, dy = F.col("x") - F.col("x2"), F.col("y") - F.col("y2")
+    rim = near.filter(~inside & ~beyond).drop("n").join(placed, ["cx", "cy", "sx", "sy"]).filter(dx * dx + dy * dy <= F.lit(e2))
+    return sure.unionByName(rim.select("pid", "cx", "cy", F.col("weight").alias("n"))).groupBy("pid", "cx", "cy").agg(F.sum("n").alias("n"))
+
+
+def _core_clusters(pts: DataFrame, eps: float, min_points: int) -> tuple[DataFrame, DataFrame]:
+    """(cells, sparse): the cluster of the core points of a cell (cx, cy, cluster_id),
+    and the points of cells with fewer than min_points, with their own cluster_id (null: noise)."""
+    cell_n = pts.groupBy("cx", "cy").agg(F.sum("weight").alias("cell_n")).checkpoint(eager=True)
+    at = pts.join(broadcast_checked(cell_n), ["cx", "cy"])
+    sparse = at.filter(F.col("cell_n") < min_points).drop("cell_n").checkpoint(eager=True)
+    counted = _reached(sparse, pts, eps).groupBy("pid").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_points).select("pid")
+    some = sparse.join(counted, "pid", "left_semi").checkpoint(eager=True)
+    core = at.filter(F.col("cell_n") >= min_points).drop("cell_n").unionByName(some).checkpoint(eager=True)
+    cells, edges = cell_edges(core, eps)
+    labels = contracted_components(cells, edges)
+    cell_label = cells.join(labels, "node").select("cx", "cy", F.col("label").alias("cluster_id")).checkpoint(eager=True)
+    other = sparse.join(some.select("pid"), "pid", "left_anti")
+    border = _reached(other, core, eps).join(broadcast_checked(cell_label), ["cx", "cy"]).groupBy("pid").agg(F.min("cluster_id").alias("cluster_id"))
+    own = some.join(broadcast_checked(cell_label), ["cx", "cy"]).select("pid", "cluster_id")
+    return cell_label, sparse.select("pid", "x", "y").join(own.unionByName(border), "pid", "left").select("x", "y", "cluster_id")
+
+
 def cluster_dbscan(df: DataFrame, eps: float, min_points: int = 1, id_col: str = "id",
                    x_col: str = "longitude", y_col: str = "latitude") -> DataFrame:
-    """``df`` plus ``cluster_id`` (smallest ``id_col`` of the component);
-    rows without coordinates get null.  Only min_points = 1 is defined here,
-    as in the reference (every point is a core point; no noise)."""
-    if min_points != 1:
-        raise ValueError("only min_points = 1 (connected components) is supported")
+    """``df`` plus ``cluster_id`` (smallest ``id_col`` of the component's core
+    points); rows without coordinates, and noise where min_points is more than 1, get null."""
+    if min_points < 1:
+        raise ValueError("min_points is 1 or more")
     ensure_checkpoint_dir(df.sparkSession)
     pts = _points(df, eps, id_col, x_col, y_col)
-    dedup = pts.groupBy("qx", "qy", "x", "y", "cx", "cy").agg(F.min("pid").alias("pid")).checkpoint(eager=True)
+    dedup = pts.groupBy("qx", "qy", "x", "y", "cx", "cy").agg(F.min("pid").alias("pid"), F.count(F.lit(1)).alias("weight")).checkpoint(eager=True)
+    if min_points > 1:
+        cell_label, sparse = _core_clusters(dedup, eps, min_points)
+        # A sparse cell has fewer than min_points rows: their table is bounded by the grid too.
+        x, y = F.col(x_col).cast("double").alias("x"), F.col(y_col).cast("double").alias("y")
+        keyed = df.select("*", *_cell_cols(eps, x_col, y_col)[2:], x, y)
+        keyed = keyed.join(broadcast_checked(cell_label.withColumnRenamed("cluster_id", "_of_cell")), ["cx", "cy"], "left")
+        points = sparse.withColumn("_sparse", F.lit(True)).withColumnRenamed("cluster_id", "_of_point").checkpoint(eager=True)
+        keyed = keyed.join(broadcast_checked(points), ["x", "y"], "left")
+        own = F.when(F.col("_sparse"), F.col("_of_point")).otherwise(F.col("_of_cell"))
+        return keyed.select(*df.columns, own.alias("cluster_id"))
     cells, edges = cell_edges(dedup, eps)
     labels = contracted_components(cells, edges)
     cell_label = cells.join(labels, "node").select("cx", "cy", F.col("label").alias("cluster_id"))

@@ -377,6 +377,29 @@ def q_cluster_members(spark, sf_dir):
     return labelled.select("id", "usgs_id", "cluster_id")
 
 
+CORE_KM, CORE_POINTS = 20.0, 4
+
+
+def _core_sql() -> str:
+    pts, pairs = _cluster_ctes(CORE_KM)[:2]
+    return O.with_ctes(
+        pts, pairs, f"core AS (SELECT s AS id FROM e GROUP BY s HAVING count(*) >= {CORE_POINTS})",
+        "ce AS (SELECT s, d FROM e WHERE s IN (SELECT id FROM core) AND d IN (SELECT id FROM core))",
+        "reach(node, lbl) AS (SELECT id, id FROM core UNION SELECT ce.d, r.lbl FROM reach r JOIN ce ON ce.s = r.node)",
+        "comp AS (SELECT node, min(lbl) AS cid FROM reach GROUP BY node)",
+        "near AS (SELECT e.s AS id, min(c.cid) AS cid FROM e JOIN comp c ON c.node = e.d GROUP BY e.s)", recursive=True) + """
+SELECT p.id, p.usgs_id, coalesce(c.cid, n.cid) AS cluster_id
+FROM pts p LEFT JOIN comp c ON c.node = p.id LEFT JOIN near n ON n.id = p.id"""
+
+
+@register("cluster_members_core", _core_sql())
+def q_cluster_members_core(spark, sf_dir):
+    """DBSCAN with four points to a core: border points join a cluster, noise has none."""
+    recent = Q.since(_quakes(spark, sf_dir), T.AS_OF, 7)
+    return CL.cluster_dbscan(recent.select("id", "usgs_id", "longitude", "latitude"), CL.eps_from_km(CORE_KM), min_points=CORE_POINTS)\
+        .select("id", "usgs_id", "cluster_id")
+
+
 # --- Zones and the zone distance join ---------------------------------------------------------
 
 
