@@ -43,6 +43,7 @@ FOLDS, HELD_OUT = 4, 2
 NO_LANGUAGE = "und"
 #: At most so many labelled rows of each language are learned from.
 TRAIN_ROWS = 1000
+RANGE_BITS = 14
 #: Numbers of the model: (language, length, entry) triples.
 ENTRIES = 240_000
 #: Length of the longest n-grams; length 0 stands for whole words.
@@ -73,12 +74,18 @@ def grams(word: str, n: int) -> Iterator[str]:
 def sample(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, rows: int = TRAIN_ROWS) -> DataFrame:
     """(lang, text) of at most ``rows`` training rows of each language.
 
-    Rows are picked by ids alone, at most ``rows`` of a language in each task
-    before any shuffle; the ids are broadcast to the scan of the texts.
+    Rows are picked by ids alone, from the lowest of 2 ** RANGE_BITS ranges of
+    hashes, so that few more than ``rows`` of a language are sorted, however many
+    tasks read them; the picked ids are broadcast to the scan of the texts.
     """
     ready(docs.sparkSession)
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & (fold("doc_id", folds) != held_out))
+    # The ranges of hashes that hold a language's first rows, from counts by range: only their rows meet in the window.
+    known = known.withColumn("range", F.shiftrightunsigned(F.xxhash64("doc_id").bitwiseXOR(F.lit(-1 << 63)), 64 - RANGE_BITS))
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("range")) - F.col("n")
+    low = known.groupBy("lang", "range").agg(F.count(F.lit(1)).alias("n")).withColumn("before", upto).filter(F.col("before") < rows)
+    known = known.join(F.broadcast(low.groupBy("lang").agg(F.max("range").alias("last"))), "lang").filter(F.col("range") <= F.col("last"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     picked = known.withColumn("nth", first).filter(F.col("nth") <= rows).select("doc_id", "lang").distinct().checkpoint()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").filter(F.col("text").isNotNull())
