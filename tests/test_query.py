@@ -145,3 +145,32 @@ def test_average_depth_exact_sum(spark):
     df = spark.createDataFrame([(Decimal("0.10"),), (Decimal("0.20"),), (None,)], "depth decimal(10,2)")
     assert abs(A.average_depth(df).first()[0] - 0.15) < 1e-15      # exact decimal sum, one division
     assert A.average_depth(df.filter("depth IS NULL")).first()[0] is None
+
+
+@pytest.mark.parametrize("sort", ["recent", "mag_desc", "mag_asc"])
+def test_deep_pages_sort_only_their_ranges(spark, monkeypatch, sort):
+    # hundreds of rows of one day and of one magnitude, ties in every key, a null time
+    hot = quakes(spark, 300).withColumn("mag", F.when(F.col("id") % 3 > 0, F.lit("4.50").cast("decimal(6,2)")).otherwise(F.col("mag")))
+    hot = hot.withColumn("time", F.when(F.col("id") % 5 > 2, F.lit(AS_OF).cast("timestamp_ntz")).when(F.col("id") != 44, F.col("time")))
+    whole = [r.usgs_id for r in Q.filtered_events(hot, all_time=True).orderBy(*Q.sort_columns(sort)).collect()]
+    monkeypatch.setattr(Q, "TOPK_ROW_LIMIT", 60)
+    f = Q.filtered_events(hot, all_time=True)
+    for offset in (0, 45, 120, 200, len(whole) - 5, len(whole) + 10):
+        held, skip = Q.narrowed(f, sort, offset, 20)
+        assert skip <= offset and (offset + 20 <= 60 or held.count() < len(whole))
+        assert [r.usgs_id for r in Q.page_rows(f, Q.sort_columns(sort), offset, 20, sort).collect()] == whole[offset:offset + 20], offset
+
+
+def test_a_shallow_page_runs_nothing_while_it_is_built(spark, monkeypatch):
+    df = quakes(spark, 600)
+    group = "page-build"
+    spark.sparkContext.setJobGroup(group, "build")
+    page = Q.event_page(df, 2, as_of=AS_OF)
+    built = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert built == 0
+    shallow = [tuple(r) for n in (1, 2, 3, 7) for r in Q.event_page(df, n, as_of=AS_OF).collect()]
+    assert page.columns == [*Q.LIST_COLUMNS, "total_count", "page", "pages"]
+    monkeypatch.setattr(Q, "TOPK_ROW_LIMIT", 1)
+    assert [tuple(r) for n in (1, 2, 3, 7) for r in Q.event_page(df, n, as_of=AS_OF).collect()] == shallow
+    assert Q.event_page(df.limit(0), 2, as_of=AS_OF).collect() == []

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
@@ -17,8 +16,8 @@ LIMIT_RANGE = (1, 1000)
 RADIUS_KM_RANGE = (1.0, 20000.0)
 PAGE_SIZE = 250
 SORT_MODES = ("recent", "mag_desc", "mag_asc", "distance")
-# Beyond this many rows before the page, a page is cut from a range-sorted
-# copy with exact positions instead of one top-k.
+# Beyond this many rows up to its end, a page is cut from the ranges of the sort
+# key that hold it instead of one top-k.
 TOPK_ROW_LIMIT = 100_000
 
 LIST_COLUMNS = ["id", "usgs_id", "mag", "place", "time", "magType", "tsunami", "alert",
@@ -122,13 +121,65 @@ def sort_columns(mode: str) -> list[Column]:
 
 # --- Paging (L3, L4, W1) ------------------------------------------------------------
 
-def page_rows(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
+def _range_keys(mode: str) -> list[tuple[Column, Column]]:
+    """Ranges of a sort mode, coarse to fine: (key, its order).  Each follows the order of ``sort_columns``."""
+    def keyed(name: str, key: Column, order: Column) -> tuple[Column, Column]:
+        return key.alias(name), order
+
+    day = keyed("_day", F.to_date("time"), F.col("_day").desc_nulls_first())
+    second = keyed("_second", F.date_trunc("second", F.col("time")), F.col("_second").desc_nulls_first())
+    first = {"mag_desc": [keyed("_mag", F.col("mag"), F.col("_mag").desc_nulls_last())],
+             "mag_asc": [keyed("_mag", F.col("mag"), F.col("_mag").asc_nulls_last())],
+             "distance": [keyed("_km", F.floor("distance_km"), F.col("_km").asc_nulls_last())], "recent": []}[mode]
+    return [*first, day, second]
+
+
+def narrowed(df: DataFrame, mode: str, offset: int, limit: int) -> tuple[DataFrame, int]:
+    """The ranges of ``df`` that hold rows offset+1 .. offset+limit, and how many of their rows come before these.
+
+    Rows are counted by range of the sort key, a partial count in every task:
+    days, magnitudes, then seconds, as long as more than TOPK_ROW_LIMIT rows
+    would have to be sorted.  No row is sorted or moved for it.
+    """
+    spark, skip, keys = df.sparkSession, offset, []
+    for key in _range_keys(mode):
+        if skip + limit <= TOPK_ROW_LIMIT:
+            break
+        keys.append(key)
+        counts = df.groupBy(*[k for k, _ in keys]).agg(F.count(F.lit(1)).alias("_n"))
+        before, chosen = 0, []
+        for r in counts.orderBy(*[o for _, o in keys]).toLocalIterator():
+            if before + r["_n"] > skip and before < skip + limit:
+                chosen.append((before, tuple(r)[:-1]))
+            before += r["_n"]
+            if before >= skip + limit:
+                break
+        if not chosen:
+            return df.limit(0), 0
+        skip -= chosen[0][0]
+        # At most one range for each row of the page, and one more.
+        ranges = spark.createDataFrame([c for _, c in chosen], counts.drop("_n").schema)
+        names = ranges.columns
+        held = df.select("*", *[k for k, _ in keys]).alias("a").join(
+            F.broadcast(ranges.alias("b")), [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names], "left_semi").drop(*names)
+        if names[-1] == "_day" and len(names) == 1 and all(c[0] is not None for _, c in chosen):  # a filter that reaches the scan
+            low, high = min(c[0] for _, c in chosen), max(c[0] for _, c in chosen)
+            held = held.filter(F.col("time").between(ts_literal(f"{low} 00:00:00"), ts_literal(f"{high} 23:59:59.999999")))
+        df = held
+    return df, skip
+
+
+def page_rows(df: DataFrame, order: list[Column], offset: int, limit: int, mode: str | None = None) -> DataFrame:
     """Rows ``offset+1 .. offset+limit`` of ``df`` in ``order``.
 
     Shallow pages are one top-k (TakeOrderedAndProject).  Deep pages would make
-    that top-k hold offset+limit rows in one task, so they take exact positions
-    from a range-partitioned sort instead (no single-partition window).
+    that top-k hold offset+limit rows in one task.  Where ``mode`` names the
+    order, counts by range find the few ranges that hold the page and only their
+    rows are sorted; more rows than that with one second's sort key take exact
+    positions from a range-partitioned sort (no single-partition window).
     """
+    if mode and offset + limit > TOPK_ROW_LIMIT:
+        df, offset = narrowed(df, mode, offset, limit)
     if offset + limit <= TOPK_ROW_LIMIT:
         return df.orderBy(*order).offset(offset).limit(limit)
     from .upsert import assign_ids
@@ -161,19 +212,32 @@ def list_events(df: DataFrame, min_mag: float = -2, max_mag: float = 10, limit:
     """L3: one page of the filtered list with ``total_count`` on each row."""
     check_args(min_mag, max_mag, limit, offset, days_back)
     f = filtered_events(df, min_mag, max_mag, days_back, all_time, as_of)
-    page = page_rows(f, sort_columns(sort_mode(sort)), offset, limit)
+    mode = sort_mode(sort)
+    page = page_rows(f, sort_columns(mode), offset, limit, mode)
     return with_total(list_columns(page), f)
 
 
 def event_page(df: DataFrame, page_no: int, size: int = PAGE_SIZE, sort: str = "recent", min_mag: float = -2,
                max_mag: float = 10, as_of=None) -> DataFrame:
     """L4: page walk over everything loaded: pages = ceil(max(total,1)/size), page
-    clamped into 1..pages; adds ``page`` and ``pages`` columns."""
+    clamped into 1..pages; adds ``page`` and ``pages`` columns.
+
+    Nothing runs while a shallow page is built: the count is one row of the same
+    plan, and the page is cut by number from the rows up to it.  A deep page
+    counts first, since the clamp decides what is read."""
     f = filtered_events(df, min_mag, max_mag, all_time=True, as_of=as_of)
-    total = f.count()
-    pages = max(1, math.ceil(max(total, 1) / size))
-    page_no = min(max(int(page_no), 1), pages)
-    page = page_rows(f, sort_columns(sort_mode(sort)), (page_no - 1) * size, size)
+    mode = sort_mode(sort)
+    order, page_no = sort_columns(mode), max(int(page_no), 1)
+    matches = f.agg(F.count(F.lit(1)).cast("int").alias("total_count"))
+    last = F.greatest(F.lit(1), F.ceil(F.col("total_count") / F.lit(size))).cast("int")
+    if page_no * size <= TOPK_ROW_LIMIT:
+        upto = f.orderBy(*order).limit(page_no * size).withColumn("_pos", F.row_number().over(Window.orderBy(*order)))
+        counted = matches.select("total_count", F.least(F.lit(page_no), last).alias("page"), last.alias("pages"))
+        rows = upto.join(F.broadcast(counted), how="cross").filter(F.ceil(F.col("_pos") / F.lit(size)) == F.col("page"))
+        return list_columns(rows.orderBy("_pos"), ["total_count", "page", "pages"])
+    total, pages = matches.select("total_count", last).first()
+    page_no = min(page_no, pages)
+    page = page_rows(f, order, (page_no - 1) * size, size, mode)
     return list_columns(page).withColumn("total_count", F.lit(total).cast("int")).withColumn(
         "page", F.lit(page_no)).withColumn("pages", F.lit(pages))
 

@@ -58,5 +58,6 @@ def radius_search(df: DataFrame, lat: float, lon: float, dist_km: float = 10, mi
     boxed = f.filter(G.box_filter(F.col("latitude"), F.col("longitude"), G.bounding_box(lat, lon, r)))
     with_d = _distance(boxed, lat, lon, method).filter(F.col("distance_m") <= F.lit(r))
     with_d = with_d.withColumn("distance_km", distance_km_rounded()).drop("distance_m")
-    page = Q.page_rows(with_d, Q.sort_columns(Q.sort_mode(sort, radius=True)), offset, limit)
+    mode = Q.sort_mode(sort, radius=True)
+    page = Q.page_rows(with_d, Q.sort_columns(mode), offset, limit, mode)
     return Q.with_total(Q.list_columns(page, ["distance_km"]), within_km(f, lat, lon, dist_km, method))
