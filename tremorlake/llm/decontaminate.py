@@ -7,22 +7,27 @@ says.  Strings within a small edit distance fall into step again, so their
 embeddings differ in few coordinates.
 
 The walk is started at every word of every item and of every text, so the
-coordinates that are sampled lie all over an item-sized window.  Each of
-REPETITIONS walks samples SAMPLED of its STEPS coordinates as a key.  Walks alone
-can miss a place: a short item has few starts, an item of few different words
-no usable key.  So every item is also cut into one part more than the edits it
-allows.  An edit touches one part at most, so one part of every place stands
+coordinates that are sampled lie all over an item-sized window.  A repetition
+samples some of its steps as a key.  Steps, samples and repetitions go by classes
+of item length (WALKS); the repetitions of a class are the fewest with which, in
+a seeded simulation at the class's shortest length and with all edits allowed,
+TARGET_RECALL of the places share a key.  Walks alone reach 0.9 at every length
+(tested).  For the rest every item is also cut into one part more than the edits
+it allows.  An edit touches one part at most, so one part of every place stands
 unedited; the parts' keys find it for certain, whatever the item's length.
 
 Keys of a text's words that stand in the items' key tables give an item and a
 diagonal; the window on that diagonal, wider by the allowed edits, is verified
 by the exact edit distance over words: at most MAX_EDITS of the item's words.
 
-Items are read in blocks of at most BLOCK_WORDS words, so what is broadcast has a
-fixed bound; texts are scanned once for each block.
+Items are read in blocks of at most BLOCK_WORDS words, and key tables are sized by
+their keys, so what is broadcast has a fixed bound; texts are scanned once for
+each block, and with several blocks each one's result is checkpointed and its
+broadcast ended before the next.
 
 Defined results: null or empty texts contain nothing; null or empty items match
-nothing.  Items of fewer than STEPS words count only where they stand exactly.
+nothing.  Items of fewer than EXACT_BELOW words allow no edit: they count where
+they stand exactly.
 Repeated rows give repeated pairs, repeated items one pair for each row.  An
 empty table gives an empty result.
 """
@@ -30,10 +35,12 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,50 +48,81 @@ from tremorlake.llm.common import ready
 from tremorlake.llm.text_arrays import Words, mix, pieces, word_hashes, words
 
 MAX_EDITS = 0.2
+#: Items from so many words on allow an edit.
+EXACT_BELOW = 5
+#: Steps of the longest walk, and words of the longest part's key.
 STEPS = 8
-SAMPLED = 5
-DISTINCT = 4
-REPETITIONS = 4
+TARGET_RECALL = 0.97
 BLOCK_WORDS = 1_000_000
-#: Bits of the table that says at once that a key is none of an item's.
-FILTER_BITS = 22
+
+
+class Walk(NamedTuple):
+    """Walks for items of ``shortest`` words and more: ``sampled`` of ``steps`` steps, on ``distinct`` places at least."""
+
+    shortest: int
+    steps: int
+    sampled: int
+    distinct: int
+
+
+WALKS = (Walk(5, 6, 3, 3), Walk(8, 8, 4, 3), Walk(15, 8, 5, 4), Walk(25, 8, 5, 4))
 
 
 class Items(NamedTuple):
-    """A block of items: word hashes one after another, for each repetition the sorted keys with item and place, and the same for parts by their length."""
+    """A block of items: word hashes one after another, for each walk and repetition the sorted keys with item and place, and the same for parts by their length."""
 
     ids: np.ndarray
     begin: np.ndarray
     word: np.ndarray
-    keys: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    keys: list[tuple[Walk, int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
     short: dict[int, list[tuple[np.ndarray, np.ndarray]]]
     parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
-def coordinates(repetition: int) -> list[int]:
-    """The sampled steps of a repetition: the first and the last one and others by its random numbers."""
+def coordinates(repetition: int, walk: Walk) -> list[int]:
+    """The sampled steps of a repetition, by its random numbers."""
     rng = np.random.default_rng(1000 + repetition)
-    return sorted([0, STEPS - 1, *(rng.choice(STEPS - 2, SAMPLED - 2, replace=False) + 1).tolist()])
+    return sorted(rng.choice(walk.steps, walk.sampled, replace=False).tolist())
 
 
-def walk_keys(word: np.ndarray, n: int, repetition: int) -> tuple[np.ndarray, np.ndarray]:
-    """Key of the walk from each of the first n words, and whether it is used; word is longer by at least STEPS words.
+def walk_keys(word: np.ndarray, n: int, repetition: int, walk: Walk = WALKS[-1]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key of the walk from each of the first n words, whether it is used, and the last place that it sampled; word is longer by at least STEPS words.
 
-    A walk that hardly moved says little: its samples must lie on DISTINCT places at least.
+    A walk that hardly moved says little: its samples must lie on walk.distinct places at least.
     Whether they do follows from the words alone, so it is the same for items and texts.
     """
     bits = mix(word ^ np.uint64(0x51ED270B * (repetition + 1)))
-    at, key, sampled = np.arange(n), np.full(n, repetition + 1, np.uint64), coordinates(repetition)
+    at, key, sampled = np.arange(n), np.full(n, walk.shortest << 16 | repetition + 1, np.uint64), coordinates(repetition, walk)
     seen, before = np.zeros(n, np.int8), np.full(n, -1)
-    for j in range(STEPS):
+    for j in range(sampled[-1] + 1):
         if j in sampled:
             key *= np.uint64(0x9E3779B97F4A7C15)
             key ^= word[at]
             seen += at != before
             before = at.copy()
-        if j < STEPS - 1:
+        if j < sampled[-1]:
             at += ((bits[at] >> np.uint64(j)) & np.uint64(1)).astype(np.int64)
-    return mix(key), seen >= DISTINCT
+    return mix(key), seen >= walk.distinct, at
+
+
+@cache
+def repetitions(walk: Walk, max_edits: float = MAX_EDITS, target: float = TARGET_RECALL, trials: int = 1000) -> int:
+    """The fewest repetitions with which ``target`` of edited items of the class's shortest length share a key with the original."""
+    rng = np.random.default_rng(walk.shortest)
+    n, wide = walk.shortest, walk.shortest + STEPS + 1
+    word = rng.integers(1, 1 << 62, (trials, wide), dtype=np.uint64)
+    edited = word.copy()
+    changed = rng.random((trials, n)).argsort(1)[:, :int(np.floor(max_edits * n))]
+    np.put_along_axis(edited, changed, rng.integers(1, 1 << 62, changed.shape, dtype=np.uint64), 1)
+    pad = np.zeros(STEPS + 1, np.uint64)
+    start = np.arange(trials * wide)
+    hit, r = np.zeros(trials, bool), 0
+    while hit.mean() < target:
+        (a, used, last), (b, _, _) = (walk_keys(np.concatenate([w.ravel(), pad]), trials * wide, r, walk) for w in (word, edited))
+        inside = (start % wide < n) & (last - start + start % wide < n)
+        hit |= ((a == b) & used & inside).reshape(trials, wide).any(1)
+        r += 1
+    return r
 
 
 def run_keys(word: np.ndarray, n: int, length: int) -> np.ndarray:
@@ -97,12 +135,17 @@ def run_keys(word: np.ndarray, n: int, length: int) -> np.ndarray:
 
 
 def _table(keys: np.ndarray, item: np.ndarray, place: np.ndarray):
+    """Sorted keys, and before them a table of about 16 to 32 bits of a key for each that says at once that a key is none of an item's."""
     order = np.argsort(keys, kind="stable")
-    known = np.zeros(1 << FILTER_BITS, bool)
-    known[keys >> np.uint64(64 - FILTER_BITS)] = True
+    known = np.zeros(1 << max(10, (16 * len(keys)).bit_length()), bool)
+    known[_slot(keys, known)] = True
     return known, keys[order], item[order], place[order]
 
 
+def _slot(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return keys >> np.uint64(65 - len(known).bit_length())
+
+
 def cut_in_parts(size: int, edits: int) -> list[tuple[int, int]]:
     """(first word, words) of the parts of an item, of which one stands unedited after ``edits`` edits; keys take STEPS words of a part at most."""
     n = min(edits + 1, size)
@@ -116,21 +159,23 @@ def index_items(rows: list[tuple[int, str]], max_edits: float = MAX_EDITS) -> It
     word = np.concatenate([*hashes, np.zeros(STEPS + 1, np.uint64)]) if rows else np.zeros(STEPS + 1, np.uint64)
     item = np.repeat(np.arange(len(rows)), np.diff(begin))
     place = np.arange(begin[-1]) - begin[item] if len(item) else np.zeros(0, np.int64)
-    whole = place + STEPS <= np.diff(begin)[item] if len(item) else np.zeros(0, bool)
+    size = np.diff(begin)
     keys = []
-    for r in range(REPETITIONS):
-        k, used = walk_keys(word, int(begin[-1]), r)
-        used &= whole
-        keys.append(_table(k[used], item[used], place[used]))
+    for walk, longer in zip(WALKS, [w.shortest for w in WALKS[1:]] + [np.inf], strict=True):
+        mine = (size[item] >= walk.shortest) & (size[item] < longer) if len(item) else np.zeros(0, bool)
+        for r in range(repetitions(walk, max_edits) if mine.any() else 0):
+            k, used, last = walk_keys(word, int(begin[-1]), r, walk)
+            used &= mine & (last < begin[item + 1])
+            keys.append((walk, r, _table(k[used], item[used], place[used])))
     short: dict[int, list] = {}
-    for length in range(1, STEPS):
-        few = np.flatnonzero(np.diff(begin) == length)
+    for length in range(1, EXACT_BELOW):
+        few = np.flatnonzero(size == length)
         if len(few):
             k = run_keys(word, int(begin[-1]), length)[begin[few]]
             short[length] = _table(k, few, np.zeros(len(few), np.int64))
     by_length: dict[int, list[tuple[int, int]]] = {}
-    for t, size in enumerate(np.diff(begin).tolist()):
-        for a, length in cut_in_parts(size, int(np.floor(max_edits * size))) if size >= STEPS else []:
+    for t, many in enumerate(size.tolist()):
+        for a, length in cut_in_parts(many, int(np.floor(max_edits * many))) if many >= EXACT_BELOW else []:
             by_length.setdefault(length, []).append((t, a))
     parts = {}
     for length, places in by_length.items():
@@ -142,7 +187,7 @@ def index_items(rows: list[tuple[int, str]], max_edits: float = MAX_EDITS) -> It
 def lookup(key: np.ndarray, table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place in ``key``, item, place in the item) of every equal key."""
     known, keys, item, place = table
-    at = np.flatnonzero(known[key >> np.uint64(64 - FILTER_BITS)])
+    at = np.flatnonzero(known[_slot(key, known)])
     lo, hi = np.searchsorted(keys, key[at], "left"), np.searchsorted(keys, key[at], "right")
     n = hi - lo
     entry = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]] if len(n) else lo, n) + np.arange(int(n.sum()))
@@ -181,10 +226,10 @@ def find(w: Words, offsets: np.ndarray, items: Items, max_edits: float = MAX_EDI
             if p + length <= cut[d + 1] and (padded[p:p + length] == items.word[b:b + length]).all():
                 found.setdefault((d, t), (0, p, p + length))
     hits = []
-    for r in range(REPETITIONS if n else 0):
-        key, used = walk_keys(padded, n, r)
-        used = np.flatnonzero(used & items.keys[r][0][key >> np.uint64(64 - FILTER_BITS)])
-        at, item, place = lookup(key[used], items.keys[r])
+    for walk, r, table in items.keys if n else ():
+        key, used, _ = walk_keys(padded, n, r, walk)
+        used = np.flatnonzero(used & table[0][_slot(key, table[0])])
+        at, item, place = lookup(key[used], table)
         hits.append((used[at], item, place))
     for length, table in items.parts.items() if n else ():
         at, item, place = lookup(run_keys(padded, n, length), table)
@@ -217,7 +262,7 @@ def find(w: Words, offsets: np.ndarray, items: Items, max_edits: float = MAX_EDI
     return [(d, t, b, e, x) for (d, t), (x, b, e) in sorted(found.items())]
 
 
-def _scan(docs: DataFrame, items: Items, max_edits: float) -> DataFrame:
+def _scan(docs: DataFrame, items: Items, max_edits: float) -> tuple[DataFrame, Broadcast]:
     shared = ready(docs.sparkSession).sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +282,7 @@ def _scan(docs: DataFrame, items: Items, max_edits: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()], strict=True)],
                                                  ["doc_id", "item_id", "start", "stop", "edits", "item_words"])
 
-    return docs.mapInArrow(run, "doc_id long, item_id long, start int, stop int, edits int, item_words int")
+    return docs.mapInArrow(run, "doc_id long, item_id long, start int, stop int, edits int, item_words int"), shared
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -252,7 +297,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_E
     for k in range(n_blocks):
         part = items if n_blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == k)
         block = index_items(sorted((r["item_id"], r["text"]) for r in part.collect()), max_edits)
-        found = _scan(rows, block, max_edits)
+        found, shared = _scan(rows, block, max_edits)
+        if n_blocks > 1:  # one block's tables at a time
+            found = found.checkpoint()
+            shared.destroy()
         out = found if out is None else out.unionByName(found)
     return out
 
