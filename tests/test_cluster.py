@@ -104,3 +104,31 @@ def test_no_core_points_and_no_points(spark):
     assert CL.cluster_dbscan(frame(spark, [0.0], [0.0]).limit(0), 0.1, min_points=3).count() == 0
     with pytest.raises(ValueError):
         CL.cluster_dbscan(frame(spark, [0.0], [0.0]), 0.1, min_points=0)
+
+
+@pytest.mark.parametrize("bound", [200_000, 0])
+def test_components_by_labels_and_by_stars(spark, monkeypatch, bound):
+    """A giant component with a hot middle, a chain, pairs and single nodes, by the shipped labels and by stars."""
+    monkeypatch.setattr(CL, "BROADCAST_ROW_LIMIT", bound)
+    rng = np.random.default_rng(4)
+    edges = [(1000, 1001 + i) for i in range(300)] + [(1001 + i, 2000 + i) for i in range(0, 300, 3)] + [(i, i + 1) for i in range(60)]
+    edges += [(5000 + int(a), 5000 + int(b)) for a, b in rng.integers(0, 120, (80, 2))] + [(7, 7), (9000, 8999), (8999, 9000)]
+    nodes = sorted({n for e in edges for n in e} | {1, 12345, 777})
+    root = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(root[a], root[b])
+            if root[a] != low or root[b] != low:
+                root[a] = root[b] = low
+                changed = True
+    df = spark.createDataFrame([(n,) for n in nodes], "node long")
+    got = CL.connected_components(df, spark.createDataFrame(edges, "na long, nb long")).collect()
+    assert len(got) == len(nodes) and {r.node: r.label for r in got} == root
+
+
+def test_clusters_of_a_graph_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(CL, "BROADCAST_ROW_LIMIT", 0)
+    rng = np.random.default_rng(3)
+    check(spark, rng.uniform(-6, 6, 200), rng.uniform(-6, 6, 200), 0.6)

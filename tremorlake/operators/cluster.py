@@ -185,31 +185,59 @@ def cell_edges(pts: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
     return cells, edges.distinct()
 
 
+def star_components(edges: DataFrame) -> DataFrame:
+    """(node, label) of every node of the edges (na, nb) between different nodes: label is its component's smallest node.
+
+    Alternating stars: first every node hangs its larger neighbours on the
+    smallest node around it, then every node hangs itself and its smaller
+    neighbours on the smallest of them; rounds go on until nothing changes,
+    about the logarithm of the nodes.  Joins are on nodes, never on labels.  A
+    node with very many neighbours (the middle of a giant component) is a key
+    with many rows on one side and one row on the other; the one-row side is read
+    from a checkpoint, so both sides are dealt anew and the hot key is split.
+    """
+    now = edges.filter("na <> nb").select(F.greatest("na", "nb").alias("u"), F.least("na", "nb").alias("v")).distinct().checkpoint(eager=True)
+    before = None
+    while True:
+        around = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = around.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).checkpoint(eager=True)
+        hung = around.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().checkpoint(eager=True)
+        low = hung.groupBy("u").agg(F.min("v").alias("m")).checkpoint(eager=True)
+        own = low.select("u", F.col("m").alias("v"))
+        seen = Observation()
+        now = hung.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own).distinct()
+        now = now.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).checkpoint(eager=True)
+        if seen.get == before:
+            break
+        before = seen.get
+    roots = now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
+    return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, jumps: int = 1) -> DataFrame:
     """(node, label): label = smallest node id of the node's component.
 
-    Each round: every node takes the smallest label among itself and its
-    neighbours, then follows label -> label-of-label ``jumps`` times (pointer
-    jumping).  The round's result is checkpointed; the number of changed
-    labels is an observed metric of that same job, so the stop test costs no
-    extra job.
+    Where the nodes are proven within the broadcast bound (e.g. the contracted
+    graph), their labels are shipped to the tasks in every round: every node
+    takes the smallest label among itself and its neighbours, then follows label
+    -> label-of-label ``jumps`` times (pointer jumping).  The round's result is
+    checkpointed; the number of changed labels is an observed metric of that same
+    job, so the stop test costs no extra job.  Larger graphs take alternating
+    stars (``star_components``): a join on labels would put a giant component's
+    rows on one key.
     """
     spark = nodes.sparkSession
     ensure_checkpoint_dir(spark)
-    und = edges.select(F.col("na").alias("src"), F.col("nb").alias("dst")).unionByName(
-        edges.select(F.col("nb").alias("src"), F.col("na").alias("dst")))
-    und = und.checkpoint(eager=True)
     sized = Observation()
     labels = (nodes.select("node", F.col("node").alias("label"))
               .observe(sized, F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
-    # A node table proven within the broadcast bound (e.g. the contracted graph)
-    # is shipped to the tasks in every round instead of being shuffled: the
-    # edges stay where they are and each round has one shuffle (the min).
-    small = sized.get["n"] <= BROADCAST_ROW_LIMIT
-
-    def ship(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
+    if sized.get["n"] > BROADCAST_ROW_LIMIT:
+        found = star_components(edges).withColumnRenamed("label", "_found").checkpoint(eager=True)
+        return labels.join(found, "node", "left").select("node", F.coalesce("_found", "label").alias("label"))
+    und = edges.select(F.col("na").alias("src"), F.col("nb").alias("dst")).unionByName(
+        edges.select(F.col("nb").alias("src"), F.col("na").alias("dst")))
+    und = und.checkpoint(eager=True)
+    ship = F.broadcast
     while True:  # labels only get smaller, so this ends; no round limit may cut it off
         nbr = und.join(ship(labels.withColumnRenamed("node", "src")), "src").groupBy("dst").agg(
             F.min("label").alias("m"))
