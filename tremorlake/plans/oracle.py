@@ -62,6 +62,7 @@ def mag_range(lo: float = -2, hi: float = 10) -> str:
     return f"mag BETWEEN {lo} AND {hi}"
 
 
+# Labels and limits of magnitude classes, regions and depth classes.
 CATEGORY = ("CASE WHEN mag < 2 THEN 'Micro' WHEN mag < 4 THEN 'Leve' "
             "WHEN mag < 6 THEN 'Fuerte' ELSE 'Severo' END")
 REGION = (r"CASE WHEN place IS NULL OR trim(place) = '' THEN 'Sin ubicación' "
