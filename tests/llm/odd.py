@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = ["pos", "key", "h1", "runs", "words", "word", "found", "rank", "score", "label", "path", "leaf", "size", "hash", "n",
-            "sketch", "base", "extra", "value", "parts", "made", "any", "ids", "held_out", "copy", "row_hash", "kind", "u", "v"]
+            "sketch", "base", "extra", "value", "parts", "made", "any", "ids", "held_out", "copy", "row_hash", "kind", "u", "v",
+            "__score", "__doc", "__hash", "__rows", "__row", "__runs", "kept_0"]
 
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000)) + "\nThe Same Line.\n" + "z" * 50_000
 

@@ -6,6 +6,8 @@ import pytest
 import corpus_pipeline
 from tremorlake.llm.queries import ORACLE, QUERIES
 
+from .odd import odd_docs
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -42,3 +44,12 @@ def test_pipeline_stages_bear_no_rows(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0, name
+
+
+@pytest.mark.parametrize("name", ["quality_classifier", "line_dedup", "ngram_jaccard_join", "benchmark_decontamination"])
+def test_stages_bear_reserved_names_and_odd_rows(spark, name):
+    docs = odd_docs(spark)
+    got = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert {r["__score"] for r in rows} <= {"clash"} and {r["kept_0"] for r in rows} <= {"clash"}

@@ -7,6 +7,9 @@ Operators keep only the columns they name, so extra columns cannot clash.
 
 from __future__ import annotations
 
+from functools import wraps
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,21 @@ def splittable(facts: DataFrame) -> DataFrame:
     return facts.checkpoint()
 
 
+def shielding(fn):
+    """For functions of documents that return all their columns: columns whose names
+    start with __, as helper columns' do, have other names while the function works."""
+    @wraps(fn)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        taken, names = {c.lower() for c in docs.columns}, {}
+        for c in docs.columns:
+            if c.startswith("__"):
+                names[c] = next(n for i in count() if (n := f"kept_{i}") not in taken)
+                taken.add(names[c])
+        made = fn(docs.withColumnsRenamed(names) if names else docs, *args, **kwargs)
+        return made.withColumnsRenamed({new: c for c, new in names.items()}) if names else made
+    return run
+
+
 def join_rows(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """``rows`` with the columns of ``facts`` for the same row (null where there are none)."""
     facts = facts.withColumnsRenamed({"doc_id": "__doc", "row_hash": "__hash"})

@@ -44,7 +44,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import ready
+from tremorlake.llm.common import ready, shielding
 from tremorlake.llm.text_arrays import Words, mix, pieces, word_hashes, words
 
 MAX_EDITS = 0.2
@@ -305,6 +305,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_E
     return out
 
 
+@shielding
 def keep_clean(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS) -> DataFrame:
     """The documents, with all their columns, that contain no item.
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import ascii_lower, join_rows, keyed, splittable
+from tremorlake.llm.common import ascii_lower, join_rows, keyed, shielding, splittable
 from tremorlake.session import broadcast_checked
 
 #: White space that is stripped from a line's ends.
@@ -83,6 +83,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
                        "runs", apply_bitmap(F.col("text"), F.col("runs")).alias("kept"))
 
 
+@shielding
 def dedup_documents(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents with all their columns, their texts without frequent lines.
 

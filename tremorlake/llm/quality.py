@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tremorlake.llm.common import shielding
 from tremorlake.llm.text_arrays import PIECE_BYTES, mix, pieces, words
 from tremorlake.llm.training import fold, labelled_sample
 
@@ -151,6 +152,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
                          F.col("__score").alias("score"), (F.col("__score") >= threshold).cast("int").alias("predicted"))
 
 
+@shielding
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier accepts, with all their columns."""
     scored = score(docs, fit(docs, labels))
