@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorlake.llm.common import ascii_lower, join_rows, keyed, shielding, splittable
+from tremorlake.llm.common import ascii_lower, join_rows, keyed, ready, shielding, splittable
 from tremorlake.session import broadcast_checked
 
 #: White space that is stripped from a line's ends.
@@ -47,8 +47,10 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     numbers, from 0 and inclusive, of the lines that go; all others stay.
     """
     at = ["h1", "h2", "doc_id", "row_hash"]
+    ready(docs.sparkSession)
+    # Checkpointed, since two plans read it: lines are split and hashed for the ranges' sample and once more.
     placed = (line_occurrences(keyed(docs), min_chars)
-              .repartitionByRange(*at).sortWithinPartitions(*at, "pos"))
+              .repartitionByRange(*at).sortWithinPartitions(*at, "pos").checkpoint())
     first = placed.withColumn("nth", F.row_number().over(Window.partitionBy(*at).orderBy("pos"))).filter("nth = 1")
     frequent = first.groupBy("h1", "h2").count().filter(F.col("count") >= min_docs).select("h1", "h2")
     gone = placed.join(broadcast_checked(splittable(frequent)), ["h1", "h2"], "left_semi")
