@@ -175,6 +175,37 @@ def test_pii_formats_links_and_rejections(spark):
     assert len(by) == len({r[0] for r in rows}) and by[1]["text"] is None and by[2]["text"] == ""
 
 
+SPELLINGS = [  # one number each, in several spellings; country code and signs stay
+    ("1", ["+1 364 285 1331", "+13642851331", "+1-364-285-1331", "+1 (364) 285-1331", "+1.364.285.1331", "364 285 1331", "(364) 285-1331"]),
+    ("44", ["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 (0)20 7946 0958", "+44 2079 460958"]),
+    ("33", ["+33 1 23 45 67 89", "+33123456789", "+33 123 456 789"]),
+    ("353", ["+353 1 234 5678", "+35312345678", "+353-1-2345678"]),
+    ("7", ["+7 495 123 45 67", "+74951234567"]),
+]
+
+
+def test_phone_spellings_share_one_pseudonym_and_keep_the_country(spark):
+    rows = [(100 * i + j, f"call {v} now", "en", "s", 1) for i, (_, spelled) in enumerate(SPELLINGS) for j, v in enumerate(spelled)]
+    got = {r["doc_id"]: r for r in pii.report(pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))).collect()}
+    everywhere = set()
+    for i, (code, spelled) in enumerate(SPELLINGS):
+        numbers = set()
+        for j, v in enumerate(spelled):
+            new = got[100 * i + j]["text"][len("call "):-len(" now")]
+            assert got[100 * i + j]["n_phone"] == 1 and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", v) and new != v, v
+            digits = re.sub(r"\D", "", new)
+            if v.startswith("+"):
+                assert digits.startswith(code), (v, new)
+                digits = digits[len(code):]
+            if "(0)" in v:
+                assert digits.startswith("0") and "(0)" in new
+                digits = digits[1:]
+            numbers.add(digits)
+        assert len(numbers) == 1, (code, numbers)
+        everywhere |= numbers
+    assert len(everywhere) == len(SPELLINGS)
+
+
 BESIDE = [
     ("4111 1111 1111 1111 12/27", ["card:0:19"]), ("4111111111111111 123", ["card:0:16"]), ("2 4111111111111111", ["card:2:18"]),
     ("4111111111111111-01", ["card:0:16"]), ("4111 1111 1111 1111 5500 0000 0000 0004", ["card:0:19", "card:20:39"]),

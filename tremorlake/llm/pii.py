@@ -5,7 +5,7 @@ permutation within their own format.  Equal values get equal pseudonyms in all
 documents, and two values never share one:
 
 * card: 13 to 19 digits that pass the Luhn check; first digit and separators stay, the check digit is made anew
-* phone: 8 to 15 digits after a plus sign in any grouping, or area code and seven digits; the digits are permuted, signs and country code stay
+* phone: 8 to 15 digits after a plus sign in any grouping, or area code and seven digits; the number's digits are permuted, signs and country code stay, so one number has one pseudonym in all spellings
 * ssn: 3-2-4 digits with hyphens, no zero group, area not 666 or 9xx; stays valid
 * ip: four numbers up to 255; the address is permuted as two 16-bit halves
 * date: real calendar days YYYY-MM-DD from 1700 to 2099, permuted as 189 x 773 days (400 years)
@@ -45,6 +45,8 @@ SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?![\d-])|(?<![\w+])\+\d{8,15}(?!\d)"
          r"|(?<![\w+])\+\d(?:(?![ .-]\d{4}[ -](?:\d{4}[ -]\d{4}|\d{6}[ -]\d{4,5}))[ .()-]{0,2}\d){7,14}(?!-?\d)")
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
+#: The calling codes of one and two digits; all others have three.
+CALLING_CODE = r"^(?:1|7|20|27|30|31|32|33|34|36|39|40|41|43|44|45|46|47|48|49|51|52|53|54|55|56|57|58|60|61|62|63|64|65|66|81|82|84|86|90|91|92|93|94|95|98|\d{3})"
 #: 13 digits or more with single blanks and hyphens, up to where an address or a phone with other signs begins.
 NUMBERS = rf"(?<!\d)\d(?:(?![ -](?:{EMAIL}|\d{{1,3}}(?:\.\d{{1,3}}){{3}}|\d{{3}}(?:\.\d{{3}}[ .-]|[ -]\d{{3}}\.)\d{{4}}))[ -]?\d){{12,}}+"
 PATTERN = "|".join((EMAIL, IP, DATE, SSN, PHONE, NUMBERS))
@@ -147,10 +149,12 @@ def pseudonym(m: Column, kind: Column, key: str = KEY) -> Column:
                         F.lit(898), F.lit(99 * 9999), F.lit("ssn"), key), lambda x: F.concat_ws(
         "-", F.lpad(F.when(x["l"] >= 665, x["l"] + 2).otherwise(x["l"] + 1).cast("string"), 3, "0"),
         F.lpad((F.floor(x["r"] / 9999) + 1).cast("string"), 2, "0"), F.lpad((x["r"] % 9999 + 1).cast("string"), 4, "0")))
-    # The country code is a part of the format; what follows is permuted.
-    lead = F.regexp_extract(m, r"^(?:\+\d{1,3}(?=[ .(-]))?", 0)
-    rest = F.substring(m, F.length(lead) + 1, F.length(m))
-    phone = F.concat(lead, _refill(rest, permute_digits(_digits(rest), F.lit("phone"), key)))
+    # The country code is a part of the format; the number is permuted by its digits alone, however they are written.
+    code = F.when(m.startswith("+"), F.regexp_extract(_digits(m), CALLING_CODE, 0)).otherwise(F.lit(""))
+    trunk = F.when(m.rlike(r"^\+\d{1,3}[ .-]?\(0\)"), F.lit("0")).otherwise(F.lit(""))
+    split = F.struct(F.concat(code, trunk).alias("lead"), _digits(m).alias("all"))
+    phone = _refill(m, _bind(split, lambda x: F.concat(x["lead"], permute_digits(
+        F.substring(x["all"], F.length(x["lead"]) + 1, F.length(x["all"])), F.lit("phone"), key))))
     payload = _bind(_digits(m), lambda d: F.concat(F.substring(d, 1, 1), permute_digits(
         F.substring(d, F.lit(2), F.length(d) - 2), F.concat(F.lit("card"), F.substring(d, 1, 1)), key)))
     card = _refill(m, _bind(payload, lambda p: F.concat(p, _check_digit(p))))
