@@ -137,7 +137,7 @@ def ingest_in_place(spark: SparkSession, batch: DataFrame, raw_dir: str, stamp=N
     if not dates:
         return {"events": read, "inserted": read, "dates": []}
     touched = PLACE.read(spark, raw_dir, _DATED_RAW).filter(PLACE.within("event_date", dates)).drop("event_date")
-    merged = _dated(U.raw_upsert(touched, folded, stamp=stamp_col))
+    merged = _dated(U.raw_upsert(touched, folded, stamp=stamp_col, folded=True))
     was = known.select("usgs_id", F.struct("event_date").alias("was"))
     placed = keys.join(was, "usgs_id", "left").filter(F.col("was").isNull() | ~F.col("event_date").eqNullSafe(F.col("was.event_date"))).drop("was").checkpoint()
     number = state["batch"] + 1
