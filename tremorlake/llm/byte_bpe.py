@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import re
 import struct
+import sys
 from collections.abc import Iterator
 
 import ahocorasick
@@ -32,8 +33,12 @@ from pyspark.sql import functions as F
 
 from tremorlake.llm.common import ready, whole_text
 
-#: Entries that a worker keeps of encoded chunks, pieces and token pairs; beyond, the cache starts anew.
-CACHE_ENTRIES = 600_000
+#: Bytes that a worker keeps of encoded chunks, and as many of pieces; beyond, the cache starts anew.
+CACHE_BYTES = 96 << 20
+#: Pairs of tokens that are known to fit or not, two numbers each.
+KNOWN_PAIRS = 600_000
+#: A dictionary's own share of an entry, and the characters up to which a text is kept.
+ENTRY_BYTES, CACHED_CHARS = 100, 256
 #: Bytes of text in a result batch.
 BATCH_BYTES = 1 << 22
 #: White space as the splitting pattern sees it.  No match of the pattern spans the place between other characters and it.
@@ -81,7 +86,7 @@ class Vocabulary:
         """Whether two tokens stand next to each other in some encoding; left -1: whether the right one stands at all."""
         parts = ([self.token[left]] if left >= 0 else []) + [self.token[right]]
         known = self.merged(b"".join(parts)) == parts
-        if self._known >= CACHE_ENTRIES:
+        if self._known >= KNOWN_PAIRS:
             self._fits, self._known = {i: {} for i in self.token}, 0
         self._fits[right][left] = known
         self._known += 1
@@ -182,7 +187,25 @@ class Editor:
         return out
 
 
-class _PackedPieces(dict):
+class _Bounded(dict):
+    """A cache of texts' packed ids that is emptied before it holds more than CACHE_BYTES; long texts are not kept."""
+
+    def __init__(self):
+        super().__init__()
+        self.held = 0
+
+    def keep(self, text: str, packed: bytes) -> bytes:
+        if len(text) <= CACHED_CHARS:
+            size = sys.getsizeof(text) + sys.getsizeof(packed) + ENTRY_BYTES
+            if self.held + size > CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self.held += size
+            self[text] = packed
+        return packed
+
+
+class _PackedPieces(_Bounded):
     """Piece of text -> its ids as packed little-endian 32-bit integers."""
 
     def __init__(self, vocabulary: Vocabulary):
@@ -191,13 +214,10 @@ class _PackedPieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.vocabulary.encode_piece(piece.encode())
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        packed = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        return packed
+        return self.keep(piece, struct.pack(f"<{len(ids)}I", *ids))
 
 
-class _Packed(dict):
+class _Packed(_Bounded):
     """Chunk of text, of one or more pieces -> its packed ids."""
 
     def __init__(self, vocabulary: Vocabulary):
@@ -205,11 +225,7 @@ class _Packed(dict):
         self.vocabulary, self.pieces = vocabulary, _PackedPieces(vocabulary)
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = b"".join(map(self.pieces.__getitem__, self.vocabulary.pattern.findall(chunk)))
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[chunk] = ids
-        return ids
+        return self.keep(chunk, b"".join(map(self.pieces.__getitem__, self.vocabulary.pattern.findall(chunk))))
 
 
 _packed: dict[int, _Packed] = {}

@@ -20,7 +20,7 @@ Labels of the held-out fold are never read.  lang, source, doc_id and labels are
 no inputs of a score.
 
 Defined results: null or empty texts have no words and score 0.  Without
-labelled rows of both classes every score is 0.  Rows that are repeated are
+labelled rows of both classes every score is 0 or next to it (under 1e-12).  Rows that are repeated are
 scored alike.  An empty table gives an empty result.
 """
 
