@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -432,6 +433,41 @@ def test_partial_scores_are_exact_for_large_components():
     assert sum(exact_topk.partial_scores(q, c, 2)).astype(np.int64).tolist() == [[2**60 - 3, 2**40 + 21]]
 
 
+def test_exact_scores_are_few(monkeypatch):
+    """Totals are added up at the heads of the lists and above the uniform threshold only, and nothing is missed."""
+    rng = np.random.default_rng(8)
+    k, n, n_q, width = 5, 3000, 40, 16
+    c = np.floor(rng.normal(0, 64, (n, width))).astype(np.int64)
+    scored = []
+    plain = exact_topk.exact_scores
+    monkeypatch.setattr(exact_topk, "exact_scores", lambda parts, i, at: scored.append(len(at)) or plain(parts, i, at))
+    monkeypatch.setattr(exact_topk, "TILE", 7)
+
+    def block(cutoff):
+        rows = [(0, 0, True, i, int(t), c[i].tolist()) for i, t in enumerate(cutoff)] + [(0, 0, False, i, 0, c[i].tolist()) for i in range(n)]
+        names = ["qb", "cb", "is_query", "vec_id", "cutoff", "v"]
+        return pa.Table.from_pydict({name: [r[j] for r in rows] for j, name in enumerate(names)}).to_batches()
+
+    heads = pa.Table.from_batches(exact_topk._heads(iter(block([0] * n_q)), k, 2)).to_pandas()
+    assert sum(scored) <= n_q * 2 * (k + 1)
+    cutoff = heads.groupby("query_id")["score"].nsmallest(1).to_numpy()
+    scored.clear()
+    found = pa.Table.from_batches(exact_topk._above(iter(block(cutoff)), k, 2)).to_pandas()
+    assert sum(scored) < 0.2 * n_q * n
+    for q in range(n_q):
+        total = c @ c[q]
+        want = sorted((-int(total[i]), i) for i in range(n) if i != q)[:k]
+        assert sorted(zip(-found[found["query_id"] == q]["score"], found[found["query_id"] == q]["vec_id"], strict=True)) == want
+
+
+def test_blocks_are_bounded_by_components(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "BLOCK_COMPONENTS", 12)
+    table = spark.createDataFrame([(i, [float(i % 3), 0.5, -1.0, 0.25]) for i in range(60)], "vec_id long, embedding array<float>")
+    got = rows_of(exact_topk.top_k(table, k=3))
+    monkeypatch.undo()
+    assert len(got) == 9 and got == rows_of(exact_topk.top_k(table, k=3))
+
+
 def test_hash_of_ids(spark):
     coded = byte_bpe.encode_documents(table_of(spark, ["ab"]), PATH, public_tokenizers.PATTERN).select(F.sha2("ids", 256).alias("h"), F.length("ids").alias("n")).first()
     assert coded["n"] % 4 == 0 and len(coded["h"]) == len(hashlib.sha256(b"").hexdigest())

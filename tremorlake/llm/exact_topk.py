@@ -9,11 +9,14 @@ partial scores of one query, one block of rows and one segment are a list.
 2. The cutoffs go to all blocks.  A score of t or more needs a partial score of
    t / SEGMENTS or more in some list, so each list hands in the entries from
    that uniform threshold on.
-3. Of these, those whose exact score reaches t are ranked.  Totals are computed
-   for all pairs of a block, here and in step 1.
+3. Only these get their exact score; those that reach t are ranked.
 
-Queries and rows are hashed to blocks of bounded size and every query block
-meets every row block once, so no task and no broadcast grows with the data.
+Lists hold every partial score, so steps 1 and 2 both multiply all vectors; the
+segments are added up at the heads and above the threshold alone.
+
+Queries and rows are hashed to blocks of at most 8,192 vectors and 2^21 components,
+and every query block meets every row block once, so no task and no broadcast
+grows with the data.  Within a block TILE queries are worked on at a time.
 
 Defined results: vectors that are null or hold null or non-finite components,
 and rows without an id, take no part.  Rows with the query's id are its own.
@@ -38,9 +41,12 @@ K = 20
 EVERY = 20
 SCALE = 64
 SEGMENTS = 2
-QUERY_BLOCK, ROW_BLOCK = 1024, 4096
+QUERY_BLOCK, ROW_BLOCK = 8192, 8192
+BLOCK_COMPONENTS = 1 << 21
+TILE = 512
 NO_CUTOFF = -(1 << 62)
 _AT = ["qb", "cb"]
+_LOWEST = {"f": -np.inf, "i": np.iinfo(np.int64).min}
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -75,33 +81,36 @@ def partial_scores(q: np.ndarray, c: np.ndarray, segments: int) -> list[np.ndarr
     return [q[:, a:b] @ c[:, a:b].T for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _block(table: pa.Table, segments: int):
+def _tiles(table: pa.Table, segments: int):
+    """(query ids, row ids, score matrices of the segments, cutoffs) of TILE queries at a time."""
     is_query, ids = table.column("is_query").to_numpy(), table.column("vec_id").to_numpy()
-    width = _width(table)
     q, c = np.flatnonzero(is_query), np.flatnonzero(~is_query)
     if len(q) == 0 or len(c) == 0:
-        return None
-    v = _matrix(table.column("v"), width)
-    parts = partial_scores(v[q], v[c], segments)
-    return ids[q], ids[c], parts, table.column("cutoff").to_numpy()[q]
+        return
+    v, cutoff = _matrix(table.column("v"), _width(table)), table.column("cutoff").to_numpy()
+    rows = v[c]
+    for lo in range(0, len(q), TILE):
+        some = q[lo:lo + TILE]
+        yield ids[some], ids[c], partial_scores(v[some], rows, segments), cutoff[some]
+
+
+def exact_scores(parts: list[np.ndarray], i: int, at: np.ndarray) -> np.ndarray:
+    """Scores of query i and the rows ``at``, added up from the segments."""
+    return sum(p[i, at].astype(np.int64) for p in parts)
 
 
 def _heads(batches: Iterator[pa.RecordBatch], k: int, segments: int) -> Iterator[pa.RecordBatch]:
     """Phase 1: (query_id, score) of the best k of the rows at the heads of a block's lists."""
     for table in grouped(batches, _AT):
-        made = _block(table, segments)
-        if made is None:
-            continue
-        q_ids, c_ids, parts, _ = made
-        total = sum(parts).astype(np.int64)
-        query, score = [], []
-        for i, q in enumerate(q_ids):
-            other = c_ids != q
-            heads = np.unique(np.concatenate([_top(np.where(other, p[i], -np.inf), k) for p in parts]))
-            best = np.sort(total[i, heads[other[heads]]])[::-1][:k]
-            query.append(np.full(len(best), q))
-            score.append(best)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(query)), pa.array(np.concatenate(score))], ["query_id", "score"])
+        for q_ids, c_ids, parts, _ in _tiles(table, segments):
+            query, score = [], []
+            for i, q in enumerate(q_ids):
+                other = c_ids != q
+                heads = np.unique(np.concatenate([_top(np.where(other, p[i], _LOWEST[p.dtype.kind]), k) for p in parts]))
+                best = np.sort(exact_scores(parts, i, heads[other[heads]]))[::-1][:k]
+                query.append(np.full(len(best), q))
+                score.append(best)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(query)), pa.array(np.concatenate(score))], ["query_id", "score"])
 
 
 def _top(x: np.ndarray, k: int) -> np.ndarray:
@@ -111,23 +120,20 @@ def _top(x: np.ndarray, k: int) -> np.ndarray:
 def _above(batches: Iterator[pa.RecordBatch], k: int, segments: int) -> Iterator[pa.RecordBatch]:
     """Phases 2 and 3: the entries from the uniform threshold on, scored; of a block no more than its best k of a query count."""
     for table in grouped(batches, _AT):
-        made = _block(table, segments)
-        if made is None:
-            continue
-        q_ids, c_ids, parts, cutoff = made
-        total = sum(parts).astype(np.int64)
-        out = [[], [], []]
-        for i, q in enumerate(q_ids):
-            entry = np.zeros(len(c_ids), bool)
-            for p in parts:
-                entry |= p[i] * segments >= cutoff[i]
-            entry = np.flatnonzero(entry & (c_ids != q))
-            score = total[i, entry]
-            entry, score = entry[score >= cutoff[i]], score[score >= cutoff[i]]
-            order = np.lexsort((c_ids[entry], -score))[:k]
-            for column, x in zip(out, (np.full(len(order), q), c_ids[entry[order]], score[order]), strict=True):
-                column.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["query_id", "vec_id", "score"])
+        for q_ids, c_ids, parts, cutoff in _tiles(table, segments):
+            least = -(-cutoff // segments)
+            out = [[], [], []]
+            for i, q in enumerate(q_ids):
+                entry = np.zeros(len(c_ids), bool)
+                for p in parts:
+                    entry |= p[i] >= least[i]
+                entry = np.flatnonzero(entry & (c_ids != q))
+                score = exact_scores(parts, i, entry)
+                entry, score = entry[score >= cutoff[i]], score[score >= cutoff[i]]
+                order = np.lexsort((c_ids[entry], -score))[:k]
+                for column, x in zip(out, (np.full(len(order), q), c_ids[entry[order]], score[order]), strict=True):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["query_id", "vec_id", "score"])
 
 
 def _met(queries: DataFrame, rows: DataFrame, n_q: int, n_c: int) -> DataFrame:
@@ -146,8 +152,9 @@ def search(queries: DataFrame, rows: DataFrame, k: int = K, segments: int = SEGM
     """
     ready(queries.sparkSession)
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    counts = asked.agg(F.count(F.lit(1))).first()[0], rows.agg(F.count(F.lit(1))).first()[0]
-    n_q, n_c = max(1, -(-counts[0] // QUERY_BLOCK)), max(1, -(-counts[1] // ROW_BLOCK))
+    n_asked, n_rows = asked.agg(F.count(F.lit(1))).first()[0], rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    fitting = max(1, BLOCK_COMPONENTS // max(1, n_rows[1] or 1))
+    n_q, n_c = max(1, -(-n_asked // min(QUERY_BLOCK, fitting))), max(1, -(-n_rows[0] // min(ROW_BLOCK, fitting)))
     heads = _met(asked.withColumn("cutoff", F.lit(NO_CUTOFF)), rows, n_q, n_c).mapInArrow(
         lambda b: _heads(b, k, segments), "query_id long, score long")
     nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
