@@ -186,6 +186,25 @@ def test_ngram_join_finds_all_links(spark, limits):
         assert r["class_id"] == class_id or class_id is None
 
 
+def test_chosen_paths_reach_the_target_recall(spark):
+    """Pairs at the threshold share a leaf after as many splits as there may be, for the runs that the target asks for."""
+    rng = np.random.default_rng(31)
+    pairs = 4000
+    left = rng.integers(0, 1 << 32, (pairs, ngram_join.COORDINATES), dtype=np.uint32)
+    equal = rng.random(left.shape) < ngram_join.THRESHOLD
+    right = np.where(equal, left, rng.integers(0, 1 << 32, left.shape, dtype=np.uint32))
+    rows = [(i, side, bytearray(v[i].tobytes())) for i in range(pairs) for side, v in enumerate((left, right))]
+    sets = spark.createDataFrame(rows, "s1 long, s2 long, sketch binary").checkpoint()
+    found = {}
+    for levels in (1, 3, 5):
+        # Buckets of two are split again, so a pair meets only if it stays together through all levels.
+        met = ngram_join.leaves(sets, ngram_join.runs_for(), small=1, levels=levels).groupBy("s1", "leaf").count().filter("count > 1")
+        found[levels] = met.select("s1").distinct().count() / pairs
+    assert found[1] == 1.0 and found[3] >= 0.999 and found[5] >= 0.996
+    assert ngram_join.runs_for(0.9) < ngram_join.runs_for() < ngram_join.runs_for(similarity=0.7)
+    assert ngram_join.least_equal(0.8) == 39 and ngram_join.least_equal(0.5) == 16
+
+
 def test_keep_one_of_each_class(spark):
     rows = near_rows()
     docs = spark.createDataFrame(rows, DOCS).withColumn("k", F.lit(0))

@@ -10,9 +10,10 @@ a Jaccard similarity of at least THRESHOLD are links.
 3. Every run splits all sets by the values at coordinates that the path so far
    chooses: 1.25 on average, so a pair at the threshold is expected to go on
    together in one branch.  Buckets above SMALL sets are split again, up to
-   LEVELS times.  Runs choose from the same MinHash values, so they are not
-   independent.  A reviewer's simulation at the threshold left out no pair after
-   one split, 0.1 % after three and 0.76 % after five.
+   LEVELS times, then by 1.5 coordinates.  Runs choose from the same MinHash
+   values, so they are not independent; ``runs_for`` repeats them until pairs at
+   the threshold that are split LEVELS times meet with the chance TARGET_RECALL.
+   Pairs that are split less often, and more similar ones, meet more surely.
 4. Buckets are compared by brute force in blocks of at most BLOCK sets: a bucket
    that does not get smaller becomes many block pairs and no large task.  A
    pair that meets in several buckets belongs to the smallest one.  First the
@@ -31,6 +32,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,18 +48,45 @@ from tremorlake.llm.text_arrays import mix, pieces, words
 N_WORDS = 5
 THRESHOLD = 0.8
 COORDINATES = 64
-RUNS = 8
+TARGET_RECALL = 0.998
+#: Share, in quarters, of paths that choose two coordinates: at the first split and later.
+FORKS_FIRST, FORKS_LATER = 1, 2
+MOST_RUNS = 1024
 SMALL = 512
 LEVELS = 5
 BLOCK = 256
-#: Pairs with fewer equal MinHash values than this share can't be links but by a chance of about 1e-4 at the threshold.
-SKETCH_SHARE = 0.6
+#: Pairs with fewer equal MinHash values than the threshold less this many deviations can't be links but by a chance of about 1e-4.
+SKETCH_DEVIATIONS = 4
 
 _rng = np.random.default_rng(7)
 _ODD = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
 
 
+@functools.cache
+def runs_for(target: float = TARGET_RECALL, levels: int = LEVELS, similarity: float = THRESHOLD, pairs: int = 100_000) -> int:
+    """The fewest runs in which the share ``target`` of simulated pairs meet after ``levels`` splits; seeded, so always the same."""
+    rng = np.random.default_rng(23)
+    equal = rng.random((pairs, COORDINATES)) < similarity
+    apart = np.arange(pairs)
+    for runs in range(1, MOST_RUNS + 1):
+        together = apart
+        for level in range(levels):
+            first = rng.integers(0, COORDINATES, len(together))
+            second = (first + rng.integers(1, COORDINATES, len(together))) % COORDINATES
+            forks = rng.integers(0, 4, len(together)) < (FORKS_LATER if level else FORKS_FIRST)
+            together = np.concatenate([together[equal[together, first]], together[forks & equal[together, second]]])
+        apart = np.setdiff1d(apart, together)
+        if len(apart) <= (1 - target) * pairs:
+            return runs
+    raise ValueError(f"{MOST_RUNS} runs do not reach a recall of {target} at similarity {similarity}")
+
+
+def least_equal(threshold: float) -> int:
+    """Equal MinHash values that a pair needs to be looked at."""
+    return int(np.ceil(round(threshold - SKETCH_DEVIATIONS * np.sqrt(threshold * (1 - threshold) / COORDINATES), 9) * COORDINATES))
+
+
 def run_sets(word: np.ndarray, cut: np.ndarray) -> list[np.ndarray]:
     """The sorted distinct hashes of the runs of five words of each document; cut has the documents' word offsets."""
     m = max(0, len(word) - N_WORDS + 1)
@@ -111,19 +140,19 @@ def sketches(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "row_hash", "text").mapInArrow(run, "doc_id long, row_hash long, s1 long, s2 long, n int, sketch binary")
 
 
-def chosen_paths(rows: DataFrame) -> DataFrame:
-    """(s1, s2, path) one level on, of (s1, s2, sketch, path): a branch for each coordinate that the path chooses."""
+def chosen_paths(rows: DataFrame, forks: int) -> DataFrame:
+    """(s1, s2, path) one level on, of (s1, s2, sketch, path): a branch for each coordinate that the path chooses, two in ``forks`` quarters of all cases."""
     first = F.pmod(F.xxhash64("path", F.lit(1)), F.lit(COORDINATES))
     second = F.pmod(first + 1 + F.pmod(F.xxhash64("path", F.lit(2)), F.lit(COORDINATES - 1)), F.lit(COORDINATES))
-    chosen = F.when(F.pmod(F.xxhash64("path", F.lit(3)), F.lit(4)) == 0, F.array(first, second)).otherwise(F.array(first))
+    chosen = F.when(F.pmod(F.xxhash64("path", F.lit(3)), F.lit(4)) < forks, F.array(first, second)).otherwise(F.array(first))
     return rows.select("s1", "s2", "sketch", "path", F.explode(chosen).alias("c")).select(
         "s1", "s2", F.xxhash64("path", "c", F.substring("sketch", (F.col("c") * 4 + 1).cast("int"), F.lit(4))).alias("path"))
 
 
-def leaves(sets: DataFrame, runs: int = RUNS, small: int = SMALL, levels: int = LEVELS) -> DataFrame:
+def leaves(sets: DataFrame, runs: int, small: int = SMALL, levels: int = LEVELS) -> DataFrame:
     """(s1, s2, leaf, size) of every bucket of two or more sets at the end of its path."""
     start = sets.select("s1", "s2", "sketch", F.explode(F.array(*[F.lit(r).cast("long") for r in range(runs)])).alias("run"))
-    rows = chosen_paths(start.select("s1", "s2", "sketch", F.xxhash64(F.lit(11), "run").alias("path")))
+    rows = chosen_paths(start.select("s1", "s2", "sketch", F.xxhash64(F.lit(11), "run").alias("path")), FORKS_FIRST)
     done = None
     for level in range(1, levels + 1):
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -133,7 +162,7 @@ def leaves(sets: DataFrame, runs: int = RUNS, small: int = SMALL, levels: int =
         done = ended if done is None else done.unionByName(ended)
         if level == levels or not sized.filter(large).agg(F.count(F.lit(1))).first()[0]:
             return done
-        rows = chosen_paths(sized.filter(large).select("s1", "s2", "path").join(sets.select("s1", "s2", "sketch"), ["s1", "s2"]))
+        rows = chosen_paths(sized.filter(large).select("s1", "s2", "path").join(sets.select("s1", "s2", "sketch"), ["s1", "s2"]), FORKS_LATER)
     return done
 
 
@@ -175,9 +204,8 @@ def _near(table: pa.Table, least: int) -> np.ndarray:
     return same >= least
 
 
-def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _partners(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """The sets that have a likely partner in their block pair."""
-    least = int(np.ceil(SKETCH_SHARE * COORDINATES))
     for table in grouped(batches, _AT):
         if table.num_rows < 2:
             continue
@@ -250,12 +278,13 @@ def _key(kind: str, *columns: str) -> Column:
     return F.concat_ws(":", F.lit(kind), *[F.coalesce(F.hex(c), F.lit("-")) for c in columns])
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS, small: int = SMALL, levels: int = LEVELS, block: int = BLOCK) -> DataFrame:
+def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int | None = None, small: int = SMALL, levels: int = LEVELS, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, row_hash, class_id, class_key, n_links, n_copies.
 
     n_links counts the different sets that its set is linked with, n_copies the
     documents with its own set.  class_id is the smallest doc_id of its class; as
     a doc_id may stand on unlike texts, class_key is what tells classes apart.
+    ``runs`` follow from TARGET_RECALL where they are not given.
     """
     ready(docs.sparkSession)
     rows = keyed(docs)
@@ -263,11 +292,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int = RUNS, small:
     sets = base.filter("n > 0").groupBy("s1", "s2").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash")).alias("rep"),
         F.count(F.lit(1)).alias("n_copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).checkpoint()
-    found = leaves(sets, runs, small, levels).distinct()
+    found = leaves(sets, runs or runs_for(TARGET_RECALL, levels, threshold), small, levels).distinct()
     own_leaves = found.groupBy("s1", "s2").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
     compared = in_blocks(found, block).join(own_leaves, ["s1", "s2"]).join(sets.select("s1", "s2", "sketch"), ["s1", "s2"])
-    schema = "s1 long, s2 long, leaf long, bi int, bj int, own int"
-    partners = compared.repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(_partners, schema).checkpoint()
+    least, schema = least_equal(threshold), "s1 long, s2 long, leaf long, bi int, bj int, own int"
+    partners = compared.repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(
+        lambda b: _partners(b, least), schema).checkpoint()
     wanted = partners.select("s1", "s2").distinct().join(sets.select("s1", "s2", "rep"), ["s1", "s2"]).select(
         "s1", "s2", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.row_hash").alias("rep_hash"))
     at = F.col("doc_id").eqNullSafe(F.col("rep_doc")) & (F.col("row_hash") == F.col("rep_hash"))
