@@ -10,10 +10,10 @@ a Jaccard similarity of at least THRESHOLD are links.
 3. Every run splits all sets by the values at coordinates that the path so far
    chooses: 1.25 on average, so a pair at the threshold is expected to go on
    together in one branch.  Buckets above SMALL sets are split again, up to
-   LEVELS times, then by 1.5 coordinates.  Runs choose from the same MinHash
-   values, so they are not independent; ``runs_for`` repeats them until pairs at
-   the threshold that are split LEVELS times meet with the chance TARGET_RECALL.
-   Pairs that are split less often, and more similar ones, meet more surely.
+   LEVELS times.  Runs choose from the same MinHash values, so they are not
+   independent; ``runs_for`` repeats them until pairs at the threshold that are
+   split LEVELS times meet with the chance TARGET_RECALL.  Pairs that are split
+   less often, and more similar ones, meet more surely.
 4. Buckets are compared by brute force in blocks of at most BLOCK sets: a bucket
    that does not get smaller becomes many block pairs and no large task.  A
    pair that meets in several buckets belongs to the smallest one.  First the
@@ -49,8 +49,8 @@ N_WORDS = 5
 THRESHOLD = 0.8
 COORDINATES = 64
 TARGET_RECALL = 0.998
-#: Share, in quarters, of paths that choose two coordinates: at the first split and later.
-FORKS_FIRST, FORKS_LATER = 1, 2
+#: Share, in quarters, of paths that choose two coordinates.
+FORKS = 1
 MOST_RUNS = 1024
 SMALL = 512
 LEVELS = 5
@@ -71,10 +71,10 @@ def runs_for(target: float = TARGET_RECALL, levels: int = LEVELS, similarity: fl
     apart = np.arange(pairs)
     for runs in range(1, MOST_RUNS + 1):
         together = apart
-        for level in range(levels):
+        for _ in range(levels):
             first = rng.integers(0, COORDINATES, len(together))
             second = (first + rng.integers(1, COORDINATES, len(together))) % COORDINATES
-            forks = rng.integers(0, 4, len(together)) < (FORKS_LATER if level else FORKS_FIRST)
+            forks = rng.integers(0, 4, len(together)) < FORKS
             together = np.concatenate([together[equal[together, first]], together[forks & equal[together, second]]])
         apart = np.setdiff1d(apart, together)
         if len(apart) <= (1 - target) * pairs:
@@ -140,11 +140,11 @@ def sketches(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "row_hash", "text").mapInArrow(run, "doc_id long, row_hash long, s1 long, s2 long, n int, sketch binary")
 
 
-def chosen_paths(rows: DataFrame, forks: int) -> DataFrame:
-    """(s1, s2, path) one level on, of (s1, s2, sketch, path): a branch for each coordinate that the path chooses, two in ``forks`` quarters of all cases."""
+def chosen_paths(rows: DataFrame) -> DataFrame:
+    """(s1, s2, path) one level on, of (s1, s2, sketch, path): a branch for each coordinate that the path chooses."""
     first = F.pmod(F.xxhash64("path", F.lit(1)), F.lit(COORDINATES))
     second = F.pmod(first + 1 + F.pmod(F.xxhash64("path", F.lit(2)), F.lit(COORDINATES - 1)), F.lit(COORDINATES))
-    chosen = F.when(F.pmod(F.xxhash64("path", F.lit(3)), F.lit(4)) < forks, F.array(first, second)).otherwise(F.array(first))
+    chosen = F.when(F.pmod(F.xxhash64("path", F.lit(3)), F.lit(4)) < FORKS, F.array(first, second)).otherwise(F.array(first))
     return rows.select("s1", "s2", "sketch", "path", F.explode(chosen).alias("c")).select(
         "s1", "s2", F.xxhash64("path", "c", F.substring("sketch", (F.col("c") * 4 + 1).cast("int"), F.lit(4))).alias("path"))
 
@@ -152,7 +152,7 @@ def chosen_paths(rows: DataFrame, forks: int) -> DataFrame:
 def leaves(sets: DataFrame, runs: int, small: int = SMALL, levels: int = LEVELS) -> DataFrame:
     """(s1, s2, leaf, size) of every bucket of two or more sets at the end of its path."""
     start = sets.select("s1", "s2", "sketch", F.explode(F.array(*[F.lit(r).cast("long") for r in range(runs)])).alias("run"))
-    rows = chosen_paths(start.select("s1", "s2", "sketch", F.xxhash64(F.lit(11), "run").alias("path")), FORKS_FIRST)
+    rows = chosen_paths(start.select("s1", "s2", "sketch", F.xxhash64(F.lit(11), "run").alias("path")))
     done = None
     for level in range(1, levels + 1):
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -162,7 +162,7 @@ def leaves(sets: DataFrame, runs: int, small: int = SMALL, levels: int = LEVELS)
         done = ended if done is None else done.unionByName(ended)
         if level == levels or not sized.filter(large).agg(F.count(F.lit(1))).first()[0]:
             return done
-        rows = chosen_paths(sized.filter(large).select("s1", "s2", "path").join(sets.select("s1", "s2", "sketch"), ["s1", "s2"]), FORKS_LATER)
+        rows = chosen_paths(sized.filter(large).select("s1", "s2", "path").join(sets.select("s1", "s2", "sketch"), ["s1", "s2"]))
     return done
 
 
