@@ -53,3 +53,13 @@ def test_stages_bear_reserved_names_and_odd_rows(spark, name):
     assert got.columns == docs.columns
     rows = got.collect()
     assert {r["__score"] for r in rows} <= {"clash"} and {r["kept_0"] for r in rows} <= {"clash"}
+
+
+def test_pipeline_decodes_what_it_encodes(spark, monkeypatch):
+    """A pattern that leaves characters out gives ids that are not the text's; only decoding shows it."""
+    docs = spark.createDataFrame([(1, "abc"), (2, "abc 12"), (3, None)], "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["byte_bpe"]
+    assert stage(spark, docs, SF).count() == 3
+    monkeypatch.setattr(corpus_pipeline.public_tokenizers, "PATTERN", "[a-z]+")
+    with pytest.raises(Exception, match="document 2 do not decode"):
+        stage(spark, docs, SF).collect()

@@ -244,13 +244,15 @@ def vocabulary_bytes(path: str) -> bytes:
         return f.read()
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, with_decoded: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, verified: bool = False) -> DataFrame:
     """(doc_id, ids, decoded): ids packed as little-endian unsigned 32-bit integers; the bytes that they decode to.
 
     ``path`` names a rank file that the driver can read; its bytes are broadcast.
+    ``verified`` stops at a document whose ids do not decode to its whole text,
+    as those of a pattern that leaves characters out do.
     """
     data = vocabulary_bytes(path)
-    shared, key = ready(docs.sparkSession).sparkContext.broadcast(data), hash(data)
+    shared, key = ready(docs.sparkSession).sparkContext.broadcast(data), hash((data, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = _worker_cache(key, shared.value, pattern)
@@ -267,7 +269,9 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_decoded: boo
                 ids = b"".join(map(packed.__getitem__, _CHUNK.findall(text)))
                 doc_ids.append(doc_id.as_py())
                 ids_out.append(ids)
-                decoded.append(b"".join(map(token.__getitem__, np.frombuffer(ids, "<u4").tolist())) if with_decoded else None)
+                decoded.append(b"".join(map(token.__getitem__, np.frombuffer(ids, "<u4").tolist())))
+                if verified and decoded[-1] != text.encode():
+                    raise ValueError(f"the ids of document {doc_ids[-1]} do not decode to its text")
                 held += 3 * len(text) + len(ids)
                 if held > BATCH_BYTES:
                     yield made(doc_ids, ids_out, decoded)
