@@ -46,13 +46,14 @@ def fold_batch(batch: DataFrame, key: str, update_cols: list[str], order: Column
 
 def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str], stamp_col: str | None = None,
            stamp: Column | None = None, order: Column | str | None = None, keep_cols: list[str] | None = None,
-           broadcast_limit: int = BROADCAST_ROW_LIMIT, folded: bool = False) -> DataFrame:
+           broadcast_limit: int = BROADCAST_ROW_LIMIT, folded: bool = False, fresh: bool = False) -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE SET update_cols = EXCLUDED.*, stamp = now.
 
     Nulls in the batch overwrite (no coalesce).  Inserted rows take every batch
     column; ``keep_cols`` (e.g. a serial id) are left null on insert for the
     caller to fill.  ``folded`` says that the batch is folded and materialised
-    already.  Returns rows with the column order of ``current`` plus ``_inserted``
+    already, ``fresh`` that ``current`` has no rows: nothing is joined then.
+    Returns rows with the column order of ``current`` plus ``_inserted``
     (true for new keys).
     """
     keep_cols = keep_cols or []
@@ -83,6 +84,8 @@ def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str
 
     # Rows that stay (updated or not) and rows that are new are two joins on the
     # key, so a caller that needs only one kind runs only that one.
+    if fresh:
+        return _blank(b, b_cols, current, key).select(*merged(F.lit(False), F.lit(True)))
     small = proven_small(once, broadcast_limit)
     ship = F.broadcast if small else (lambda df: df)
     kept = current.join(ship(b), key, "left").select(*merged(F.lit(True), F.col("_b").isNotNull()))
@@ -90,15 +93,20 @@ def upsert(current: DataFrame, batch: DataFrame, key: str, update_cols: list[str
     if small:  # only the batch's own keys of the current table, at most as many as the batch has
         known = F.broadcast(known.join(F.broadcast(once.select(key)), key, "left_semi").distinct())
     new_rows = b.join(known, key, "left_anti")
-    blank = new_rows.select(F.col(key), *[F.lit(None).cast(current.schema[c].dataType).alias(c)
-                                          for c in current.columns if c != key], "_b", *[f"_b_{c}" for c in b_cols])
-    return kept.unionByName(blank.select(*merged(F.lit(False), F.lit(True))))
+    return kept.unionByName(_blank(new_rows, b_cols, current, key).select(*merged(F.lit(False), F.lit(True))))
 
 
-def raw_upsert(current: DataFrame, batch: DataFrame, stamp: Column | None = None, order=None, folded: bool = False) -> DataFrame:
+def _blank(new_rows: DataFrame, b_cols: list[str], current: DataFrame, key: str) -> DataFrame:
+    """New rows beside null columns of the current table."""
+    return new_rows.select(F.col(key), *[F.lit(None).cast(current.schema[c].dataType).alias(c)
+                                         for c in current.columns if c != key], "_b", *[f"_b_{c}" for c in b_cols])
+
+
+def raw_upsert(current: DataFrame, batch: DataFrame, stamp: Column | None = None, order=None, folded: bool = False,
+               fresh: bool = False) -> DataFrame:
     """K1: raw table upsert on usgs_id; conflicts overwrite only the feed's
     changing columns and stamp ``ingested_at``."""
-    return upsert(current, batch, "usgs_id", RAW_UPDATE_COLUMNS, "ingested_at", stamp, order, folded=folded).drop("_inserted")
+    return upsert(current, batch, "usgs_id", RAW_UPDATE_COLUMNS, "ingested_at", stamp, order, folded=folded, fresh=fresh).drop("_inserted")
 
 
 # --- K3 -------------------------------------------------------------------------------

@@ -85,7 +85,7 @@ def revised_feeds(spark, sf_dir, in_place: bool = False) -> str:
     raw = T.derived_raw(spark, sf_dir, T.AS_OF)
 
     def land(rows: DataFrame) -> None:
-        SINK.feed_documents(rows).select("value").write.mode("append").text(src)
+        SINK.feed_documents(rows).select("value").write.mode("append").text(src, compression="gzip")
         time.sleep(1.1)  # file times of one second apart, as feeds that are landed one after another have
 
     def run() -> None:

@@ -12,13 +12,13 @@ row counts ride on the jobs that run anyway (Observation metrics).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import upsert as U
 from ..operators.clean import clean
-from ..operators.constraints import check_schema, require
+from ..operators.constraints import check_schema, observed, require, require_observed, row_checks
 from ..schema import (CURATE_INPUT_COLUMNS, FINAL_SCHEMA, FINAL_TEXT_LIMITS, RAW_COLUMNS, RAW_SCHEMA, RAW_TEXT_LIMITS,
                       RAW_UPDATE_COLUMNS)
 from ..sources import place as PLACE
@@ -40,19 +40,25 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, raw_dir: str, version: i
     raises, as the load into a database would."""
     stamp_col = ts_literal(stamp)
     current = SINK.read_latest(spark, raw_dir, before=version)
-    if current is None:
-        current = _empty(spark, RAW_SCHEMA)
+    fresh = current is None
+    folded, read = _folded(batch, stamp_col)
+    new_raw = U.raw_upsert(_empty(spark, RAW_SCHEMA) if fresh else current, folded, stamp=stamp_col, folded=True, fresh=fresh)
+    SINK.write_version(new_raw, raw_dir, version)
+    return {"events": read, "inserted": read, "version": version}
+
+
+def _folded(batch: DataFrame, stamp: Column) -> tuple[DataFrame, int]:
+    """A feed batch with one row per key, and its number of rows.  One pass parses,
+    checks, counts and folds; a batch that breaks constraints raises."""
     numeric = {c: t.simpleString() for c, t in RAW_COLUMNS if isinstance(t, (T.DecimalType, T.IntegerType))}
-    require(check_schema(batch, "usgs_id", RAW_TEXT_LIMITS, numeric).filter("check_name <> 'unique'"), "raw")
-    order = None
+    checks, order = row_checks(batch, "usgs_id", RAW_TEXT_LIMITS, numeric), None
     if ARRIVAL in batch.columns:
         batch, order = in_arrival_order(batch), F.col(ARRIVAL)
     seen = Observation("ingest")
-    batch = batch.drop(UNFIT).withColumn("ingested_at", stamp_col).observe(seen, F.count(F.lit(1)).alias("rows"))
-    new_raw = U.raw_upsert(current, batch, stamp=stamp_col, order=order)  # folds (and so counts) the batch once
-    SINK.write_version(new_raw, raw_dir, version)
-    read = seen.get["rows"]
-    return {"events": read, "inserted": read, "version": version}
+    batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"), *observed(checks)).drop(UNFIT).withColumn("ingested_at", stamp)
+    folded = U.fold_batch(batch, "usgs_id", RAW_UPDATE_COLUMNS, order).checkpoint()
+    require_observed(checks, seen.get, "raw")
+    return folded, seen.get["rows"]
 
 
 def curate(spark: SparkSession, raw_dir: str, final_dir: str, tsunami_dir: str, version: int,
@@ -121,15 +127,7 @@ def ingest_in_place(spark: SparkSession, batch: DataFrame, raw_dir: str, stamp=N
     raw_dir, stamp_col = raw_dir.rstrip("/"), ts_literal(stamp)
     PLACE.finish(spark, raw_dir)
     state = PLACE.numbers(spark, raw_dir) or {"buckets": buckets, "batch": 0}
-    numeric = {c: t.simpleString() for c, t in RAW_COLUMNS if isinstance(t, (T.DecimalType, T.IntegerType))}
-    require(check_schema(batch, "usgs_id", RAW_TEXT_LIMITS, numeric).filter("check_name <> 'unique'"), "raw")
-    order = None
-    if ARRIVAL in batch.columns:
-        batch, order = in_arrival_order(batch), F.col(ARRIVAL)
-    seen = Observation("ingest")
-    batch = batch.drop(UNFIT).withColumn("ingested_at", stamp_col).observe(seen, F.count(F.lit(1)).alias("rows"))
-    folded = U.fold_batch(batch, "usgs_id", RAW_UPDATE_COLUMNS, order).checkpoint()
-    read = seen.get["rows"]
+    folded, read = _folded(batch, stamp_col)
     keys = _dated(folded).select("usgs_id", "event_date")
     known = PLACE.index_rows(spark, raw_dir, _RAW_KEYS, keys, "usgs_id", state["buckets"])
     known = known.join(broadcast_checked(keys.select("usgs_id")), "usgs_id", "left_semi").select("usgs_id", "event_date").checkpoint()
@@ -137,7 +135,8 @@ def ingest_in_place(spark: SparkSession, batch: DataFrame, raw_dir: str, stamp=N
     if not dates:
         return {"events": read, "inserted": read, "dates": []}
     touched = PLACE.read(spark, raw_dir, _DATED_RAW).filter(PLACE.within("event_date", dates)).drop("event_date")
-    merged = _dated(U.raw_upsert(touched, folded, stamp=stamp_col, folded=True))
+    fresh = not {PLACE.folder("event_date", d) for d in dates} & set(PLACE.folders(spark, raw_dir))
+    merged = _dated(U.raw_upsert(touched, folded, stamp=stamp_col, folded=True, fresh=fresh))
     was = known.select("usgs_id", F.struct("event_date").alias("was"))
     placed = keys.join(was, "usgs_id", "left").filter(F.col("was").isNull() | ~F.col("event_date").eqNullSafe(F.col("was.event_date"))).drop("was").checkpoint()
     number = state["batch"] + 1

@@ -63,12 +63,15 @@ def flatten(features: DataFrame, strict: bool = True, tracked: bool = False, scr
     """
     f = F.col("f")
     props_text = f["properties"]
-    p = F.from_json(props_text, FEED_PROPERTIES)
-    keys = F.json_object_keys(props_text)
+    # A generator's output is not computed again in every filter and column that reads it.
+    p = F.explode(F.array(F.from_json(props_text, FEED_PROPERTIES)))
+    has_tsunami = F.coalesce(F.array_contains(F.json_object_keys("_props"), "tsunami"), F.lit(False))
     coords = f["geometry"]["coordinates"]
     carried = [ARRIVAL] if (tracked or screened) and ARRIVAL in features.columns else []
-    d = features.select(f["id"].alias("_fid"), p.alias("p"), keys.alias("_keys"), coords.alias("_xyz"),
+    d = features.select(f["id"].alias("_fid"), p.alias("p"), props_text.alias("_props"), coords.alias("_xyz"),
                         f["geometry"]["type"].alias("_gtype"), props_text.isNull().alias("_noprops"), *carried)
+    # Keys are read only where no value tells that the key is there.
+    tsunami = F.when(F.col("p.tsunami").isNotNull(), F.col("p.tsunami"))
     pt, pu = F.col("p.time"), F.col("p.updated")
     has_coords = F.col("_xyz").isNotNull() & (F.size("_xyz") >= 3)
     skipped = {"id": F.col("_fid").isNull() | (F.col("_fid") == ""), "properties": F.col("_noprops"),
@@ -78,12 +81,11 @@ def flatten(features: DataFrame, strict: bool = True, tracked: bool = False, scr
             for broken in skipped.values():
                 d = d.filter(~broken)
         time_ms, updated_ms = pt, F.when(pu.isNull() | (pu == 0), pt).otherwise(pu)
-        tsunami = F.when(F.array_contains(F.col("_keys"), "tsunami"), F.col("p.tsunami")).otherwise(F.lit(0))
+        tsunami = tsunami.when(has_tsunami, F.lit(None)).otherwise(F.lit(0))
         xyz = F.col("_xyz")
     else:
         time_ms, updated_ms = F.coalesce(pt, F.lit(0)), F.coalesce(pu, F.lit(0))
-        tsunami = F.when(F.array_contains(F.col("_keys"), "tsunami") | F.col("_keys").isNull(),
-                         F.col("p.tsunami")).otherwise(F.lit(0))
+        tsunami = tsunami.when(F.json_object_keys("_props").isNull() | has_tsunami, F.lit(None)).otherwise(F.lit(0))
         xyz = F.when(F.size("_xyz") >= 1, F.col("_xyz"))
 
     def typed(name: str, c: Column) -> Column:

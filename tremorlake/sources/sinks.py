@@ -68,6 +68,16 @@ def feed_documents(raw: DataFrame, order_col: str = "seq", per_document: int = F
                                 F.lit("]}")).alias("value"), "_doc")
 
 
+def land_in_batches(docs: DataFrame, path: str, batches: int, events: int, per_file: int = 100_000) -> int:
+    """Land documents of about so many events as gzipped files, as many for each of the batches; returns that number.
+
+    A compressed file is read by one task, so its size is bounded."""
+    files = max(1, -(-events // (batches * per_file)))
+    at = (F.col("_doc") % (batches * files)).cast("int")
+    docs.repartitionById(batches * files, at).select("value").write.mode("overwrite").text(path, compression="gzip")
+    return files
+
+
 def write_feed_documents(docs: DataFrame, path: str) -> None:
     """One document per line (JSON lines of FeatureCollections)."""
     docs.select("value").write.mode("overwrite").text(path)
