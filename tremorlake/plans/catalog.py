@@ -586,9 +586,9 @@ def q_stream_intake(spark, sf_dir):
 
     src = scratch_path(spark, "landed")
     docs = SINK.feed_documents(T.derived_raw(spark, sf_dir, T.AS_OF))
-    docs.repartition(3, "_doc").select("value").write.mode("overwrite").text(src)
+    files = SINK.land_in_batches(docs, src, 3, T.table(spark, sf_dir, "events").count())
     root = scratch_path(spark, "tables")
-    q = stream_feed(spark, src, root, multi_line=False, max_files_per_trigger=1, stamp=T.AS_OF)
+    q = stream_feed(spark, src, root, multi_line=False, max_files_per_trigger=files, stamp=T.AS_OF)
     q.awaitTermination()
     final = SINK.read_latest(spark, f"{root}/final")
     return _doubles(final.select("usgs_id", *O.FINAL_DATA))

@@ -19,8 +19,8 @@ def q_stream_intake_in_place(spark, sf_dir):
 
     src, root = scratch_path(spark, "landed"), scratch_path(spark, "tables")
     docs = SINK.feed_documents(T.derived_raw(spark, sf_dir, T.AS_OF))
-    docs.repartition(3, "_doc").select("value").write.mode("overwrite").text(src)
-    stream_feed(spark, src, root, multi_line=False, max_files_per_trigger=1, stamp=T.AS_OF, in_place=True).awaitTermination()
+    files = SINK.land_in_batches(docs, src, 3, T.table(spark, sf_dir, "events").count())
+    stream_feed(spark, src, root, multi_line=False, max_files_per_trigger=files, stamp=T.AS_OF, in_place=True).awaitTermination()
     return _doubles(spark.read.parquet(f"{root}/final").select("usgs_id", *O.FINAL_DATA))
 
 
