@@ -14,14 +14,19 @@ a Jaccard similarity of at least THRESHOLD are links.
    independent; ``runs_for`` repeats them until pairs at the threshold that are
    split LEVELS times meet with the chance TARGET_RECALL.  Pairs that are split
    less often, and more similar ones, meet more surely.
-4. Buckets are compared by brute force in blocks of at most BLOCK sets: a bucket
-   that does not get smaller becomes many block pairs and no large task.  A
-   pair that meets in several buckets belongs to the smallest one.  First the
+4. Buckets are compared by brute force in blocks of about BLOCK sets: a bucket
+   that does not get smaller becomes many block pairs and no large task.  Each
+   set is joined with its values once for each bucket and packed into its block;
+   only whole blocks, one row each, are repeated for the pairs they belong to.
+   A pair that meets in several buckets belongs to the smallest one.  First the
    MinHash values tell which sets have partners at all; only these get their
    whole sets, and similarities are exact.
 5. A block returns for each set its number of links and one edge to the smallest
-   set of its local component, not its pairs.  Components of those edges are
-   the classes.
+   set of its local component, not its pairs; a large bucket's block sums these
+   over its pairs before they are rows.  Components of the edges are the classes.
+
+Links of a group of unlike near copies are counted exactly, which takes one
+comparison of MinHash values for each of its pairs; rows stay linear.
 
 Defined results: texts of one to four words have one run, of all their words.
 Null, empty or wordless texts have no set, no links and a class of their own.
@@ -166,15 +171,110 @@ def leaves(sets: DataFrame, runs: int, small: int = SMALL, levels: int = LEVELS)
     return done
 
 
+_AT = ["leaf", "bi", "bj"]
+
+
+def whole_buckets(rows: DataFrame) -> DataFrame:
+    """Rows of (leaf, size, s1, s2) of buckets that are one block, as that block's pair with itself."""
+    return rows.drop("size").withColumns({name: F.lit(0) for name in ("own", "bi", "bj")})
+
+
 def in_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Rows of (leaf, size, s1, s2) once for each block pair (bi <= bj) that they belong to, with their own block."""
+    """Rows of (leaf, size, s1, s2) with the number g of their bucket's blocks and their own block."""
     blocks = F.ceil(F.col("size") / block).cast("int")
-    own = F.pmod(F.xxhash64("s2", "s1"), blocks).cast("int")
-    spread = rows.withColumn("g", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
-    return spread.withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other")).drop("g", "other", "size")
+    return rows.withColumn("g", blocks).withColumn("own", F.pmod(F.xxhash64("s2", "s1"), F.col("g")).cast("int")).drop("size")
 
 
-_AT = ["leaf", "bi", "bj"]
+def _bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per block: its sets as an Arrow table in bytes."""
+    for table in grouped(batches, ["leaf", "own"]):
+        first = table.select(["leaf", "own", "g"]).slice(0, 1)
+        made = first.append_column("block", pa.array([_bytes(table.drop_columns(["leaf", "own", "g"]))], pa.binary()))
+        yield from made.to_batches()
+
+
+def block_pairs(rows: DataFrame) -> DataFrame:
+    """(leaf, own, bi, bj, block) of rows of (leaf, own, g, ...): each packed block once for each pair (bi <= bj) that it belongs to."""
+    packed = rows.repartition("leaf", "own").sortWithinPartitions("leaf", "own").mapInArrow(
+        _packed, "leaf long, own int, g int, block binary").checkpoint()
+    other = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    return other.select("leaf", "own", "g", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "block")
+
+
+def _opened(pair: pa.Table) -> pa.Table:
+    """The sets of a block pair's one or two packed blocks."""
+    parts = []
+    for row in pair.to_pylist():
+        sets = pa.ipc.open_stream(row["block"]).read_all()
+        for name, kind in (("leaf", pa.int64()), ("own", pa.int32()), ("g", pa.int32()), ("bi", pa.int32()), ("bj", pa.int32())):
+            sets = sets.append_column(name, pa.repeat(pa.scalar(row[name], kind), sets.num_rows))
+        parts.append(sets)
+    return pa.concat_tables(parts)
+
+
+def _by_block(table: pa.Table, made: pa.Table, schema: pa.Schema) -> pa.Table:
+    """The rows that a block pair made of sets of ``table`` (its blocks' sets), packed by the sets' own block."""
+    home = dict(zip(zip(table.column("s1").to_pylist(), table.column("s2").to_pylist(), strict=True), table.column("own").to_pylist(), strict=True))
+    own = np.array([home[k] for k in zip(made.column("s1").to_pylist(), made.column("s2").to_pylist(), strict=True)], np.int64)
+    rows = [{"leaf": table.column("leaf")[0].as_py(), "own": int(b), "g": table.column("g")[0].as_py(), "bi": table.column("bi")[0].as_py(),
+             "bj": table.column("bj")[0].as_py(), "block": _bytes(made.filter(pa.array(own == b)))} for b in np.unique(own)]
+    return pa.Table.from_pylist(rows, schema)
+
+
+_PAIR = pa.schema([("leaf", pa.int64()), ("own", pa.int32()), ("g", pa.int32()), ("bi", pa.int32()), ("bj", pa.int32()), ("block", pa.binary())])
+_PAIR_DDL = "leaf long, own int, g int, bi int, bj int, block binary"
+
+
+def _of_pairs(step):
+    """``step``, from sets of a block pair to rows of them, over pairs of packed blocks."""
+    def run(pair: pa.Table) -> pa.Table:
+        table = _opened(pair)
+        made = list(step(iter([table])))
+        return _by_block(table, pa.Table.from_batches(made), _PAIR) if made else _PAIR.empty_table()
+    return run
+
+
+def _read(table: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in table.column("block").to_pylist()])
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(s1, s2, leaf, own, g) of the sets that any pair of their block names, once each."""
+    for table in grouped(batches, ["leaf", "own"]):
+        sets = _read(table).select(["s1", "s2"]).group_by(["s1", "s2"]).aggregate([])
+        for name in ("leaf", "own", "g"):
+            sets = sets.append_column(name, pa.repeat(table.column(name)[0], sets.num_rows))
+        yield from sets.select(["s1", "s2", "leaf", "own", "g"]).to_batches()
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links per set of a block over all its pairs, and one edge of every set and root to the smallest one they are connected with there."""
+    for table in grouped(batches, ["leaf", "own"]):
+        rows = _read(table)
+        up: dict[tuple, tuple] = {}
+
+        def top(x, up=up):
+            while (y := up.setdefault(x, x)) != x:
+                up[x] = x = up[y]
+            return x
+
+        links: dict[tuple, int] = {}
+        for s1, s2, n, r1, r2 in zip(*(rows.column(c).to_pylist() for c in ("s1", "s2", "links", "r1", "r2")), strict=True):
+            links[s1, s2] = links.get((s1, s2), 0) + n
+            a, b = sorted((top((s1, s2)), top((r1, r2))))
+            up[b] = a
+        nodes = list(up)
+        tops = [top(x) for x in nodes]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x[0] for x in nodes], pa.int64()), pa.array([x[1] for x in nodes], pa.int64()), pa.array([links.get(x, 0) for x in nodes], pa.int64()),
+             pa.array([x[0] for x in tops], pa.int64()), pa.array([x[1] for x in tops], pa.int64())], ["s1", "s2", "links", "r1", "r2"])
 
 
 def _owned(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -204,9 +304,9 @@ def _near(table: pa.Table, least: int) -> np.ndarray:
     return same >= least
 
 
-def _partners(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+def _partners(tables: Iterator[pa.Table], least: int) -> Iterator[pa.RecordBatch]:
     """The sets that have a likely partner in their block pair."""
-    for table in grouped(batches, _AT):
+    for table in tables:
         if table.num_rows < 2:
             continue
         mine, _ = _owned(table)
@@ -236,9 +336,9 @@ def common_tokens(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
     return out
 
 
-def _links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _links(tables: Iterator[pa.Table], threshold: float) -> Iterator[pa.RecordBatch]:
     """Per set of a block pair: its links there and the smallest set of its local component."""
-    for table in grouped(batches, _AT):
+    for table in tables:
         if table.num_rows < 2:
             continue
         mine, ids = _owned(table)
@@ -292,19 +392,35 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, runs: int | None = None,
     sets = base.filter("n > 0").groupBy("s1", "s2").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_hash")).alias("rep"),
         F.count(F.lit(1)).alias("n_copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).checkpoint()
-    found = leaves(sets, runs or runs_for(TARGET_RECALL, levels, threshold), small, levels).distinct()
+    found = leaves(sets, runs or runs_for(TARGET_RECALL, levels, threshold), small, levels).distinct().checkpoint()
+    whole_leaf = F.col("size") <= block
     own_leaves = found.groupBy("s1", "s2").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
-    compared = in_blocks(found, block).join(own_leaves, ["s1", "s2"]).join(sets.select("s1", "s2", "sketch"), ["s1", "s2"])
     least, schema = least_equal(threshold), "s1 long, s2 long, leaf long, bi int, bj int, own int"
-    partners = compared.repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(
-        lambda b: _partners(b, least), schema).checkpoint()
-    wanted = partners.select("s1", "s2").distinct().join(sets.select("s1", "s2", "rep"), ["s1", "s2"]).select(
+
+    def sketched(rows: DataFrame) -> DataFrame:
+        return rows.join(own_leaves, ["s1", "s2"]).join(sets.select("s1", "s2", "sketch"), ["s1", "s2"])
+
+    partners = sketched(whole_buckets(found.filter(whole_leaf))).repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(
+        lambda b: _partners(grouped(b, _AT), least), schema).checkpoint()
+    likely = block_pairs(sketched(in_blocks(found.filter(~whole_leaf), block))).groupBy(*_AT).applyInArrow(
+        _of_pairs(lambda t: _partners(t, least)), _PAIR_DDL).checkpoint()
+    united = likely.select("leaf", "own", "g", "block").repartition("leaf", "own").sortWithinPartitions("leaf", "own").mapInArrow(
+        _united, "s1 long, s2 long, leaf long, own int, g int").checkpoint()
+    wanted = partners.select("s1", "s2").unionByName(united.select("s1", "s2")).distinct().join(sets.select("s1", "s2", "rep"), ["s1", "s2"]).select(
         "s1", "s2", F.col("rep.doc_id").alias("rep_doc"), F.col("rep.row_hash").alias("rep_hash"))
     at = F.col("doc_id").eqNullSafe(F.col("rep_doc")) & (F.col("row_hash") == F.col("rep_hash"))
     tokens = rows.join(wanted, at).select("s1", "s2", "text").mapInArrow(_token_rows, "s1 long, s2 long, tokens binary")
-    whole = partners.join(own_leaves, ["s1", "s2"]).join(tokens, ["s1", "s2"])
-    linked = whole.repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(
-        lambda b: _links(b, threshold), "s1 long, s2 long, links long, r1 long, r2 long").checkpoint()
+    tokens = tokens.checkpoint()
+    facts_of = "s1 long, s2 long, links long, r1 long, r2 long"
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return rows.join(own_leaves, ["s1", "s2"]).join(tokens, ["s1", "s2"])
+
+    linked = whole(partners).repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(lambda b: _links(grouped(b, _AT), threshold), facts_of)
+    met = block_pairs(whole(united)).join(likely.select(*_AT).distinct(), _AT, "left_semi")
+    of_blocks = met.groupBy(*_AT).applyInArrow(_of_pairs(lambda t: _links(t, threshold)), _PAIR_DDL)
+    of_blocks = of_blocks.select("leaf", "own", "block").repartition("leaf", "own").sortWithinPartitions("leaf", "own").mapInArrow(_summed, facts_of)
+    linked = linked.unionByName(of_blocks).checkpoint()
     counts = linked.groupBy("s1", "s2").agg(F.sum("links").alias("n_links"))
     rooted = components(linked.select(F.struct("s1", "s2").alias("u"), F.struct(F.col("r1").alias("s1"), F.col("r2").alias("s2")).alias("v")))
     named = sets.select("s1", "s2", "n_copies", F.coalesce("rep.doc_id", "s1").alias("name")).join(
